@@ -121,8 +121,8 @@ EVAL = f"""(
                  CAST(sum((y - p) * (y - p)) AS DOUBLE) AS sse,
                  CAST(sum(abs(y - p)) AS DOUBLE) AS sae,
                  CAST(sum(y) AS DOUBLE) AS sy, CAST(sum(y * y) AS DOUBLE) AS syy
-          FROM (SELECT split, CAST(total_daily_energy AS DECIMAL(18,2)) AS y,
-                       CAST(energy_lag_7 AS DECIMAL(18,2)) AS p
+          FROM (SELECT split, CAST(total_daily_energy AS DECIMAL(38,2)) AS y,
+                       CAST(energy_lag_7 AS DECIMAL(38,2)) AS p
                 FROM {CHRONO})
           GROUP BY split))"""
 

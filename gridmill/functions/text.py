@@ -6,8 +6,9 @@ from gridmill import fixed
 from gridmill.functions.numbers import as_column
 
 BLANKS = " \t\r\n\f\x0b"
-_DIGITS = "[0-9]+(_[0-9]+)*"
-NUMBER = rf"^[+-]?({_DIGITS}[.]?({_DIGITS})?|[.]{_DIGITS})([eE][+-]?{_DIGITS})?$"
+# Possessive quantifiers: a cell is scanned once, without backtracking.
+_DIGITS = "[0-9]++(?:_[0-9]++)*+"
+NUMBER = rf"^[+-]?(?:{_DIGITS}[.]?(?:{_DIGITS})?|[.]{_DIGITS})(?:[eE][+-]?{_DIGITS})?$"
 NOT_A_NUMBER = r"^[+-]?(?i:nan|inf|infinity)$"
 
 
@@ -25,32 +26,41 @@ def starts_with_word(line, prefix):
     return F.startswith(stripped(line), F.lit(prefix))
 
 
-def cells(line):
-    return F.split(as_column(line), ",")
+def head_and_values(line, head=fixed.META_CELLS):
+    """The first cells of a line, then the uncut rest of it as last element."""
+    return F.split(as_column(line), ",", head + 1)
 
 
-def value_cells(parts, skip=fixed.META_CELLS):
-    """Trimmed value cells of a split line, blanks removed.
+def compact(values):
+    """Comma-separated values without blank cells and without outer blanks.
 
-    Removing blanks first is what makes a later position skip them, while
-    missing words and junk keep their place and only lose their value.
+    A later position in this text skips blank cells, while missing words and
+    junk keep their place and only lose their value.
     """
-    parts = as_column(parts)
-    tail = F.slice(parts, skip + 1, F.greatest(F.size(parts) - skip, F.lit(0)))
-    return F.filter(F.transform(tail, stripped), lambda cell: cell != "")
+    joined = F.regexp_replace(as_column(values), f"[{BLANKS}]*,[{BLANKS},]*", ",")
+    return F.btrim(joined, F.lit(BLANKS + ","))
 
 
-def number(cell, allow_nan=False):
-    """Double of a numeric cell, null for missing words and junk.
+def count_numbers(values):
+    """How many cells of a compacted text are numbers."""
+    spaced = F.concat(F.lit(","), F.replace(as_column(values), F.lit(","), F.lit(",,")), F.lit(","))
+    return F.regexp_count(spaced, F.lit("," + NUMBER.strip("^$") + ","))
+
+
+def is_number(cell, allow_nan=False):
+    """Whether a cell is a number; missing words and junk are not.
 
     Underscores between digits are digit separators. `nan` and `inf` count as
     missing unless `allow_nan` is set, since one of them spoils every total.
     """
     cell = as_column(cell)
-    plain = F.when(cell.rlike(NUMBER), F.replace(cell, F.lit("_"), F.lit("")).try_cast("double"))
-    if allow_nan:
-        plain = plain.when(cell.rlike(NOT_A_NUMBER), cell.try_cast("double"))
-    return plain
+    plain = cell.rlike(NUMBER)
+    return plain | cell.rlike(NOT_A_NUMBER) if allow_nan else plain
+
+
+def number(cell):
+    """Double of a numeric cell."""
+    return F.replace(as_column(cell), F.lit("_"), F.lit("")).try_cast("double")
 
 
 def file_name(path):

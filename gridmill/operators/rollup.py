@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from gridmill.functions import calendar as C
 from gridmill.functions.numbers import mean, missing_to_null, total
+from gridmill.session import stored
 
 
 def system_rollup(readings, ts="full_timestamp", load="load_percentage",
@@ -198,79 +199,76 @@ def summary(df, column, by=(), quantiles=(0.25, 0.5, 0.75), parts=64, scale=None
     A group's values are never gathered in one task. Equal values collapse to
     (value, frequency) pairs; a sketch of each group's pairs proposes `parts`
     cut points; only the parts that hold a wanted rank are ordered, one task
-    per part. The sketch decides who does the work, not the result: ranks come
-    from exact part totals.
+    per part. Pairs and cut points are stored once, so every branch sees the
+    same parts: the sketch decides who does the work, exact totals the result.
     """
-    by = list(by)
+    keys = list(by) or ["_all"]
     keyed = df if by else df.withColumn("_all", F.lit(0))
-    keys = by or ["_all"]
-    pairs = (
-        keyed.withColumn("_v", missing_to_null(column))
-        .groupBy(*keys, "_v")
-        .agg(F.count(F.lit(1)).alias("_n"))
+    pairs = stored(
+        keyed.select(*keys, missing_to_null(column).alias("_v"))
         .filter(F.col("_v").isNotNull())
+        .groupBy(*keys, "_v")
+        .agg(F.count(F.lit(1)).alias("_n")),
+        "summary-pairs",
     )
     if scale is None:
         weighted = F.sum(F.col("_v") * F.col("_n"))
     else:
         weighted = F.sum(F.col("_v").cast(f"decimal(18,{scale})") * F.col("_n")).cast("double")
     fractions = F.array(*[F.lit(i / parts) for i in range(1, parts)])
-    groups = pairs.groupBy(*keys).agg(
-        F.sum("_n").alias("count"),
-        (weighted / F.sum("_n")).alias("mean"),
-        F.min("_v").alias("min"),
-        F.max("_v").alias("max"),
-        F.percentile_approx("_v", fractions, F.lit(parts * 100)).alias("_cuts"),
+    groups = stored(
+        pairs.groupBy(*keys).agg(
+            F.sum("_n").alias("count"),
+            (weighted / F.sum("_n")).alias("mean"),
+            F.min("_v").alias("min"),
+            F.max("_v").alias("max"),
+            F.percentile_approx("_v", fractions, F.lit(parts * 100)).alias("_cuts"),
+        ),
+        "summary-groups",
     )
-    # Deviations from the group mean: no cancellation for large offsets.
-    joined = pairs.join(groups.select(*keys, "mean", "_cuts", "count"), keys)
-    part = F.size(F.filter("_cuts", lambda cut: cut < F.col("_v")))
-    placed = joined.withColumn("_part", part)
-    parts_df = placed.groupBy(*keys, "_part").agg(
+    cut = F.size(F.filter("_cuts", lambda c: c < F.col("_v")))
+    placed = pairs.join(groups.select(*keys, "count", "mean", "_cuts"), keys).withColumn("_part", cut)
+
+    # Rows and squared deviations per part, and the rank each part starts at.
+    deviation = F.col("_v") - F.col("mean")
+    per_part = placed.groupBy(*keys, "_part").agg(
         F.sum("_n").alias("_rows"),
-        F.sum(F.col("_n") * F.pow(F.col("_v") - F.col("mean"), F.lit(2.0))).alias("_sq"),
-        F.first("count").alias("count"),
-    )
-    running = Window.partitionBy(*keys).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = parts_df.withColumn("_before", F.coalesce(F.sum("_rows").over(running), F.lit(0)))
-    # Zero-based ranks around each quantile, floor and ceiling.
-    wanted = []
-    for i, q in enumerate(quantiles):
-        position = (F.col("count") - 1) * F.lit(q)
-        wanted += [
-            F.struct(F.lit(i).alias("q"), F.lit("lo").alias("side"), F.floor(position).alias("rank")),
-            F.struct(F.lit(i).alias("q"), F.lit("hi").alias("side"), F.ceil(position).alias("rank")),
-        ]
-    holds = lambda w: (w["rank"] >= F.col("_before")) & (w["rank"] < F.col("_before") + F.col("_rows"))
-    targets = offsets.select(
-        *keys, "_part", "_before", F.filter(F.array(*wanted), holds).alias("_wanted")
-    ).filter(F.size("_wanted") > 0)
-    inside = Window.partitionBy(*keys, "_part").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
-    ranked = (
-        placed.select(*keys, "_part", "_v", "_n")
-        .join(targets, [*keys, "_part"])
-        .withColumn("_to", F.col("_before") + F.sum("_n").over(inside))
-        .withColumn("_from", F.col("_to") - F.col("_n"))
-        .withColumn("_hit", F.explode("_wanted"))
-        .filter((F.col("_hit.rank") >= F.col("_from")) & (F.col("_hit.rank") < F.col("_to")))
-    )
-    at = lambda i, side: F.max(
-        F.when((F.col("_hit.q") == i) & (F.col("_hit.side") == side), F.col("_v"))
+        F.sum(F.col("_n") * deviation * deviation).alias("_squares"),
+        F.max("count").alias("count"),
     )
-    found = ranked.groupBy(*keys).agg(
-        *[at(i, side).alias(f"_{i}{side}") for i in range(len(quantiles)) for side in ("lo", "hi")]
+    in_group = Window.partitionBy(*keys)
+    earlier = in_group.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    ranges = per_part.select(
+        *keys, "_part", "_rows", "count",
+        F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_start"),
+        F.sum("_squares").over(in_group).alias("_squares"),
     )
-    spread = parts_df.groupBy(*keys).agg(F.sum("_sq").alias("_sq"))
-    result = groups.drop("_cuts").join(spread, keys).join(found, keys)
-    value = lambda i, q: F.col(f"_{i}lo") + (F.col(f"_{i}hi") - F.col(f"_{i}lo")) * (
-        (F.col("count") - 1) * F.lit(q) - F.floor((F.col("count") - 1) * F.lit(q))
+
+    # Wanted zero-based ranks: below and above each quantile position.
+    position = lambda q: (F.col("count") - 1) * F.lit(q)
+    ranks = F.array_distinct(F.array(*[f(position(q)) for q in quantiles for f in (F.floor, F.ceil)]))
+    in_part = lambda r: (r >= F.col("_start")) & (r < F.col("_start") + F.col("_rows"))
+    wanted = ranges.withColumn("_ranks", F.filter(ranks, in_part)).filter(F.size("_ranks") > 0)
+    upto = Window.partitionBy(*keys, "_part").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
+    at_rank = (
+        placed.select(*keys, "_part", "_v", "_n")
+        .join(wanted.select(*keys, "_part", "_start", "_squares", "_ranks"), [*keys, "_part"])
+        .withColumn("_end", F.col("_start") + F.sum("_n").over(upto))
+        .withColumn("_rank", F.explode("_ranks"))
+        .filter((F.col("_rank") < F.col("_end")) & (F.col("_rank") >= F.col("_end") - F.col("_n")))
+        .groupBy(*keys)
+        .agg(
+            F.map_from_entries(F.collect_list(F.struct("_rank", "_v"))).alias("_at"),
+            F.max("_squares").alias("_squares"),
+        )
     )
-    return result.select(
-        *by,
-        "count",
-        "mean",
-        F.when(F.col("count") > 1, F.sqrt(F.col("_sq") / (F.col("count") - 1))).alias("std"),
-        "min",
-        *[value(i, q).alias(f"p{round(q * 100)}") for i, q in enumerate(quantiles)],
-        "max",
+
+    def value(q):
+        low, high = F.col("_at")[F.floor(position(q))], F.col("_at")[F.ceil(position(q))]
+        return low + (high - low) * (position(q) - F.floor(position(q)))
+
+    spread = F.when(F.col("count") > 1, F.sqrt(F.col("_squares") / (F.col("count") - 1)))
+    return groups.join(at_rank, keys).select(
+        *by, "count", "mean", spread.alias("std"), "min",
+        *[value(q).alias(f"p{round(q * 100)}") for q in quantiles], "max",
     )

@@ -47,6 +47,18 @@ ENVELOPE = T.StructType([
     T.StructField("records", T.ArrayType(ENVELOPE_RECORD)),
 ])
 
+# The part of an envelope that readings are made of.
+READING_ENVELOPE = T.StructType([
+    *[f for f in ENVELOPE.fields if f.name != "records"],
+    T.StructField("records", T.ArrayType(T.StructType([
+        f for f in ENVELOPE_RECORD.fields
+        if f.name in (
+            "customer_id", "profile_type", "day", "hour", "minute", "interval_idx",
+            "timestamp", "load_percentage", "batch_id", "processing_timestamp",
+        )
+    ]))),
+])
+
 HOUSE = T.StructType([
     T.StructField("house_id", T.IntegerType()),
     T.StructField("house_size", T.DoubleType()),

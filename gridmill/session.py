@@ -55,3 +55,14 @@ def new_folder(spark, purpose):
 def table(spark, folder, name):
     """One Parquet table of a data folder."""
     return spark.read.parquet(os.path.join(folder, f"{name}.parquet"))
+
+
+def stored(df, purpose):
+    """The frame written once below the shared folder and read back.
+
+    Used where one result feeds several branches that must see the same rows:
+    the lineage ends at files that survive lost executors.
+    """
+    path = new_folder(df.sparkSession, purpose)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -40,21 +40,23 @@ def unpivot_lines(lines, line="line", day="day_num", keep=(), keep_missing=False
     `day` names the day-number column. With `keep_missing` the cells without a
     value stay as rows with a null load (the exploration view of a file).
     """
-    parts = X.cells(line)
     wide = (
         lines.filter(X.starts_with_word(line, fixed.ROW_PREFIX))
-        .withColumn("_parts", parts)
+        .withColumn("_parts", X.head_and_values(line))
         .filter(F.size("_parts") > fixed.META_CELLS)
         .select(
             F.col("_parts")[0].alias("customer_id"),
             X.blank_to_null(F.col("_parts")[1]).alias("profile_type"),
             F.col(day).cast("int").alias("day_num"),
             *keep,
-            F.posexplode(X.value_cells("_parts")).alias("interval_idx", "_cell"),
+            F.posexplode(F.split(X.compact(F.col("_parts")[fixed.META_CELLS]), ","))
+            .alias("interval_idx", "_cell"),
         )
     )
-    load = X.number("_cell", allow_nan)
-    readings = wide.select(
+    known = X.is_number("_cell", allow_nan)
+    wide = wide.filter((F.col("_cell") != "") if keep_missing else known)
+    load = F.when(known, X.number("_cell")) if keep_missing else X.number("_cell")
+    return wide.select(
         "customer_id",
         "profile_type",
         "day_num",
@@ -65,7 +67,6 @@ def unpivot_lines(lines, line="line", day="day_num", keep=(), keep_missing=False
         C.interval_time(F.col("day_num"), "interval_idx").alias("full_timestamp"),
         *keep,
     )
-    return readings if keep_missing else readings.filter(F.col("load_percentage").isNotNull())
 
 
 def file_report(lines):
@@ -79,9 +80,8 @@ def file_report(lines):
     stripped = X.stripped("line")
     is_header = F.startswith(stripped, F.lit(fixed.HEADER_PREFIX))
     is_row = F.startswith(stripped, F.lit(fixed.ROW_PREFIX))
-    parts = X.cells("line")
-    loads = F.filter(X.value_cells(parts), lambda cell: X.number(cell).isNotNull())
-    readings = F.when(is_row & (F.size(parts) > fixed.META_CELLS), F.size(loads)).otherwise(0)
+    values = F.get(X.head_and_values("line"), F.lit(fixed.META_CELLS))
+    readings = F.when(is_row, F.coalesce(X.count_numbers(X.compact(values)), F.lit(0))).otherwise(0)
     in_head = F.col("block_start") == 0
     per_file = lines.groupBy("file").agg(
         F.count(F.lit(1)).alias("lines"),

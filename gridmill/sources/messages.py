@@ -69,16 +69,25 @@ def decode_houses(messages):
     )
 
 
-def decode_envelopes(messages):
+def decode_envelopes(messages, schema=schemas.ENVELOPE):
     return messages.select(
-        F.from_json(F.col("value").cast("string"), schemas.ENVELOPE).alias("data")
+        F.from_json(F.col("value").cast("string"), schema).alias("data")
     ).select("data.*")
 
 
 def explode_records(envelopes):
-    """One row per record; envelopes with null or no records yield none."""
-    return envelopes.select(
-        "batch_id", "record_count", "processing_timestamp", F.explode("records").alias("record")
+    """One row per record; envelopes with null or no records yield none.
+
+    The outer explode with the filter behind it keeps the optimizer from
+    testing the array below the explode, where it would decode the JSON again.
+    """
+    return (
+        envelopes.select(
+            "batch_id", "record_count", "processing_timestamp",
+            F.posexplode_outer("records").alias("_position", "record"),
+        )
+        .filter(F.col("_position").isNotNull())
+        .drop("_position")
     )
 
 
@@ -106,8 +115,8 @@ def readings_of_records(exploded):
 
 
 def decode_readings(messages):
-    """Envelope messages straight to readings."""
-    return readings_of_records(explode_records(decode_envelopes(messages)))
+    """Envelope messages straight to readings, decoding only the fields in use."""
+    return readings_of_records(explode_records(decode_envelopes(messages, schemas.READING_ENVELOPE)))
 
 
 # --- routing --------------------------------------------------------------
