@@ -13,12 +13,12 @@ from gridmill.sources import dayfiles
 from gridmill.sources.readings import between
 
 
-def ingest_day_files(spark, folder, table, days=None, files_per_date=1):
+def ingest_day_files(spark, folder, table, days=None):
     """Day files into the readings table; returns the totals of the file report."""
     tables.create_readings_table(spark, table)
     report = dayfiles.file_report(dayfiles.read_lines(spark, folder, days))
     readings = dayfiles.read_day_files(spark, folder, days)
-    tables.write_readings(readings, table, files_per_date=files_per_date)
+    tables.write_readings(readings, table)
     return dayfiles.report_totals(report)
 
 

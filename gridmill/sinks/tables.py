@@ -27,28 +27,24 @@ def create_readings_table(spark, name, location=None):
     """)
 
 
-def readings_layout(readings, files_per_date=1):
+def readings_layout(readings):
     """Readings arranged for the table: by date, then customer and time.
 
-    One date may hold a large share of all rows, so a date is spread over
-    `files_per_date` tasks by customer; raise it with the volume per date.
+    Rebalancing groups the rows of a date into files of the advisory size: a
+    date that holds a large share of all rows is split over many tasks, small
+    dates share one.
     """
     dated = readings.withColumn("created_at", F.current_timestamp()).withColumn(
         "date", F.to_date("full_timestamp")
     )
-    spread = F.pmod(F.xxhash64("customer_id"), F.lit(files_per_date))
-    return (
-        dated.withColumn("_spread", spread)
-        .repartition("date", "_spread")
-        .drop("_spread")
-        .sortWithinPartitions("date", "customer_id", "full_timestamp")
+    return dated.hint("rebalance", F.col("date")).sortWithinPartitions(
+        "date", "customer_id", "full_timestamp"
     )
 
 
-def write_readings(readings, name, mode="append", files_per_date=1):
+def write_readings(readings, name, mode="append"):
     columns = readings.sparkSession.table(name).columns
-    laid_out = readings_layout(readings, files_per_date).select(*columns)
-    laid_out.write.mode(mode).insertInto(name)
+    readings_layout(readings).select(*columns).write.mode(mode).insertInto(name)
 
 
 def replace_partitions(df, path, partition_by):

@@ -155,7 +155,7 @@ def test_discovery(spark, folder):
 
 def test_ingest_job(spark, folder):
     spark.sql("DROP TABLE IF EXISTS ingested")
-    totals = jobs.ingest_day_files(spark, folder, "ingested", files_per_date=2).first()
+    totals = jobs.ingest_day_files(spark, folder, "ingested").first()
     table = spark.table("ingested")
     assert totals["readings"] == table.count() == 11
     assert table.filter(F.col("created_at").isNull() | F.col("date").isNull()).count() == 0
