@@ -216,6 +216,21 @@ ORACLES = {
                      4 * count(*) AS readings,
                      event_type <> 'view' AND (event_type <> 'purchase' OR count(*) < 10) AS early
               FROM {WIDE_LINES} GROUP BY event_type, strftime(ts, '%Y-%m-%d'))""",
+    "day_file_readings": f"""
+        SELECT customer_id, profile_type, 1 AS day_num, CAST(interval_idx AS INT) AS interval_idx,
+               CAST(CAST(cell AS FLOAT) AS DOUBLE) AS load_percentage
+        FROM (SELECT *, unnest(cells) AS cell, generate_subscripts(cells, 1) - 1 AS interval_idx
+              FROM (SELECT *, count(*) OVER (PARTITION BY event_type, CAST(ts AS DATE)) AS n
+                    FROM {WIDE_CELLS}))
+        WHERE regexp_matches(cell, {NUMERIC})
+              AND (event_type = 'click' OR (event_type = 'purchase' AND n < 10))""",
+    "written_table": """
+        SELECT CAST(ts AS DATE) AS date, event_type AS profile_type,
+               count(*) * copies AS record_count,
+               CAST(sum(CAST(value AS DECIMAL(18,2))) * copies AS DOUBLE) AS load_sum
+        FROM (SELECT *, CASE WHEN event_type = 'view' AND ts < TIMESTAMP '2024-01-29'
+                             THEN 2 ELSE 1 END AS copies FROM events)
+        GROUP BY 1, 2, copies""",
     "missing_days": """
         SELECT CAST(d AS DATE) AS date
         FROM (SELECT unnest(generate_series(min(o_orderdate), max(o_orderdate), INTERVAL 1 DAY)) AS d
@@ -385,6 +400,9 @@ ORACLES = {
                CASE WHEN ('0x' || substr(md5(o_orderkey || '|42'), 1, 8))::BIGINT % 10000 < 8000
                     THEN 'train' ELSE 'test' END AS split
         FROM orders""",
+    "random_split": """
+        SELECT count(*) AS row_count, count(DISTINCT o_orderkey) AS key_count, true AS near
+        FROM orders""",
     "latest_predictions": """
         SELECT o_orderkey, o_totalprice, o_orderdate FROM orders
         ORDER BY o_orderdate DESC, o_orderkey LIMIT 5""",
@@ -480,6 +498,11 @@ ORACLES = {
         FROM lineitem
         UNION ALL
         SELECT 'l_quantity', round(regr_slope(l_extendedprice, l_quantity), 4) FROM lineitem""",
+    "saved_model": """
+        SELECT DISTINCT l_quantity, round(b + a * l_quantity, 4) AS prediction
+        FROM lineitem,
+             (SELECT regr_slope(l_extendedprice, l_quantity) AS a,
+                     regr_intercept(l_extendedprice, l_quantity) AS b FROM lineitem)""",
     "score_batch": """
         SELECT l_orderkey, l_partkey, l_linenumber, l_quantity,
                round(b + a * l_quantity, 0) AS predicted_price, newest AS prediction_timestamp

@@ -1,5 +1,6 @@
 """One query per operator, each over whole tables of a data folder."""
 
+from pyspark.ml import PipelineModel
 from pyspark.sql import functions as F
 
 from checks import inputs as I
@@ -32,16 +33,14 @@ def wide_unpivot(spark, folder):
     )
 
 
-def file_ingest_report(spark, folder):
-    """Lines written as one file per event type and date, then read back.
+def _day_files(spark, folder):
+    """Lines written as one file per event type and date; returns the folder.
 
     Files of views have no header, those of errors hold no data row, and those
     of purchases carry the header below their rows.
     """
     written = new_folder(spark, "day-files")
-    rows = I.wide_lines(spark, folder).join(
-        I.load(spark, folder, "events").select("event_id", "event_type", "ts"), "event_id"
-    ).select("event_type", F.to_date("ts").alias("date"), "event_id", "line")
+    rows = I.wide_lines(spark, folder).select("event_type", "date", "event_id", "line")
     header = rows.filter("event_type <> 'view'").groupBy("event_type", "date").agg(
         F.when(F.col("event_type") == "purchase", F.max("event_id") + 1)
         .otherwise(F.lit(-1)).alias("event_id")
@@ -51,8 +50,14 @@ def file_ingest_report(spark, folder):
         .repartition("event_type", "date")
         .sortWithinPartitions("event_type", "date", "event_id")
         .select("event_type", "date", "line")
-        .write.partitionBy("event_type", "date").text(written)
+        .write.partitionBy("event_type", "date")
+        .text(written)
     )
+    return written
+
+
+def file_ingest_report(spark, folder):
+    written = _day_files(spark, folder)
     report = dayfiles.file_report(dayfiles.read_lines(spark, written, pattern="part-{}"))
     return report.select(
         F.regexp_extract("file", "event_type=([a-z]+)", 1).alias("event_type"),
@@ -61,6 +66,29 @@ def file_ingest_report(spark, folder):
     )
 
 
+def day_file_readings(spark, folder):
+    """Readings of the valid files; their names carry no number, so the day is 1."""
+    readings = dayfiles.read_day_files(spark, _day_files(spark, folder), pattern="part-{}")
+    return readings.select(
+        "customer_id", "profile_type", "day_num", "interval_idx",
+        F.col("load_percentage").cast("double").alias("load_percentage"),
+    )
+
+
+def written_table(spark, folder):
+    """The readings table after an append, a repeated append of one type and the
+    replacement of the dates from the 29th on."""
+    path = f"{new_folder(spark, 'written')}/readings"
+    readings = tables.readings_layout(I.readings(spark, folder))
+    tables.append_files(readings, path, partition_by=["date"])
+    tables.append_files(readings.filter("profile_type = 'view'"), path, partition_by=["date"])
+    late = readings.filter("date >= DATE '2024-01-29'")
+    tables.replace_partitions(late, path, ["date"])
+    return spark.read.parquet(path).groupBy("date", "profile_type").agg(
+        F.count(F.lit(1)).alias("record_count"), N.total("load_percentage", SCALE).alias("load_sum")
+    )
+
+
 def missing_days(spark, folder):
     dates = I.load(spark, folder, "orders").select(F.to_date("o_orderdate").alias("date"))
     return dayfiles.missing_dates(dates)
@@ -351,7 +379,7 @@ def chunked_window(spark, folder):
     )
     value = "total_system_load"
     made = windows.chunked(
-        system, "full_timestamp", F.to_date("full_timestamp"), reach=30, rows_per_chunk=1000,
+        system, "full_timestamp", reach=30, rows_per_chunk=1000,
         columns=lambda w: {
             **windows.lags(value, (1, 7, 30), w, "load_lag"),
             "rolling_avg_30": windows.rolling_mean(value, w, 30, SCALE),
@@ -387,6 +415,16 @@ def split_sizes(spark, folder):
     return rollup.split_sizes(chrono_split(spark, folder))
 
 
+def random_split(spark, folder):
+    """Sizes of a random split: complete, without overlap, near the asked shares."""
+    train, test = split.random_parts(I.load(spark, folder, "orders").select("o_orderkey"))
+    both = train.withColumn("is_train", F.lit(1)).unionByName(test.withColumn("is_train", F.lit(0)))
+    return both.agg(
+        F.count(F.lit(1)).alias("row_count"), F.count_distinct("o_orderkey").alias("key_count"),
+        F.abs(F.avg("is_train") - 0.8).alias("off"),
+    ).select("row_count", "key_count", (F.col("off") < 0.05).alias("near"))
+
+
 def hash_split(spark, folder):
     orders = I.load(spark, folder, "orders")
     return split.hashed(orders, "o_orderkey").select("o_orderkey", "split")
@@ -576,6 +614,14 @@ def ols_fit(spark, folder):
     )
 
 
+def saved_model(spark, folder):
+    """The fitted line saved, loaded again and applied."""
+    line, model = _price_line(spark, folder)
+    path = registry.save_model(model, f"{new_folder(spark, 'model')}/line")
+    loaded = PipelineModel.load(path)
+    return loaded.transform(line).select("l_quantity", F.round("prediction", 4).alias("prediction")).distinct()
+
+
 def score_batch(spark, folder):
     line, model = _price_line(spark, folder)
     as_of = line.select(F.max("l_shipdate")).scalar()
@@ -644,7 +690,7 @@ def rf_autumn(spark, folder):
 QUERIES = {
     f.__name__: f
     for f in (
-        wide_unpivot, file_ingest_report, missing_days, csv_cast_filter, table_count,
+        wide_unpivot, file_ingest_report, day_file_readings, written_table, missing_days, csv_cast_filter, table_count,
         kafka_batch_parse, envelope_explode, rejected_messages, stream_bronze, monthly_merge,
         topic_route, to_kafka_rows, decimal_result, serving_union, filter_gt, expr_bonus,
         season_filter, date_range_daily, latest_snapshot, freshness, customer_profile,
@@ -652,11 +698,11 @@ QUERIES = {
         monthly_average, daily_energy_stats, date_span, avg_by_group, coverage_report,
         describe_profile, describe_table, peak_interval, cardinality, prediction_report,
         features_ml, features_silver, chunked_window, shifted_window, dense_series,
-        chrono_split, split_sizes, hash_split, latest_predictions, customer_comparison,
+        chrono_split, split_sizes, hash_split, random_split, latest_predictions, customer_comparison,
         union_days, table_counts, day_from_name, day_number_to_date, calendar_columns,
         parse_iso_ts, cyclic_features, seasonal_features, rounding, json_props,
         season_of_month, sample_days, availability_gate, minimum_rows, pick_model,
-        pick_version, run_log_pivot, standard_scale, ols_fit, score_batch, eval_metrics,
+        pick_version, run_log_pivot, standard_scale, ols_fit, saved_model, score_batch, eval_metrics,
         overfit_gap, gbt_forecast, gbt_importances, rf_seasonal, rf_autumn,
     )
 }

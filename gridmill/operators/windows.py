@@ -6,6 +6,7 @@ runs in one task: give `partition_by`, or use it on a series with one row per
 date only, or use `chunked` for longer series.
 """
 
+from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
@@ -57,16 +58,36 @@ def densify(daily, date="date"):
     return calendar.join(daily, date, "left")
 
 
+def even_buckets(df, column, parts=64, name="bucket"):
+    """Buckets of about equal row count along a column of distinct values.
+
+    A sketch of the column proposes the bounds, which come to the driver as at
+    most `parts` numbers and go back as constants: a stretch that holds a third
+    of all rows gets a third of the buckets, and every pass sees the same ones.
+    """
+    kind = df.schema[column].dataType.simpleString()
+    value = F.col(column)
+    if kind == "date" or kind.startswith("timestamp"):
+        value = F.unix_micros(value.cast("timestamp"))
+    value = value.cast("double")
+    fractions = F.array(*[F.lit(i / parts) for i in range(1, parts)])
+    cuts = df.agg(F.percentile_approx(value, fractions, F.lit(parts * 20))).first()[0] or []
+    if not cuts:
+        return df.withColumn(name, F.lit(0.0))
+    splits = [float("-inf"), *sorted(set(cuts)), float("inf")]
+    bucketizer = Bucketizer(splits=splits, inputCol="_order", outputCol=name)
+    return bucketizer.transform(df.withColumn("_order", value)).drop("_order")
+
+
 def numbered(df, order, bucket, name="row_num"):
     """Global row number over a total order, without one global task.
 
-    `bucket` must not decrease along the order. Rows are numbered inside their
-    bucket and shifted by the sizes of all earlier buckets, a series with one
-    row per bucket. A bucket is one task, so choose a width that bounds it: a
-    series with unique times has at most as many rows as times in the bucket.
+    `bucket` is a column or expression that does not decrease along the order,
+    see `even_buckets`. Rows are numbered inside their bucket and shifted by the
+    sizes of all earlier buckets, a series with one row per bucket.
     """
     order = [order] if isinstance(order, str) else list(order)
-    marked = df.withColumn("_bucket", bucket)
+    marked = df.withColumn("_bucket", as_column(bucket))
     sizes = marked.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_size"))
     earlier = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     starts = sizes.select(
@@ -81,16 +102,21 @@ def numbered(df, order, bucket, name="row_num"):
     )
 
 
-def chunked(df, order, bucket, reach, columns, rows_per_chunk=100_000):
+def chunked(df, order, reach, columns, bucket=None, parts=64, rows_per_chunk=100_000):
     """Row-based window columns over one long series, many tasks.
 
     `columns` maps a window to named columns that look back at most `reach`
     rows. The series is cut into chunks of equal row count; each chunk also
     gets the last `reach` rows of the chunk before, which are dropped again.
-    The result equals the same window without partitions.
+    The result equals the same window without partitions. Without a `bucket`
+    for the numbering, `parts` even ones are made along the order column.
     """
     if reach > rows_per_chunk:
         raise ValueError("a chunk must hold at least `reach` rows")
+    kept = df.columns
+    if bucket is None:
+        first = order if isinstance(order, str) else order[0]
+        df, bucket = even_buckets(df, first, parts, "_even"), "_even"
     rows = numbered(df, order, bucket, "_row")
     home = F.floor((F.col("_row") - 1) / rows_per_chunk)
     is_tail = (F.col("_row") - 1) % rows_per_chunk >= rows_per_chunk - reach
@@ -99,7 +125,7 @@ def chunked(df, order, bucket, reach, columns, rows_per_chunk=100_000):
     window = Window.partitionBy("_chunk").orderBy("_row")
     made = columns(window)
     return (
-        spread.select(*df.columns, "_home", "_chunk", *[c.alias(n) for n, c in made.items()])
+        spread.select(*kept, "_home", "_chunk", *[c.alias(n) for n, c in made.items()])
         .filter(F.col("_home") == F.col("_chunk"))
         .drop("_home", "_chunk")
     )

@@ -10,6 +10,8 @@ from gridmill import fixed
 from gridmill.functions import calendar as C
 from gridmill.functions import text as X
 
+BROADCAST_FILES = 100_000
+
 
 def day_glob(pattern=fixed.DAY_FILE_PATTERN, days=None):
     """Glob for all day files of a pattern, or for the given day numbers."""
@@ -43,13 +45,13 @@ def unpivot_lines(lines, line="line", day="day_num", keep=(), keep_missing=False
     wide = (
         lines.filter(X.starts_with_word(line, fixed.ROW_PREFIX))
         .withColumn("_parts", X.head_and_values(line))
-        .filter(F.size("_parts") > fixed.META_CELLS)
         .select(
             F.col("_parts")[0].alias("customer_id"),
             X.blank_to_null(F.col("_parts")[1]).alias("profile_type"),
             F.col(day).cast("int").alias("day_num"),
             *keep,
-            F.posexplode(F.split(X.compact(F.col("_parts")[fixed.META_CELLS]), ","))
+            # A line without value cells has no such element and yields no row.
+            F.posexplode(F.split(X.compact(F.get("_parts", F.lit(fixed.META_CELLS))), ","))
             .alias("interval_idx", "_cell"),
         )
     )
@@ -122,6 +124,10 @@ def read_day_files(spark, folder, days=None, pattern=fixed.DAY_FILE_PATTERN, hea
     if header is not None:
         rule = {"head": "valid", "id": "header_with_id"}[header]
         good = file_report(lines).filter(F.col(rule)).select("file")
+        # One row per file: the listing bounds its size before anything runs.
+        # Broadcast, it spares shuffling the text; longer lists are joined.
+        if len(lines.inputFiles()) <= BROADCAST_FILES:
+            good = F.broadcast(good)
         lines = lines.join(good, "file", "left_semi")
     return unpivot_lines(
         lines.withColumn("day_num", X.day_from_name("file")), **options

@@ -27,21 +27,24 @@ def columns(window):
 
 
 @pytest.mark.parametrize("skew", [False, True])
-@pytest.mark.parametrize("chunk", [7, 50, 10_000])
-def test_chunked_equals_plain(spark, skew, chunk):
+@pytest.mark.parametrize("chunk, bucket", [
+    (7, None), (50, None), (10_000, None), (7, "day"),
+])
+def test_chunked_equals_plain(spark, skew, chunk, bucket):
+    bucket = F.to_date("ts") if bucket else None
     df = series(spark, 600, skew)
     plain = df.select("*", *[c.alias(n) for n, c in columns(W.ordered("ts")).items()])
-    chunked = W.chunked(df, "ts", F.to_date("ts"), 7, columns, chunk)
+    chunked = W.chunked(df, "ts", 7, columns, bucket, 8, chunk)
     assert rows(chunked, *plain.columns) == rows(plain)
 
 
 def test_chunk_must_hold_the_reach(spark):
     with pytest.raises(ValueError):
-        W.chunked(series(spark, 3), "ts", F.to_date("ts"), 8, columns, 7)
+        W.chunked(series(spark, 3), "ts", 8, columns, rows_per_chunk=7)
 
 
 def test_chunked_has_no_global_window_over_rows(spark):
-    plan = W.chunked(series(spark, 50), "ts", F.to_date("ts"), 7, columns, 10)
+    plan = W.chunked(series(spark, 50), "ts", 7, columns, rows_per_chunk=10)
     text = plan._jdf.queryExecution().optimizedPlan().toString()
     windows = [line for line in text.splitlines() if "Window [" in line]
     assert sum("_chunk" in line for line in windows) >= 1
@@ -78,3 +81,14 @@ def test_partitioned_window_restarts(spark):
     df = spark.createDataFrame([("a", 1, 1.0), ("a", 2, 2.0), ("b", 3, 3.0)], "k string, d int, v double")
     lag = W.lags("v", (1,), W.ordered("d", ["k"]), "v")["v_1"]
     assert rows(df.select("k", "d", lag.alias("p"))) == [("a", 1, None), ("a", 2, 1.0), ("b", 3, None)]
+
+
+def test_even_buckets_split_a_hot_stretch(spark):
+    df = W.even_buckets(series(spark, 3000, True), "ts", 16)
+    sizes = [r["count"] for r in df.groupBy("bucket").count().collect()]
+    assert sum(sizes) == 3000 and max(sizes) < 3000 / 16 * 2
+    numbers = W.even_buckets(spark.range(100), "id", 4)
+    assert numbers.groupBy("bucket").count().count() == 4
+    assert W.even_buckets(spark.range(0), "id", 4).count() == 0
+    ordered = [r["row_num"] for r in W.numbered(df, "ts", "bucket").orderBy("ts").collect()]
+    assert ordered == list(range(1, 3001))
