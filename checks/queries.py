@@ -10,7 +10,7 @@ from gridmill.functions import numbers as N
 from gridmill.functions import text as X
 from gridmill.ml import evaluate, models, registry, split
 from gridmill.operators import features, gates, reports, rollup, windows
-from gridmill.session import new_folder
+from gridmill.session import new_folder, stored
 from gridmill.sinks import messages as message_sink
 from gridmill.sinks import tables
 from gridmill.sources import dayfiles
@@ -374,12 +374,11 @@ def features_silver(spark, folder):
 
 def chunked_window(spark, folder):
     """Lags and rolling values of the long timestamp series, many window tasks."""
-    system = rollup.system_rollup(I.readings(spark, folder), scale=SCALE).select(
-        "full_timestamp", "total_system_load"
-    )
     value = "total_system_load"
-    made = windows.chunked(
-        system, "full_timestamp", reach=30, rows_per_chunk=1000,
+    system = rollup.system_rollup(I.readings(spark, folder), scale=SCALE)
+    series = stored(system.select("full_timestamp", value), "system-series")
+    return windows.chunked(
+        series, "full_timestamp", reach=30, rows_per_chunk=1000,
         columns=lambda w: {
             **windows.lags(value, (1, 7, 30), w, "load_lag"),
             "rolling_avg_30": windows.rolling_mean(value, w, 30, SCALE),
@@ -387,18 +386,19 @@ def chunked_window(spark, folder):
             "rolling_min_7": windows.rolling_min(value, w, 7),
         },
     )
-    return made
 
 
 def shifted_window(spark, folder):
     """Rolling values per customer that leave the current row out."""
-    window = windows.ordered(["full_timestamp", "event_id"], ["customer_id"])
     value = "load_percentage"
-    return I.readings(spark, folder).select(
-        "event_id", "customer_id",
-        windows.rolling_mean(value, window, 3, SCALE, shifted=True).alias("avg_before_3"),
-        windows.rolling_max(value, window, 7, shifted=True).alias("max_before_7"),
-    )
+    readings = I.readings(spark, folder).select("event_id", "customer_id", "full_timestamp", value)
+    return windows.chunked(
+        readings, ["full_timestamp", "event_id"], reach=7, by=["customer_id"],
+        columns=lambda w: {
+            "avg_before_3": windows.rolling_mean(value, w, 3, SCALE, shifted=True),
+            "max_before_7": windows.rolling_max(value, w, 7, shifted=True),
+        },
+    ).select("event_id", "customer_id", "avg_before_3", "max_before_7")
 
 
 def dense_series(spark, folder):

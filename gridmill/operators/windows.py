@@ -2,8 +2,8 @@
 
 Frames and lags count rows, so a missing date shifts them; `densify` fills the
 gaps where calendar distance is wanted. A window without partition columns
-runs in one task: give `partition_by`, or use it on a series with one row per
-date only, or use `chunked` for longer series.
+runs in one task, and one with them runs each group in one task: use them on
+series with one row per date, and `chunked` on longer ones.
 """
 
 from pyspark.ml.feature import Bucketizer
@@ -59,11 +59,12 @@ def densify(daily, date="date"):
 
 
 def even_buckets(df, column, parts=64, name="bucket"):
-    """Buckets of about equal row count along a column of distinct values.
+    """Buckets of about equal row count along a column; nulls come first.
 
     A sketch of the column proposes the bounds, which come to the driver as at
     most `parts` numbers and go back as constants: a stretch that holds a third
     of all rows gets a third of the buckets, and every pass sees the same ones.
+    Equal values share a bucket, so the column should tell most rows apart.
     """
     kind = df.schema[column].dataType.simpleString()
     value = F.col(column)
@@ -73,43 +74,57 @@ def even_buckets(df, column, parts=64, name="bucket"):
     fractions = F.array(*[F.lit(i / parts) for i in range(1, parts)])
     cuts = df.agg(F.percentile_approx(value, fractions, F.lit(parts * 20))).first()[0] or []
     if not cuts:
-        return df.withColumn(name, F.lit(0.0))
+        return df.withColumn(name, F.lit(-1.0))
     splits = [float("-inf"), *sorted(set(cuts)), float("inf")]
-    bucketizer = Bucketizer(splits=splits, inputCol="_order", outputCol=name)
-    return bucketizer.transform(df.withColumn("_order", value)).drop("_order")
+    bucketizer = Bucketizer(
+        splits=splits, inputCol="_order", outputCol="_place", handleInvalid="keep"
+    )
+    placed = bucketizer.transform(df.withColumn("_order", F.coalesce(value, F.lit(float("-inf")))))
+    return placed.withColumn(
+        name, F.when(F.col(column).isNull(), F.lit(-1.0)).otherwise(F.col("_place"))
+    ).drop("_order", "_place")
 
 
-def numbered(df, order, bucket, name="row_num"):
-    """Global row number over a total order, without one global task.
+def numbered(df, order, bucket, name="row_num", by=()):
+    """Row number over a total order (within the groups of `by`), without one
+    task per order or group.
 
     `bucket` is a column or expression that does not decrease along the order,
     see `even_buckets`. Rows are numbered inside their bucket and shifted by the
-    sizes of all earlier buckets, a series with one row per bucket.
+    sizes of all earlier buckets, which are one row per group and bucket.
     """
     order = [order] if isinstance(order, str) else list(order)
+    keys = [*by, "_bucket"]
     marked = df.withColumn("_bucket", as_column(bucket))
-    sizes = marked.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_size"))
-    earlier = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = marked.groupBy(*keys).agg(F.count(F.lit(1)).alias("_size"))
+    earlier = (
+        Window.partitionBy(*by).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    )
     starts = sizes.select(
-        "_bucket", F.coalesce(F.sum("_size").over(earlier), F.lit(0)).alias("_start")
+        *[F.col(k).alias(f"_s{i}") for i, k in enumerate(keys)],
+        F.coalesce(F.sum("_size").over(earlier), F.lit(0)).alias("_start"),
     )
-    inside = Window.partitionBy("_bucket").orderBy(*order)
+    same = [F.col(k).eqNullSafe(F.col(f"_s{i}")) for i, k in enumerate(keys)]
+    inside = Window.partitionBy(*keys).orderBy(*order)
     return (
         marked.withColumn("_place", F.row_number().over(inside))
-        .join(starts, "_bucket")
+        .join(starts, same)
         .withColumn(name, F.col("_start") + F.col("_place"))
-        .drop("_bucket", "_start", "_place")
+        .select(*df.columns, name)
     )
 
 
-def chunked(df, order, reach, columns, bucket=None, parts=64, rows_per_chunk=100_000):
-    """Row-based window columns over one long series, many tasks.
+def chunked(df, order, reach, columns, by=(), bucket=None, parts=64, rows_per_chunk=100_000):
+    """Row-based window columns over long series, many tasks per series.
 
     `columns` maps a window to named columns that look back at most `reach`
-    rows. The series is cut into chunks of equal row count; each chunk also
-    gets the last `reach` rows of the chunk before, which are dropped again.
-    The result equals the same window without partitions. Without a `bucket`
-    for the numbering, `parts` even ones are made along the order column.
+    rows. Each series (one per group of `by`) is cut into chunks of equal row
+    count; a chunk also gets the last `reach` rows of the chunk before, which
+    are dropped again. The result equals the same window over whole series, and
+    a group with a third of all rows is spread like any other rows.
+
+    Without a `bucket` for the numbering, `parts` even ones are made along the
+    first order column. The frame is read three times: store costly ones first.
     """
     if reach > rows_per_chunk:
         raise ValueError("a chunk must hold at least `reach` rows")
@@ -117,12 +132,12 @@ def chunked(df, order, reach, columns, bucket=None, parts=64, rows_per_chunk=100
     if bucket is None:
         first = order if isinstance(order, str) else order[0]
         df, bucket = even_buckets(df, first, parts, "_even"), "_even"
-    rows = numbered(df, order, bucket, "_row")
+    rows = numbered(df, order, bucket, "_row", by)
     home = F.floor((F.col("_row") - 1) / rows_per_chunk)
     is_tail = (F.col("_row") - 1) % rows_per_chunk >= rows_per_chunk - reach
     copies = F.when(is_tail, F.array(home, home + 1)).otherwise(F.array(home))
     spread = rows.withColumn("_home", home).withColumn("_chunk", F.explode(copies))
-    window = Window.partitionBy("_chunk").orderBy("_row")
+    window = Window.partitionBy(*by, "_chunk").orderBy("_row")
     made = columns(window)
     return (
         spread.select(*kept, "_home", "_chunk", *[c.alias(n) for n, c in made.items()])
