@@ -11,6 +11,11 @@ from gridmill.functions.numbers import as_column, clamp
 ISO_MICROS = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
 
 
+def _flag(condition):
+    """1 where the condition holds, 0 elsewhere, also for nulls."""
+    return F.when(condition, 1).otherwise(0)
+
+
 # --- weekdays -------------------------------------------------------------
 def weekday_sunday1(ts):
     """1 = Sunday .. 7 = Saturday."""
@@ -28,7 +33,7 @@ def weekday_monday0(ts):
 
 
 def weekend_sunday1(weekday):
-    return as_column(weekday).isin(1, 7).cast("int")
+    return _flag(as_column(weekday).isin(1, 7))
 
 
 def weekend_sunday0(weekday):
@@ -48,11 +53,11 @@ def model_season(month):
 
 
 def flag_summer(month):
-    return as_column(month).isin(*fixed.FLAG_SUMMER_MONTHS).cast("int")
+    return _flag(as_column(month).isin(*fixed.FLAG_SUMMER_MONTHS))
 
 
 def flag_winter(month):
-    return as_column(month).isin(*fixed.FLAG_WINTER_MONTHS).cast("int")
+    return _flag(as_column(month).isin(*fixed.FLAG_WINTER_MONTHS))
 
 
 def season_dates(season, year):

@@ -193,13 +193,14 @@ def split_sizes(df, split="split"):
     return df.groupBy(split).agg(F.count(F.lit(1)).alias("row_count"))
 
 
-def summary(df, column, by=(), quantiles=(0.25, 0.5, 0.75), parts=64, scale=None):
+def summary(df, column, by=(), quantiles=(0.25, 0.5, 0.75), parts=64, unsplit=100_000,
+            scale=None):
     """count, mean, std, min, exact interpolated quantiles and max per group.
 
     A group's values are never gathered in one task. Equal values collapse to
-    (value, frequency) pairs; a sketch of each group's pairs proposes `parts`
-    cut points; only the parts that hold a wanted rank are ordered, one task
-    per part. Pairs and cut points are stored once, so every branch sees the
+    (value, frequency) pairs; for groups with more than `unsplit` pairs a sketch
+    proposes cut points between `parts` parts; only the parts that hold a wanted
+    rank are ordered, one task per part. Pairs and cut points are stored once, so every branch sees the
     same parts: the sketch decides who does the work, exact totals the result.
     """
     keys = list(by) or ["_all"]
@@ -216,13 +217,15 @@ def summary(df, column, by=(), quantiles=(0.25, 0.5, 0.75), parts=64, scale=None
     else:
         weighted = F.sum(F.col("_v").cast(f"decimal(18,{scale})") * F.col("_n")).cast("double")
     fractions = F.array(*[F.lit(i / parts) for i in range(1, parts)])
+    sketch = F.percentile_approx("_v", fractions, F.lit(parts * 100))
     groups = stored(
         pairs.groupBy(*keys).agg(
             F.sum("_n").alias("count"),
             (weighted / F.sum("_n")).alias("mean"),
             F.min("_v").alias("min"),
             F.max("_v").alias("max"),
-            F.percentile_approx("_v", fractions, F.lit(parts * 100)).alias("_cuts"),
+            F.when(F.count(F.lit(1)) > unsplit, sketch)
+            .otherwise(F.array().cast("array<double>")).alias("_cuts"),
         ),
         "summary-groups",
     )

@@ -8,6 +8,7 @@ from gridmill import fixed
 from gridmill.functions.calendar import season_dates
 from gridmill.ml import evaluate, models, registry, split
 from gridmill.operators import features, gates, rollup
+from gridmill.session import stored
 from gridmill.sinks import tables
 from gridmill.sources import dayfiles
 from gridmill.sources.readings import between
@@ -16,8 +17,8 @@ from gridmill.sources.readings import between
 def ingest_day_files(spark, folder, table, days=None):
     """Day files into the readings table; returns the totals of the file report."""
     tables.create_readings_table(spark, table)
-    report = dayfiles.file_report(dayfiles.read_lines(spark, folder, days))
-    readings = dayfiles.read_day_files(spark, folder, days)
+    report = stored(dayfiles.file_report(dayfiles.read_lines(spark, folder, days)), "file-report")
+    readings = dayfiles.read_day_files(spark, folder, days, report=report)
     tables.write_readings(readings, table)
     return dayfiles.report_totals(report)
 

@@ -113,17 +113,20 @@ def report_totals(report):
     )
 
 
-def read_day_files(spark, folder, days=None, pattern=fixed.DAY_FILE_PATTERN, header="head", **options):
+def read_day_files(spark, folder, days=None, pattern=fixed.DAY_FILE_PATTERN, header="head",
+                   report=None, **options):
     """Readings of all valid day files of a folder.
 
     `header="head"` wants the header line near the top of the file,
     `header="id"` a header line naming the ID field anywhere, `None` skips the
-    check and its pass over the text. Bad files are left out as a whole.
+    check and its pass over the text. Bad files are left out as a whole. A file
+    report that is stored already saves that pass too.
     """
     lines = read_lines(spark, folder, days, pattern)
     if header is not None:
         rule = {"head": "valid", "id": "header_with_id"}[header]
-        good = file_report(lines).filter(F.col(rule)).select("file")
+        report = file_report(lines) if report is None else report
+        good = report.filter(F.col(rule)).select("file")
         # One row per file: the listing bounds its size before anything runs.
         # Broadcast, it spares shuffling the text; longer lists are joined.
         if len(lines.inputFiles()) <= BROADCAST_FILES:

@@ -15,14 +15,18 @@ from gridmill.sources import messages as M
 def readings_stream(messages, late_by=None):
     """Readings of an envelope stream, stamped with the ingest time.
 
-    With `late_by` (such as "1 hour") repeated readings of a customer and time
-    are dropped while the watermark keeps their state.
+    With `late_by` (such as "1 hour") copies of a customer's reading are dropped
+    as long as the watermark keeps their state, and so are readings that come
+    later than that. Readings without a readable time are never copies.
     """
     readings = M.decode_readings(messages)
     if late_by is not None:
-        readings = readings.withWatermark("full_timestamp", late_by).dropDuplicatesWithinWatermark(
+        timed = readings.filter(F.col("full_timestamp").isNotNull())
+        untimed = readings.filter(F.col("full_timestamp").isNull())
+        kept = timed.withWatermark("full_timestamp", late_by).dropDuplicatesWithinWatermark(
             ["customer_id", "full_timestamp"]
         )
+        readings = kept.unionByName(untimed)
     return readings.withColumn("created_at", F.current_timestamp())
 
 

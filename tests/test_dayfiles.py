@@ -163,3 +163,43 @@ def test_ingest_job(spark, folder):
         (datetime.date(2016, 1, d),) for d in (1, 2, 4, 9)
     ]
     spark.sql("DROP TABLE ingested")
+
+
+TOKENS = ["1", "2.5", " 3 ", "", " ", "NONE", "null", "x", "-4e1", "1_0", "5.", ".5", "1f", "\t7", "1 2", "NaN"]
+
+
+def by_the_rules(line):
+    """The cell rules in plain words, one line at a time."""
+    parts = line.split(",")
+    if not line.strip().startswith("res_") or len(parts) < 12:
+        return []
+    kept = [cell.strip() for cell in parts[11:] if cell.strip()]
+    found = []
+    for place, cell in enumerate(kept):
+        if cell.lower() not in ("none", "null", "nan"):
+            try:
+                found.append((parts[0], place, float(cell)))
+            except ValueError:
+                pass
+    return found
+
+
+def test_random_lines_follow_the_rules(spark):
+    import random
+
+    random.seed(11)
+    lines = [
+        ",".join([random.choice(["res_a", " res_b", "b"]), *META.split(",")[: random.choice([10, 10, 10, 4])],
+                  *random.choices(TOKENS, k=random.randint(0, 100))])
+        for _ in range(400)
+    ]
+    got = rows(unpivot(spark, *lines).withColumn("v", F.col("load_percentage").cast("double")),
+               "customer_id", "interval_idx", "v")
+    assert got == sorted((r for line in lines for r in by_the_rules(line)), key=repr)
+
+
+def test_scan_needs_no_shuffle_and_no_unused_columns(spark, folder):
+    plan = dayfiles.read_day_files(spark, folder, header=None)._jdf.queryExecution().executedPlan()
+    assert "Exchange" not in plan.toString() and "monotonically" not in plan.toString()
+    checked = dayfiles.read_day_files(spark, folder)._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in checked

@@ -65,6 +65,7 @@ def test_season_conventions(spark):
     assert [got[m][0] for m in (1, 5, 6, 9, 10, 12, 0, None)] == [
         "spring", "spring", "summer", "summer", "autumn", "autumn", "general", "general"]
     assert (got[1][1], got[7][1], got[7][2], got[1][2]) == (1, 0, 1, 0)
+    assert got[None] == ("general", 0, 0)
     assert C.season_dates("spring", 2016) == ("2016-01-01", "2016-05-31")
     assert C.season_dates("anything", 2016) == ("2016-01-01", "2016-12-31")
 

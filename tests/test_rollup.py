@@ -22,10 +22,10 @@ def skewed(spark):
     return data, spark.createDataFrame(data, "k string, v double").repartition(6).persist()
 
 
-@pytest.mark.parametrize("parts", [2, 8, 64])
-def test_summary_is_exact(skewed, parts):
+@pytest.mark.parametrize("parts, unsplit", [(2, 1), (8, 5), (64, 50), (64, 100_000)])
+def test_summary_is_exact(skewed, parts, unsplit):
     data, frame = skewed
-    got = {r["k"]: r for r in rollup.summary(frame, "v", ["k"], parts=parts).collect()}
+    got = {r["k"]: r for r in rollup.summary(frame, "v", ["k"], parts=parts, unsplit=unsplit).collect()}
     groups = {}
     for k, v in data:
         if v is not None and v == v:
@@ -47,7 +47,7 @@ def test_summary_is_exact(skewed, parts):
 def test_summary_of_a_whole_table(skewed):
     data, frame = skewed
     values = [v for _, v in data if v is not None and v == v]
-    row = rollup.summary(frame, "v", quantiles=(0.1, 0.5, 0.99)).first()
+    row = rollup.summary(frame, "v", quantiles=(0.1, 0.5, 0.99), unsplit=100).first()
     assert row["count"] == len(values)
     assert [row[p] for p in ("p10", "p50", "p99")] == pytest.approx(list(np.percentile(values, [10, 50, 99])))
 

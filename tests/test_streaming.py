@@ -77,12 +77,13 @@ def test_repeated_batch_replaces_itself_and_empty_is_skipped(spark, inbox, tmp_p
 
 
 def test_late_copies_are_dropped_on_request(spark, inbox, tmp_path):
-    put(inbox, "3.txt", [record("a", 1, 1.0)])
+    untimed = [{**record("a", 1, load), "timestamp": "soon"} for load in (7.0, 8.0)]
+    put(inbox, "3.txt", [record("a", 1, 1.0), *untimed])
     keep, drop = str(tmp_path / "keep"), str(tmp_path / "drop")
     run(S.ingest_readings(stream(spark, inbox, 9), keep, str(tmp_path / "s1"), available_now=True))
     run(S.ingest_readings(stream(spark, inbox, 9), drop, str(tmp_path / "s2"), late_by="60 days",
                           available_now=True))
-    assert (spark.read.parquet(keep).count(), spark.read.parquet(drop).count()) == (4, 3)
+    assert (spark.read.parquet(keep).count(), spark.read.parquet(drop).count()) == (6, 5)
 
 
 def test_processing_time_trigger(spark, inbox, tmp_path):
