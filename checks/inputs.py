@@ -66,8 +66,7 @@ def wide_lines(spark, folder):
         .otherwise(body)
     )
     return load(spark, folder, "events").select(
-        "event_id", "event_type", F.to_date("ts").alias("date"),
-        F.dayofyear("ts").alias("day_num"), line.alias("line"),
+        "event_id", "event_type", F.dayofyear("ts").alias("day_num"), line.alias("line")
     )
 
 

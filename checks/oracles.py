@@ -205,22 +205,22 @@ ORACLES = {
               FROM {WIDE_CELLS})
         WHERE regexp_matches(cell, {NUMERIC})""",
     "file_ingest_report": f"""
-        SELECT event_type, date, n + CAST(event_type <> 'view' AS INT) AS lines,
+        SELECT event_type, block, n + CAST(event_type <> 'view' AS INT) AS lines,
                CASE event_type WHEN 'error' THEN 0 ELSE n END AS row_lines,
                CASE WHEN event_type IN ('view', 'click', 'purchase') THEN readings ELSE 0 END
                    AS readings,
                early AS header_ok, event_type <> 'view' AS header_with_id,
                early AND event_type <> 'error' AS valid,
                early AND event_type IN ('click', 'purchase') AS loaded
-        FROM (SELECT event_type, strftime(ts, '%Y-%m-%d') AS date, count(*) AS n,
+        FROM (SELECT event_type, event_id // 10000 AS block, count(*) AS n,
                      4 * count(*) AS readings,
                      event_type <> 'view' AND (event_type <> 'purchase' OR count(*) < 10) AS early
-              FROM {WIDE_LINES} GROUP BY event_type, strftime(ts, '%Y-%m-%d'))""",
+              FROM {WIDE_LINES} GROUP BY event_type, event_id // 10000)""",
     "day_file_readings": f"""
         SELECT customer_id, profile_type, 1 AS day_num, CAST(interval_idx AS INT) AS interval_idx,
                CAST(CAST(cell AS FLOAT) AS DOUBLE) AS load_percentage
         FROM (SELECT *, unnest(cells) AS cell, generate_subscripts(cells, 1) - 1 AS interval_idx
-              FROM (SELECT *, count(*) OVER (PARTITION BY event_type, CAST(ts AS DATE)) AS n
+              FROM (SELECT *, count(*) OVER (PARTITION BY event_type, event_id // 10000) AS n
                     FROM {WIDE_CELLS}))
         WHERE regexp_matches(cell, {NUMERIC})
               AND (event_type = 'click' OR (event_type = 'purchase' AND n < 10))""",
@@ -242,10 +242,10 @@ ORACLES = {
         FROM events WHERE event_type NOT IN ('signup', 'view', 'click')""",
     "table_count": "SELECT count(*) AS row_count FROM events",
     "kafka_batch_parse": """
-        SELECT kafka_key, CASE WHEN ok THEN house_id END AS house_id,
+        SELECT kafka_key, CASE WHEN ok THEN CAST(house_id AS DOUBLE) END AS house_id,
                CASE WHEN ok THEN p_retailprice END AS house_size,
                CASE WHEN ok THEN p_size / 10 END AS location_score,
-               CASE WHEN ok THEN p_size * 1000 END AS price,
+               CASE WHEN ok THEN CAST(p_size * 1000 AS DOUBLE) END AS price,
                CASE WHEN ok THEN CASE p_type
                    WHEN 'ECONOMY' THEN strftime(moment, '%Y-%m-%d %H:%M:%S')
                    ELSE strftime(moment, '%Y-%m-%dT%H:%M:%S.%f') END END AS house_timestamp,
@@ -392,7 +392,8 @@ ORACLES = {
         WITH daily AS (SELECT * FROM {daily_readings(ORDER_READINGS)}),
              days AS (SELECT CAST(unnest(generate_series(min(date), max(date), INTERVAL 1 DAY))
                                   AS DATE) AS date FROM daily)
-        SELECT date, total_daily_energy, record_count FROM days LEFT JOIN daily USING (date)""",
+        SELECT date, total_daily_energy, CAST(record_count AS DOUBLE) AS record_count
+        FROM days LEFT JOIN daily USING (date)""",
     "chrono_split": f"SELECT date, row_num, split FROM {CHRONO}",
     "split_sizes": f"SELECT split, count(*) AS row_count FROM {CHRONO} GROUP BY split",
     "hash_split": """

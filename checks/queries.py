@@ -33,24 +33,27 @@ def wide_unpivot(spark, folder):
     )
 
 
-def _day_files(spark, folder):
-    """Lines written as one file per event type and date; returns the folder.
+def _day_files(spark, folder, lines_per_block=10_000):
+    """Lines written as one file per event type and block of event ids, so that
+    no file outgrows a task; returns the folder.
 
     Files of views have no header, those of errors hold no data row, and those
     of purchases carry the header below their rows.
     """
     written = new_folder(spark, "day-files")
-    rows = I.wide_lines(spark, folder).select("event_type", "date", "event_id", "line")
-    header = rows.filter("event_type <> 'view'").groupBy("event_type", "date").agg(
+    rows = I.wide_lines(spark, folder).select(
+        "event_type", F.floor(F.col("event_id") / lines_per_block).alias("block"), "event_id", "line"
+    )
+    header = rows.filter("event_type <> 'view'").groupBy("event_type", "block").agg(
         F.when(F.col("event_type") == "purchase", F.max("event_id") + 1)
         .otherwise(F.lit(-1)).alias("event_id")
     ).withColumn("line", F.lit(fixed.HEADER_PREFIX + ",".join(fixed.HEADER_FIELDS)))
     (
         rows.unionByName(header)
-        .repartition("event_type", "date")
-        .sortWithinPartitions("event_type", "date", "event_id")
-        .select("event_type", "date", "line")
-        .write.partitionBy("event_type", "date")
+        .repartition("event_type", "block")
+        .sortWithinPartitions("event_type", "block", "event_id")
+        .select("event_type", "block", "line")
+        .write.partitionBy("event_type", "block")
         .text(written)
     )
     return written
@@ -61,7 +64,7 @@ def file_ingest_report(spark, folder):
     report = dayfiles.file_report(dayfiles.read_lines(spark, written, pattern="part-{}"))
     return report.select(
         F.regexp_extract("file", "event_type=([a-z]+)", 1).alias("event_type"),
-        F.regexp_extract("file", "date=([0-9-]+)", 1).alias("date"),
+        F.regexp_extract("file", "block=([0-9]+)", 1).cast("bigint").alias("block"),
         "lines", "row_lines", "readings", "header_ok", "header_with_id", "valid", "loaded",
     )
 
@@ -112,8 +115,10 @@ def table_count(spark, folder):
 
 
 def kafka_batch_parse(spark, folder):
+    # Integers with nulls leave as doubles: frames of other tools have no such integers.
     return M.decode_houses(I.house_messages(spark, folder)).select(
-        "kafka_key", "house_id", "house_size", "location_score", "price", "house_timestamp",
+        "kafka_key", F.col("house_id").cast("double").alias("house_id"), "house_size",
+        "location_score", F.col("price").cast("double").alias("price"), "house_timestamp",
         F.col("timestamp").cast("timestamp_ntz").alias("timestamp"), "kafka_timestamp",
     )
 
@@ -403,7 +408,8 @@ def shifted_window(spark, folder):
 
 def dense_series(spark, folder):
     daily = rollup.daily_readings(I.order_readings(spark, folder), scale=SCALE)
-    return windows.densify(daily.select("date", "total_daily_energy", "record_count"))
+    dense = windows.densify(daily.select("date", "total_daily_energy", "record_count"))
+    return dense.withColumn("record_count", F.col("record_count").cast("double"))
 
 
 def chrono_split(spark, folder):

@@ -17,7 +17,6 @@ HEADER_WITHIN_LINES = 10
 ROW_PREFIX = "res_"
 META_CELLS = 11
 MINUTES_PER_CELL = 15
-CELLS_PER_DAY = 96
 MISSING_WORDS = ("NONE", "NULL")
 FIRST_DAY = datetime.date(2016, 1, 1)
 DEFAULT_DAY = 1

@@ -198,9 +198,9 @@ def summary(df, column, by=(), quantiles=(0.25, 0.5, 0.75), parts=64, unsplit=10
     """count, mean, std, min, exact interpolated quantiles and max per group.
 
     A group's values are never gathered in one task. Equal values collapse to
-    (value, frequency) pairs; for groups with more than `unsplit` pairs a sketch
-    proposes cut points between `parts` parts; only the parts that hold a wanted
-    rank are ordered, one task per part. Pairs and cut points are stored once, so every branch sees the
+    (value, frequency) pairs; a sketch cuts groups of more than `unsplit` pairs
+    into `parts` parts; only the parts that hold a wanted rank are ordered, one
+    task per part. Pairs and cut points are stored once, so every branch sees the
     same parts: the sketch decides who does the work, exact totals the result.
     """
     keys = list(by) or ["_all"]
@@ -216,21 +216,31 @@ def summary(df, column, by=(), quantiles=(0.25, 0.5, 0.75), parts=64, unsplit=10
         weighted = F.sum(F.col("_v") * F.col("_n"))
     else:
         weighted = F.sum(F.col("_v").cast(f"decimal(18,{scale})") * F.col("_n")).cast("double")
-    fractions = F.array(*[F.lit(i / parts) for i in range(1, parts)])
-    sketch = F.percentile_approx("_v", fractions, F.lit(parts * 100))
     groups = stored(
         pairs.groupBy(*keys).agg(
             F.sum("_n").alias("count"),
             (weighted / F.sum("_n")).alias("mean"),
             F.min("_v").alias("min"),
             F.max("_v").alias("max"),
-            F.when(F.count(F.lit(1)) > unsplit, sketch)
-            .otherwise(F.array().cast("array<double>")).alias("_cuts"),
+            F.count(F.lit(1)).alias("_pairs"),
         ),
         "summary-groups",
     )
-    cut = F.size(F.filter("_cuts", lambda c: c < F.col("_v")))
-    placed = pairs.join(groups.select(*keys, "count", "mean", "_cuts"), keys).withColumn("_part", cut)
+    # Only groups above `unsplit` get cut points: few rows, whatever the input.
+    fractions = F.array(*[F.lit(i / parts) for i in range(1, parts)])
+    large = groups.filter(F.col("_pairs") > unsplit).select(*keys)
+    cuts = stored(
+        pairs.join(large, keys, "left_semi")
+        .groupBy(*keys)
+        .agg(F.percentile_approx("_v", fractions, F.lit(parts * 100)).alias("_cuts")),
+        "summary-cuts",
+    )
+    below = F.size(F.filter("_cuts", lambda c: c < F.col("_v")))
+    placed = (
+        pairs.join(groups.select(*keys, "count", "mean"), keys)
+        .join(cuts, keys, "left")
+        .withColumn("_part", F.when(F.col("_cuts").isNotNull(), below).otherwise(0))
+    )
 
     # Rows and squared deviations per part, and the rank each part starts at.
     deviation = F.col("_v") - F.col("mean")

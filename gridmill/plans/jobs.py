@@ -14,7 +14,7 @@ from gridmill.sources import dayfiles
 from gridmill.sources.readings import between
 
 
-def ingest_day_files(spark, folder, table, days=None):
+def ingest_day_files(spark, folder, table=fixed.BATCH_READINGS_TABLE, days=None):
     """Day files into the readings table; returns the totals of the file report."""
     tables.create_readings_table(spark, table)
     report = stored(dayfiles.file_report(dayfiles.read_lines(spark, folder, days)), "file-report")
