@@ -1,4 +1,4 @@
-"""Explicit schemas of the data contract."""
+"""Explicit schemas of the data contract: fixed column names, types and order."""
 
 from pyspark.sql import types as T
 
