@@ -77,7 +77,7 @@ def envelope_messages(events):
     event time of purchases is unreadable. Works on batch and streaming frames.
     """
     kind = F.col("event_type")
-    record = lambda step: F.struct(
+    record = F.struct(
         F.concat(F.lit("line "), "event_id").alias("raw_data"),
         F.lit("day_1.txt").alias("file_name"),
         F.col("event_id").cast("int").alias("line_number"),
@@ -89,7 +89,7 @@ def envelope_messages(events):
         F.dayofmonth("ts").alias("day"),
         F.date_format("ts", "yyyy-MM-dd").alias("date"),
         F.col("event_id").cast("string").alias("interval_id"),
-        (F.hour("ts") * 4 + step).alias("interval_idx"),
+        (F.hour("ts") * 4).alias("interval_idx"),
         F.hour("ts").alias("hour"),
         F.minute("ts").alias("minute"),
         F.when(kind == "purchase", F.lit("soon")).otherwise(F.date_format("ts", ISO))
@@ -98,16 +98,21 @@ def envelope_messages(events):
         F.concat(F.lit("b"), "event_id").alias("batch_id"),
         F.date_format("ts", ISO).alias("processing_timestamp"),
     )
-    both, one = F.array(record(0), record(1)), F.array(record(0))
-    records = F.when(kind == "click", both).when(kind == "signup", F.slice(one, 1, 0)).otherwise(one)
+    one = F.array("_record")
+    later = F.col("_record").withField("interval_idx", F.col("_record.interval_idx") + 1)
+    records = (
+        F.when(kind == "click", F.array("_record", later))
+        .when(kind == "signup", F.slice(one, 1, 0))
+        .otherwise(one)
+    )
     envelope = F.struct(
-        F.col("event_id").cast("string").alias("interval_id"),
+        F.col("_record.interval_id").alias("interval_id"),
         F.col("event_id").cast("int").alias("batch_id"),
-        F.size(records).alias("record_count"),
-        F.date_format("ts", ISO).alias("processing_timestamp"),
+        F.when(kind == "click", 2).when(kind == "signup", 0).otherwise(1).alias("record_count"),
+        F.col("_record.processing_timestamp").alias("processing_timestamp"),
         records.alias("records"),
     )
-    return events.select(
+    return events.withColumn("_record", record).select(
         F.col("event_id").cast("string").alias("key"),
         F.when(kind == "error", F.lit("{not json")).otherwise(F.to_json(envelope)).alias("value"),
         F.col("ts").alias("timestamp"),
