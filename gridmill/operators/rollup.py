@@ -11,6 +11,8 @@ from gridmill.functions import calendar as C
 from gridmill.functions.numbers import mean, missing_to_null, total
 from gridmill.session import stored
 
+BROADCAST_GROUPS = 100_000
+
 
 def system_rollup(readings, ts="full_timestamp", load="load_percentage",
                   customer="customer_id", scale=None):
@@ -226,21 +228,24 @@ def summary(df, column, by=(), quantiles=(0.25, 0.5, 0.75), parts=64, unsplit=10
         ),
         "summary-groups",
     )
-    # Only groups above `unsplit` get cut points: few rows, whatever the input.
-    fractions = F.array(*[F.lit(i / parts) for i in range(1, parts)])
+    # Only groups above `unsplit` pairs get cut points. Their list is counted
+    # before it is broadcast, so that a hot group is sketched map-side.
     large = groups.filter(F.col("_pairs") > unsplit).select(*keys)
-    cuts = stored(
-        pairs.join(large, keys, "left_semi")
-        .groupBy(*keys)
-        .agg(F.percentile_approx("_v", fractions, F.lit(parts * 100)).alias("_cuts")),
-        "summary-cuts",
-    )
-    below = F.size(F.filter("_cuts", lambda c: c < F.col("_v")))
-    placed = (
-        pairs.join(groups.select(*keys, "count", "mean"), keys)
-        .join(cuts, keys, "left")
-        .withColumn("_part", F.when(F.col("_cuts").isNotNull(), below).otherwise(0))
-    )
+    number = large.count()
+    if number:
+        fractions = F.array(*[F.lit(i / parts) for i in range(1, parts)])
+        cuts = stored(
+            pairs.join(F.broadcast(large) if number <= BROADCAST_GROUPS else large, keys, "left_semi")
+            .groupBy(*keys)
+            .agg(F.percentile_approx("_v", fractions, F.lit(parts * 100)).alias("_cuts")),
+            "summary-cuts",
+        )
+        per_group = groups.select(*keys, "count", "mean").join(cuts, keys, "left")
+        below = F.size(F.filter("_cuts", lambda c: c < F.col("_v")))
+        part = F.when(F.col("_cuts").isNotNull(), below).otherwise(0)
+    else:
+        per_group, part = groups.select(*keys, "count", "mean"), F.lit(0)
+    placed = pairs.join(per_group, keys).withColumn("_part", part)
 
     # Rows and squared deviations per part, and the rank each part starts at.
     deviation = F.col("_v") - F.col("mean")

@@ -74,14 +74,14 @@ def even_buckets(df, column, parts=64, name="bucket"):
     fractions = F.array(*[F.lit(i / parts) for i in range(1, parts)])
     cuts = df.agg(F.percentile_approx(value, fractions, F.lit(parts * 20))).first()[0] or []
     if not cuts:
-        return df.withColumn(name, F.lit(-1.0))
+        return df.withColumn(name, F.lit(-1))
     splits = [float("-inf"), *sorted(set(cuts)), float("inf")]
     bucketizer = Bucketizer(
         splits=splits, inputCol="_order", outputCol="_place", handleInvalid="keep"
     )
     placed = bucketizer.transform(df.withColumn("_order", F.coalesce(value, F.lit(float("-inf")))))
     return placed.withColumn(
-        name, F.when(F.col(column).isNull(), F.lit(-1.0)).otherwise(F.col("_place"))
+        name, F.when(F.col(column).isNull(), -1).otherwise(F.col("_place").cast("int"))
     ).drop("_order", "_place")
 
 
@@ -94,21 +94,23 @@ def numbered(df, order, bucket, name="row_num", by=()):
     sizes of all earlier buckets, which are one row per group and bucket.
     """
     order = [order] if isinstance(order, str) else list(order)
-    keys = [*by, "_bucket"]
-    marked = df.withColumn("_bucket", as_column(bucket))
-    sizes = marked.groupBy(*keys).agg(F.count(F.lit(1)).alias("_size"))
+    # One struct as key: null parts compare equal in it, and the row numbers and
+    # the join share its partitioning, so the rows are shuffled once.
+    key = F.struct(*by, as_column(bucket).alias("_bucket"))
+    marked = df.withColumn("_key", key)
+    sizes = marked.groupBy("_key").agg(F.count(F.lit(1)).alias("_size"))
     earlier = (
-        Window.partitionBy(*by).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+        Window.partitionBy(*[F.col("_key")[k] for k in by])
+        .orderBy(F.col("_key")["_bucket"])
+        .rowsBetween(Window.unboundedPreceding, -1)
     )
     starts = sizes.select(
-        *[F.col(k).alias(f"_s{i}") for i, k in enumerate(keys)],
-        F.coalesce(F.sum("_size").over(earlier), F.lit(0)).alias("_start"),
+        "_key", F.coalesce(F.sum("_size").over(earlier), F.lit(0)).alias("_start")
     )
-    same = [F.col(k).eqNullSafe(F.col(f"_s{i}")) for i, k in enumerate(keys)]
-    inside = Window.partitionBy(*keys).orderBy(*order)
+    inside = Window.partitionBy("_key").orderBy(*order)
     return (
         marked.withColumn("_place", F.row_number().over(inside))
-        .join(starts, same)
+        .join(starts, "_key")
         .withColumn(name, F.col("_start") + F.col("_place"))
         .select(*df.columns, name)
     )

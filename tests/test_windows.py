@@ -101,3 +101,18 @@ def test_chunks_per_group_with_a_hot_group_and_nulls(spark):
     plain = df.select("*", *[c.alias(n) for n, c in columns(W.ordered("ts", ["k"])).items()])
     chunked = W.chunked(df, "ts", 7, columns, by=["k"], parts=16, rows_per_chunk=20)
     assert rows(chunked, *plain.columns) == rows(plain) and chunked.count() == 903
+
+
+def test_numbering_shuffles_the_rows_once(spark, tmp_path):
+    path = str(tmp_path / "t")
+    series(spark, 100).withColumn("k", F.lit("a")).write.parquet(path)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        out = W.numbered(spark.read.parquet(path), "ts", F.to_date("ts"), by=["k"])
+        lines = out._jdf.queryExecution().executedPlan().toString().splitlines()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    join = next(i for i, line in enumerate(lines) if "SortMergeJoin" in line)
+    scan = next(i for i in range(join, len(lines)) if "Scan parquet" in lines[i])
+    assert sum("Exchange" in line for line in lines[join:scan]) == 1
