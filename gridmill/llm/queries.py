@@ -2,15 +2,26 @@
 
 from pyspark.sql import functions as F
 
-from gridmill.llm import chats, decontamination, languages, mixing, quality, urls
+from gridmill.llm import chats, decontamination, languages, lines, mixing, personal, quality, urls
 from gridmill.session import table
 
 
+def op1_line_dedup(spark, folder):
+    return lines.dedup_lines(table(spark, folder, "documents")).select(
+        "doc_id", F.col("n_lines").cast("long").alias("n_lines"), F.col("n_kept").cast("long").alias("n_kept"),
+        F.sha2(F.coalesce("text", F.lit("")), 256).alias("text_sha256"),
+    )
+
+
 def op2_decontaminate(spark, folder):
     found = decontamination.find_overlap(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
     return decontamination.digest(found)
 
 
+def op3_personal_data(spark, folder):
+    return personal.digest(personal.find_personal_data(table(spark, folder, "documents")))
+
+
 def op4_url_filter(spark, folder):
     return urls.judge(table(spark, folder, "pages").select("page_id", "url")).select(
         "page_id", "host", "path", "rule", "verdict", "block_score"
@@ -37,7 +48,7 @@ def op10_mix(spark, folder):
 
 
 QUERIES = {f.__name__: f for f in (
-    op2_decontaminate, op4_url_filter, op5_language_id, op6_chat_rotation, op7_quality, op10_mix,
+    op1_line_dedup, op2_decontaminate, op3_personal_data, op4_url_filter, op5_language_id, op6_chat_rotation, op7_quality, op10_mix,
 )}
 
 ORACLES = {}
