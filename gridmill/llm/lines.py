@@ -23,7 +23,11 @@ from gridmill.session import stored
 
 MIN_CHARS = 16  # shorter lines, like "Yes." and "Yet.", only count as exact copies
 KEY = ["k1", "k2"]
-FIRST = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "uid", "line_no")
+
+
+def place():
+    """Where a line stands; a smaller place is earlier."""
+    return F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "uid", "line_no")
 
 
 def split_lines(documents):
@@ -120,7 +124,7 @@ def dedup_lines(documents, min_chars=MIN_CHARS):
     # Documents are read for slim keys first; texts move only where lines go.
     own = F.when(F.length("line") >= min_chars, halves()).otherwise(F.array().cast("array<bigint>"))
     occurrences = split_lines(documents.select("doc_id", "text"))
-    slim = occurrences.select(*KEY, FIRST.alias("first"), F.length("line").alias("n_chars"), own.alias("halves"))
+    slim = occurrences.select(*KEY, place().alias("first"), F.length("line").alias("n_chars"), own.alias("halves"))
     lines = stored(
         slim.groupBy(*KEY).agg(
             F.min("first").alias("first"), F.count(F.lit(1)).alias("n"),
