@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from gridmill.llm import chats, decontamination, languages, lines, mixing, personal, quality, urls
+from gridmill.llm import chats, decontamination, languages, lines, mixing, neighbours, personal, quality, similar, urls
 from gridmill.session import table
 
 
@@ -41,6 +41,14 @@ def op7_quality(spark, folder):
     return quality.score_quality(table(spark, folder, "documents"), table(spark, folder, "labels"))
 
 
+def op8_jaccard_join(spark, folder):
+    return similar.jaccard_join(table(spark, folder, "documents"))
+
+
+def op9_top_k(spark, folder):
+    return neighbours.top_k(table(spark, folder, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
 def op10_mix(spark, folder):
     return mixing.mix(table(spark, folder, "documents")).select(
         "doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"), "source"
@@ -48,7 +56,8 @@ def op10_mix(spark, folder):
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_line_dedup, op2_decontaminate, op3_personal_data, op4_url_filter, op5_language_id, op6_chat_rotation, op7_quality, op10_mix,
+    op1_line_dedup, op2_decontaminate, op3_personal_data, op4_url_filter, op5_language_id, op6_chat_rotation, op7_quality,
+    op8_jaccard_join, op9_top_k, op10_mix,
 )}
 
 ORACLES = {}
