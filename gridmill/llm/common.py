@@ -88,3 +88,19 @@ def may_hold(df, column, bit_table, bits=1 << 23, name="may_hold"):
         .withColumn(name, F.coalesce(F.getbit(byte.cast("int"), (at % 8).cast("int")) == 1, F.lit(False)))
         .drop("_p", "_bucket", "_map")
     )
+
+
+def uid():
+    """Hash of a document's id and text; rows that repeat both share it."""
+    return F.xxhash64("doc_id", "text")
+
+
+def drop_rows(documents, gone):
+    """`documents` without the rows whose `uid` is in the stored frame `gone`.
+
+    Texts of rows that surely stay are not shuffled.
+    """
+    columns = [F.col(c) for c in documents.columns]
+    marked = may_hold(documents.withColumn("_uid", uid()), "_uid", key_bits(gone, "uid"), name="_touched")
+    rest = marked.filter("_touched").join(gone.select(F.col("uid").alias("_uid")), "_uid", "left_anti")
+    return marked.filter("not _touched").select(*columns).unionByName(rest.select(*columns))

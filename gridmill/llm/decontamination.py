@@ -6,7 +6,8 @@ import ahocorasick
 import pandas as pd
 from pyspark.sql import functions as F
 
-from gridmill.llm.common import words_of
+from gridmill.llm.common import drop_rows, uid, words_of
+from gridmill.session import stored
 
 WINDOW = 10
 #: Bytes of benchmark text in one automaton (about 60 times as much in memory).
@@ -113,8 +114,6 @@ def find_overlap(documents, benchmark, window=WINDOW, block_bytes=BLOCK_BYTES, k
     names = list(key)
     parts = list(blocks(benchmark, block_bytes))
     if len(parts) > 1:
-        from gridmill.session import stored
-
         kept, names = stored(kept.withColumn("_row", F.monotonically_increasing_id()), "texts"), [*names, "_row"]
     schema = ", ".join(f"`{c}` {t}" for c, t in kept.dtypes if c != "text") + ", " + FOUND
     passes = [
@@ -161,11 +160,6 @@ def digest(found):
 
 def clean(documents, benchmark, **settings):
     """Documents without a hit word, all columns and rows as they are."""
-    flagged = find_overlap(
-        documents.withColumn("_text", F.col("text")), benchmark,
-        key=tuple(c for c in documents.columns if c != "text") + ("_text",), **settings,
-    )
-    kept = flagged.filter(F.size("words") == 0).withColumnRenamed("_text", "text")
-    return kept.select(*documents.columns)
-
-
+    texts = documents.select(uid().alias("uid"), "text")
+    found = find_overlap(texts, benchmark, key=("uid",), **settings)
+    return drop_rows(documents, stored(found.filter(F.size("words") > 0).select("uid").distinct(), "hits"))

@@ -110,6 +110,7 @@ def mixed_documents(documents, **settings):
         F.struct("doc_id", "source", "size").alias("_key"), "copies"
     ).distinct()
     size = F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long")
+    documents = documents.drop("copy")
     keyed = documents.withColumn("_key", F.struct("doc_id", "source", size.alias("size")))
     return keyed.join(plan, "_key").select(
         *[F.col(c) for c in documents.columns], F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))).alias("copy")

@@ -38,11 +38,13 @@ def op6_chat_rotation(spark, folder):
 
 
 def op7_quality(spark, folder):
-    return quality.score_quality(table(spark, folder, "documents"), table(spark, folder, "labels"))
+    return quality.score_quality(table(spark, folder, "documents"), table(spark, folder, "labels")).drop("uid")
 
 
 def op8_jaccard_join(spark, folder):
-    return similar.jaccard_join(table(spark, folder, "documents"))
+    return similar.jaccard_join(table(spark, folder, "documents")).select(
+        "doc_id", "class_id", "n_links", "n_copies"
+    )
 
 
 def op9_top_k(spark, folder):

@@ -5,7 +5,7 @@ import pandas as pd
 import xxhash
 from pyspark.sql import functions as F
 
-from gridmill.llm.common import key_bits, may_hold, words_of
+from gridmill.llm.common import key_bits, may_hold, uid, words_of
 from gridmill.llm.components import components
 from gridmill.session import stored
 
@@ -228,8 +228,12 @@ def verified(texts, labels, threshold=THRESHOLD, size=SHINGLE, block=BLOCK, per_
     )
 
 
+def has_words():
+    return F.regexp_like("text", F.lit(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]"))
+
+
 def jaccard_join(documents, threshold=THRESHOLD, trees=TREES, depth=DEPTH, recall=RECALL, size=SHINGLE):
-    """doc_id, class_id, n_links and n_copies of every row.
+    """doc_id, class_id, n_links and n_copies of every row, its uid and class_key.
 
     Texts are compared by their sets of `size`-word shingles (letters and
     digits, A-Z lower-cased). `n_links` counts the different texts at
@@ -248,7 +252,7 @@ def jaccard_join(documents, threshold=THRESHOLD, trees=TREES, depth=DEPTH, recal
     trees_of_texts = stored(forest(rows, trees, depth, size), "forest")
     edges = candidate_edges(trees_of_texts, prefix_depth(threshold, trees, depth, recall), threshold)
     groups = components(edges)
-    slim = rows.select("doc_id", *KEY, F.regexp_like("text", F.lit(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]")).alias("words"))
+    slim = rows.select("doc_id", *KEY, has_words().alias("words"), uid().alias("uid"))
     firsts = stored(slim.filter("words").groupBy(*KEY).agg(F.min(order).alias("first"), F.count(F.lit(1)).alias("n_copies")), "texts")
     chosen = firsts.select(*KEY, F.col("first.doc_id").alias("doc_id"))
     named = groups.select(F.explode(F.array("u", "v")).alias("node")).select("node.*").distinct()
@@ -272,23 +276,31 @@ def jaccard_join(documents, threshold=THRESHOLD, trees=TREES, depth=DEPTH, recal
     )
     merged = stored(merged, "merged")
     heads = merged.groupBy("class").agg(F.min("first").alias("head"))
-    ends = merged.join(heads, "class").select(*KEY, F.col("head.doc_id").alias("class_id"), "n_links", "n_copies")
+    ends = merged.join(heads, "class").select(*KEY, F.col("head.doc_id").alias("class_id"), "n_links", "n_copies", F.xxhash64("class").alias("class_key"))
     alone = ~F.coalesce("words", F.lit(False))
-    return slim.filter(~alone).join(ends, KEY).select("doc_id", "class_id", "n_links", "n_copies").unionByName(
-        slim.filter(alone).select("doc_id", F.col("doc_id").alias("class_id"), F.lit(0).cast("long").alias("n_links"), F.lit(1).cast("long").alias("n_copies"))
+    own = slim.filter(alone).select(
+        "doc_id", F.col("doc_id").alias("class_id"), F.lit(0).cast("long").alias("n_links"),
+        F.lit(1).cast("long").alias("n_copies"), "uid", F.col("uid").alias("class_key"),
     )
+    return slim.filter(~alone).join(ends, KEY).select(*own.columns).unionByName(own)
 
 
 def one_of_each(documents, **settings):
     """The first document of every class, with all its columns.
 
-    Rows that repeat the first document's id and text stay one; rows without
-    words stay as they are.
+    Rows that repeat an id and a text are one document; of different texts of
+    the first id in a class one stays. Rows without words stay as they are.
     """
-    classes = jaccard_join(documents, **settings).filter("doc_id <=> class_id").select("doc_id").distinct()
-    words = F.coalesce(F.regexp_like("text", F.lit(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]")), F.lit(False))
-    same = documents["doc_id"].eqNullSafe(classes["doc_id"])
-    kept = documents.filter(words).join(classes, same, "left_semi").dropDuplicates(["doc_id", "text"])
-    return kept.unionByName(documents.filter(~words))
-
-
+    words = F.coalesce(has_words(), F.lit(False))
+    classes = stored(jaccard_join(documents.filter(words), **settings), "classes")
+    heads = classes.filter("doc_id <=> class_id").groupBy("class_key").agg(F.min("uid").alias("uid"))
+    gone = stored(classes.select("uid").distinct().join(heads, "uid", "left_anti"), "copies")
+    again = classes.groupBy("uid").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("uid")
+    # Rows that surely go nowhere are not shuffled.
+    bits = key_bits(gone.unionByName(again), "uid")
+    marked = may_hold(documents.withColumn("_uid", uid()), "_uid", bits, name="_touched")
+    marked = marked.withColumn("_touched", F.col("_touched") & words)
+    columns = [F.col(c) for c in documents.columns]
+    rest = marked.filter("_touched").join(gone.select(F.col("uid").alias("_uid")), "_uid", "left_anti")
+    rest = rest.dropDuplicates(["_uid"])
+    return marked.filter("not _touched").select(*columns).unionByName(rest.select(*columns))
