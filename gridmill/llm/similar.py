@@ -92,39 +92,60 @@ def prefix_depth(threshold=THRESHOLD, trees=TREES, depth=DEPTH, recall=RECALL):
     return depth
 
 
-def _led(radius, reach):
-    """Leader clustering of the texts of one bucket by their sketches.
-
-    A text farther than `radius` from all leaders becomes one; every text is
-    tied to all leaders within `reach`. With reach >= radius + the distance of a
-    link, two linked texts share a leader (triangle inequality), so no link is
-    cut although members are not compared with each other.
+def _leaders(sketches, radius, reach):
+    """Leaders among the rows of a bucket, and a root per row.
+
+    A row farther than `radius` from all leaders becomes one. Rows are tied to
+    all leaders within `reach`, and what ties lead to shares a root, the first
+    row of it. With reach >= radius + the distance of a link, two linked rows
+    have a leader in common (triangle inequality), so no link is cut although
+    rows are not compared with each other.
     """
+    bits = sketches.shape[1]
+    table, leaders, root = np.empty((16, bits), np.uint8), [], list(range(len(sketches)))
+
+    def find(i):
+        while root[i] != i:
+            root[i] = root[root[i]]
+            i = root[i]
+        return i
+
+    for i, sketch in enumerate(sketches):
+        far = np.ones(0)
+        if leaders:
+            same = (table[:len(leaders)] == sketch).sum(axis=1) / bits
+            far = 1 - np.clip((same - 1 / 256) / (1 - 1 / 256), 0, 1)
+            for j in np.flatnonzero(far <= reach):
+                low, high = sorted((find(leaders[j]), find(i)))
+                root[high] = low
+        if far.min(initial=1.0) > radius:
+            if len(leaders) == len(table):
+                table = np.concatenate([table, np.empty_like(table)])
+            table[len(leaders)] = sketch
+            leaders.append(i)
+    return leaders, [find(i) for i in range(len(sketches))]
+
+
+def _led(radius, reach):
+    """(k1, k2, r1, r2) of all rows of the buckets of a group; `leader` marks leaders."""
     def run(group):
+        group = group.sort_values(["bucket", "k1", "k2"], ignore_index=True)
         sketches = np.frombuffer(b"".join(group["sketch"]), np.uint8).reshape(len(group), -1)
-        leaders, out = [], []
-        bits = sketches.shape[1]
-        table = np.empty((64, bits), np.uint8)
-        keys = list(zip(group["k1"], group["k2"], strict=True))
-        for i in range(len(group)):
-            if leaders:
-                same = (table[:len(leaders)] == sketches[i]).sum(axis=1) / bits
-                far = 1 - np.clip((same - 1 / 256) / (1 - 1 / 256), 0, 1)
-                for j in np.flatnonzero(far <= reach):
-                    out.append((*keys[i], *keys[leaders[j]]))
-            if not leaders or far.min() > radius:
-                if len(leaders) == len(table):
-                    table = np.concatenate([table, np.empty_like(table)])
-                table[len(leaders)] = sketches[i]
-                leaders.append(i)
-                out.append((*keys[i], *keys[i]))
-        frame = pd.DataFrame(out, columns=["k1", "k2", "l1", "l2"])
-        return frame.assign(bucket=group["bucket"].iloc[0])
+        cuts = np.flatnonzero(np.diff(group["bucket"].to_numpy())) + 1
+        root, leader = np.arange(len(group)), np.zeros(len(group), bool)
+        for low, high in zip([0, *cuts], [*cuts, len(group)], strict=True):
+            led, roots = _leaders(sketches[low:high], radius, reach)
+            root[low:high] = low + np.array(roots)
+            leader[low + np.array(led)] = True
+        k1, k2 = group["k1"].to_numpy(), group["k2"].to_numpy()
+        return pd.DataFrame({
+            "k1": k1, "k2": k2, "r1": k1[root], "r2": k2[root], "leader": leader, "bucket": group["bucket"],
+        })
 
     return run
 
 
-def candidate_edges(trees_of_texts, depth, threshold=THRESHOLD, leaders=LEADERS):
+def candidate_edges(trees_of_texts, depth, threshold=THRESHOLD, leaders=LEADERS, per_task=20_000):
     """Edges (u, v) between texts that tie all pairs to be compared together."""
     prefix = lambda x: F.substring(x, 1, 4 * depth)
     nodes = trees_of_texts.select(*KEY, F.posexplode("labels").alias("tree", "label")).select(
@@ -138,16 +159,21 @@ def candidate_edges(trees_of_texts, depth, threshold=THRESHOLD, leaders=LEADERS)
     # Sketches err by a few hundredths: the radii keep four of them as margin.
     radius, reach = 1 - threshold, min(2 * (1 - threshold) + 0.12, 0.95)
     lead = _led(radius, reach)
-    schema = "k1 long, k2 long, l1 long, l2 long, bucket long"
-    salt = F.pmod(F.xxhash64(*KEY), F.ceil(F.col("n") / leaders))
-    rows = members.withColumn("salt", salt).join(sketches, KEY)
-    first = stored(rows.groupBy("bucket", "salt").applyInPandas(lead, schema), "leaders")
-    # Buckets split over tasks: their leaders meet again.
+    schema = "k1 long, k2 long, r1 long, r2 long, leader boolean, bucket long"
+    salts = F.ceil(F.col("n") / leaders)
+    tasks = members.count() // per_task + 1
+    # Small buckets share a task, those split over tasks have one for each part.
+    task = F.when(salts == 1, F.pmod("bucket", F.lit(tasks))).otherwise(
+        F.xxhash64("bucket", F.pmod(F.xxhash64(*KEY), salts))
+    )
+    rows = members.withColumn("task", task).join(sketches, KEY)
+    first = stored(rows.groupBy("task").applyInPandas(lead, schema), "leaders")
+    # Leaders of a split bucket meet again.
     split = members.filter(F.col("n") > leaders).select("bucket").distinct()
-    again = first.filter("k1 = l1 and k2 = l2").join(split, "bucket", "left_semi").select("bucket", *KEY)
+    again = first.filter("leader").join(split, "bucket", "left_semi").select("bucket", *KEY)
     second = again.join(sketches, KEY).groupBy("bucket").applyInPandas(lead, schema)
-    edges = first.unionByName(second).filter("k1 <> l1 or k2 <> l2")
-    return edges.select(node().alias("u"), F.struct(F.col("l1").alias("k1"), F.col("l2").alias("k2")).alias("v"))
+    edges = first.unionByName(second).filter("k1 <> r1 or k2 <> r2")
+    return edges.select(node().alias("u"), F.struct(F.col("r1").alias("k1"), F.col("r2").alias("k2")).alias("v"))
 
 
 def intersections(sets):
