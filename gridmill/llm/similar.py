@@ -150,9 +150,14 @@ def candidate_edges(trees_of_texts, depth, threshold=THRESHOLD, leaders=LEADERS,
     prefix = lambda x: F.substring(x, 1, 4 * depth)
     nodes = trees_of_texts.select(*KEY, F.posexplode("labels").alias("tree", "label")).select(
         F.xxhash64("tree", prefix(F.col("label"))).alias("bucket"), *KEY
-    ).distinct()
-    shared = nodes.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
-    members = stored(nodes.join(shared, "bucket"), "buckets")
+    )
+    # All places go through one sum per bucket; only those of buckets with
+    # different texts are shuffled again.
+    ends = nodes.groupBy("bucket").agg(F.min("k1").alias("a"), F.max("k1").alias("b"))
+    shared = stored(ends.filter("a <> b").select("bucket"), "shared")
+    maybe = may_hold(nodes, "bucket", key_bits(shared, "bucket")).filter("may_hold").drop("may_hold")
+    members = stored(maybe.distinct().join(shared, "bucket", "left_semi"), "buckets")
+    members = members.join(members.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")), "bucket")
     named = stored(members.select(*KEY).distinct(), "bucket-texts")
     sketches = trees_of_texts.select(*KEY, "sketch").join(named, KEY, "left_semi").dropDuplicates(KEY)
     sketches = stored(sketches, "sketches")
