@@ -173,9 +173,9 @@ def cardinalities(df, columns):
 
 
 def peak_interval(readings, by, ts, load):
-    """Time, clock label and size of the highest load per group, earliest on ties."""
+    """Time, clock label and size of the highest load per group, earliest on ties; NaN counts as missing."""
     peak = readings.groupBy(*by).agg(
-        F.max(F.struct(F.col(load).alias("load"), (-F.unix_micros(F.col(ts).cast("timestamp"))).alias("early")))
+        F.max(F.struct(F.when(~F.isnan(load), F.col(load)).alias("load"), (-F.unix_micros(F.col(ts).cast("timestamp"))).alias("early")))
         .alias("peak")
     )
     at = F.timestamp_micros(-F.col("peak.early"))
