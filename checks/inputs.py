@@ -120,6 +120,22 @@ def envelope_messages(events):
     )
 
 
+def damaged_messages(events):
+    """Envelope messages, of which some cannot be read: of the ids, those divisible
+    by 17 are no JSON, by 13 have a word as date, by 11 a NaN load, by 7 a load of 1e13."""
+    made = envelope_messages(events)
+    key = F.col("key").cast("bigint")
+    swap = lambda name, text: F.regexp_replace(
+        "value", f'"{name}":("[^"]*"|[^,}}]*)', f'"{name}":{text}'
+    )
+    return made.withColumn(
+        "value",
+        F.when(key % 17 == 0, F.lit("{not json")).when(key % 13 == 0, swap("date", '"someday"'))
+        .when(key % 11 == 0, swap("load_percentage", '"NaN"')).when(key % 7 == 0, swap("load_percentage", "1.0E13"))
+        .otherwise(F.col("value")),
+    )
+
+
 def house_messages(spark, folder):
     """Parts as house messages with a key and a broker time."""
     part = load(spark, folder, "part")

@@ -183,6 +183,11 @@ def describe(column, source, by=None):
         FROM {source} {group}"""
 
 
+DAMAGED = """(
+    SELECT *, o_orderkey % 13 <> 0 AND o_orderkey % 11 = 0 AS nan,
+           CASE WHEN o_orderkey % 13 = 0 THEN o_totalprice WHEN o_orderkey % 11 = 0 THEN NULL
+                WHEN o_orderkey % 7 = 0 THEN 1e13 ELSE o_totalprice END AS load
+    FROM orders WHERE o_orderkey % 17 <> 0)"""
 LATEST = "(SELECT max(o_orderdate) FROM orders)"
 SERVING = " UNION ALL ".join(
     f"SELECT date, total_daily_energy, record_count, '{name}' AS layer, {rank} AS version"
@@ -262,8 +267,19 @@ ORACLES = {
     "monthly_merge": f"""
         SELECT CAST(month(o_orderdate) AS INT) AS month_num,
                strftime(o_orderdate, '%B') AS month_name,
-               {mean('o_totalprice')} AS avg_load_percentage
-        FROM orders GROUP BY 1, 2""",
+               {mean('load')} AS avg_load_percentage
+        FROM {DAMAGED} GROUP BY 1, 2""",
+    "fanout_detail": f"""
+        SELECT CAST(o_custkey AS VARCHAR) AS customer_id, strftime(o_orderdate, '%Y') AS year,
+               CAST(month(o_orderdate) AS INT) AS month_num, strftime(o_orderdate, '%B') AS month_name,
+               CAST(day(o_orderdate) AS INT) AS day,
+               CASE WHEN o_orderkey % 13 <> 0 THEN CAST(o_orderdate AS DATE) END AS date,
+               CAST(hour(o_orderdate) AS INT) AS hour,
+               CASE WHEN nan THEN CAST('NaN' AS DOUBLE) ELSE load END AS load_percentage
+        FROM {DAMAGED}""",
+    "fanout_raw": f"""
+        SELECT 'raw' AS kind, 'line ' || o_orderkey AS text FROM {DAMAGED}
+        UNION ALL SELECT 'rejected', '{{not json' FROM orders WHERE o_orderkey % 17 = 0""",
     "topic_route": """
         SELECT 'topic-' || event_type AS topic,
                CASE event_type WHEN 'error' THEN 'rejected' ELSE 'routed' END AS outcome,
@@ -338,7 +354,34 @@ ORACLES = {
                CAST(max(hour(ts)) AS INT) AS last_hour, CAST(max(minute(ts)) AS INT) AS last_minute
         FROM events GROUP BY 1 ORDER BY data_date DESC LIMIT 10""",
     "describe_profile": describe("load", EVENT_READINGS, "customer_id"),
-    "describe_table": describe("l_extendedprice", "lineitem"),
+    "describe_table": " UNION ALL ".join(
+        f"SELECT '{c}' AS \"column\", * FROM ({describe(c, 'lineitem')})"
+        for c in ("l_quantity", "l_extendedprice", "l_discount", "l_tax")
+    ),
+    "describe_missing": describe("load", f"""(
+        SELECT CASE WHEN profile_type <> 'signup' THEN customer_id END AS customer_id,
+               CASE WHEN CAST(customer_id AS INT) % 5 <> 0 THEN load END AS load
+        FROM {EVENT_READINGS})""", "customer_id"),
+    "describe_columns": " UNION ALL ".join(
+        f"""SELECT '{c}' AS "column", count({c}) AS count,
+                   {f'round(avg({c}), 6)' if number else 'CAST(NULL AS DOUBLE)'} AS mean,
+                   {f'round(stddev_samp({c}), 6)' if number else 'CAST(NULL AS DOUBLE)'} AS std,
+                   CAST(min({c}) AS VARCHAR) AS min, CAST(max({c}) AS VARCHAR) AS max FROM customer"""
+        for c, number in (("c_custkey", True), ("c_name", False), ("c_nationkey", True), ("c_mktsegment", False))
+    ),
+    "peak_interval_nan": f"""
+        SELECT customer_id, load AS peak_load, ts AS peak_time, strftime(ts, '%H:%M') AS peak_clock
+        FROM (SELECT * REPLACE (CASE WHEN profile_type <> 'error' THEN load END AS load) FROM {EVENT_READINGS})
+        QUALIFY row_number() OVER (PARTITION BY customer_id ORDER BY load DESC NULLS LAST, ts) = 1""",
+    "tied_window": f"""
+        SELECT event_id, lag(load, 1) OVER w AS lag_1, lag(load, 5) OVER w AS lag_5,
+               max(load) OVER (w ROWS BETWEEN 6 PRECEDING AND CURRENT ROW) AS max_7
+        FROM {EVENT_READINGS} WINDOW w AS (ORDER BY date_trunc('hour', ts), event_id)""",
+    "newest_run": """
+        SELECT CAST(o_custkey AS VARCHAR) AS name, lpad(CAST(o_orderkey AS VARCHAR), 12, '0') AS run_id,
+               'm/' || o_orderkey AS path
+        FROM orders WHERE o_orderstatus = 'F'
+        QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey DESC) = 1""",
     "peak_interval": f"""
         SELECT customer_id, load AS peak_load, ts AS peak_time, strftime(ts, '%H:%M') AS peak_clock
         FROM {EVENT_READINGS}

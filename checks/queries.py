@@ -144,8 +144,9 @@ def rejected_messages(spark, folder):
 
 
 def _event_stream(spark, folder, name):
+    """The table as a stream: as a glob, the path may be one file or a folder of part files."""
     schema = I.load(spark, folder, name).schema
-    return M.stream_files(spark, folder, schema, glob=f"{name}.parquet", files_per_trigger=1)
+    return M.stream_files(spark, f"{folder}/{{{name}.parquet}}", schema, files_per_trigger=2)
 
 
 def stream_bronze(spark, folder):
@@ -157,8 +158,8 @@ def stream_bronze(spark, folder):
     return _stream_columns(spark.read.parquet(f"{work}/table"))
 
 
-def monthly_merge(spark, folder):
-    """The fan-out job over all orders, then the merged monthly averages."""
+def _fan_out(spark, folder):
+    """Folder of the tables that the fan-out job makes of all orders."""
     work = new_folder(spark, "fanout")
     orders = _event_stream(spark, folder, "orders").select(
         F.col("o_orderkey").alias("event_id"),
@@ -167,9 +168,28 @@ def monthly_merge(spark, folder):
         F.col("o_orderdate").alias("ts"),
         F.col("o_totalprice").alias("value"),
     )
-    job = S.fan_out(I.envelope_messages(orders), work, f"{work}/state", available_now=True)
+    job = S.fan_out(I.damaged_messages(orders), work, f"{work}/state", available_now=True, scale=SCALE)
     job.awaitTermination()
-    return S.monthly_average_table(spark, work)
+    return work
+
+
+def monthly_merge(spark, folder):
+    """The fan-out job over all orders, then the merged monthly averages."""
+    return S.monthly_average_table(spark, _fan_out(spark, folder))
+
+
+def fanout_detail(spark, folder):
+    """Load details of the fan-out job, damaged messages included."""
+    return spark.read.parquet(f"{_fan_out(spark, folder)}/load_data_detail").select(
+        "customer_id", "year", "month_num", "month_name", "day", "date", "hour", "load_percentage"
+    )
+
+
+def fanout_raw(spark, folder):
+    """Raw lines of all records, and the messages without one."""
+    work = _fan_out(spark, folder)
+    raw = spark.read.parquet(f"{work}/raw_data").select(F.lit("raw").alias("kind"), F.col("raw_data").alias("text"))
+    return raw.unionByName(spark.read.parquet(f"{work}/rejected").select(F.lit("rejected").alias("kind"), F.col("value").alias("text")))
 
 
 def topic_route(spark, folder):
@@ -334,16 +354,42 @@ def describe_profile(spark, folder):
 
 def describe_table(spark, folder):
     return _rounded_summary(rollup.summary(
-        I.load(spark, folder, "lineitem"), "l_extendedprice", scale=SCALE
+        I.load(spark, folder, "lineitem"), ["l_quantity", "l_extendedprice", "l_discount", "l_tax"], scale=SCALE
     ))
 
 
+def describe_missing(spark, folder):
+    """Event values per customer, where the key of signups and the values of every fifth customer are missing."""
+    events = I.readings(spark, folder)
+    return _rounded_summary(rollup.summary(
+        events.select(
+            F.when(F.col("profile_type") != "signup", F.col("customer_id")).alias("customer_id"),
+            F.when(F.col("customer_id").cast("int") % 5 != 0, F.col("load_percentage"))
+            .when(F.col("event_id") % 2 == 0, F.lit(float("nan"))).alias("load"),
+        ),
+        "load", by=["customer_id"], scale=SCALE,
+    ))
+
+
+def describe_columns(spark, folder):
+    """Whole-table description of numbers and texts."""
+    customer = I.load(spark, folder, "customer").select("c_custkey", "c_name", "c_nationkey", "c_mktsegment")
+    return rollup.describe(customer).withColumns({"mean": F.round("mean", 6), "std": F.round("std", 6)})
+
+
 def peak_interval(spark, folder):
     return rollup.peak_interval(
         I.readings(spark, folder), ["customer_id"], "full_timestamp", "load_percentage"
     )
 
 
+def peak_interval_nan(spark, folder):
+    """Peaks where the values of errors are NaN."""
+    load = F.when(F.col("profile_type") == "error", F.lit(float("nan"))).otherwise(F.col("load_percentage"))
+    readings = I.readings(spark, folder).withColumn("load_percentage", load)
+    return rollup.peak_interval(readings, ["customer_id"], "full_timestamp", "load_percentage")
+
+
 def cardinality(spark, folder):
     return rollup.cardinalities(
         I.readings(spark, folder), ["customer_id", "profile_type", "load_percentage"]
@@ -406,6 +452,16 @@ def shifted_window(spark, folder):
     ).select("event_id", "customer_id", "avg_before_3", "max_before_7")
 
 
+def tied_window(spark, folder):
+    """Windows over all events in one series, ordered by the hour, which many share, and the id."""
+    value = "load_percentage"
+    readings = I.hourly_readings(spark, folder).select("event_id", "full_timestamp", value)
+    return windows.chunked(
+        readings, ["full_timestamp", "event_id"], reach=7, rows_per_chunk=2000,
+        columns=lambda w: {**windows.lags(value, (1, 5), w, "lag"), "max_7": windows.rolling_max(value, w, 7)},
+    ).select("event_id", "lag_1", "lag_5", "max_7")
+
+
 def dense_series(spark, folder):
     daily = rollup.daily_readings(I.order_readings(spark, folder), scale=SCALE)
     dense = windows.densify(daily.select("date", "total_daily_energy", "record_count"))
@@ -599,6 +655,21 @@ def run_log_pivot(spark, folder):
     return reports.log_pivot(runs, ("click", "error", "purchase", "signup", "view"))
 
 
+def newest_run(spark, folder):
+    """Orders as runs: customers as models, orders without a finished status saved no files."""
+    orders = I.load(spark, folder, "orders")
+    path = F.when(F.col("o_orderstatus") == "F", F.concat(F.lit("m/"), "o_orderkey"))
+    facts = F.explode(F.array(
+        F.struct(F.lit("model_name").alias("key"), F.col("o_custkey").cast("string").alias("value")),
+        F.struct(F.lit("model_path").alias("key"), path.alias("value")),
+    ))
+    runs = orders.select(
+        F.lpad(F.col("o_orderkey").cast("string"), 12, "0").alias("run_id"), F.lit("param").alias("kind"), facts.alias("fact"),
+        F.col("o_orderdate").cast("timestamp").alias("ts"),
+    ).select("run_id", "kind", "fact.*", "ts")
+    return registry.newest_run(runs).select("name", "run_id", "path")
+
+
 # --- models ---------------------------------------------------------------
 def standard_scale(spark, folder):
     orders = I.load(spark, folder, "orders").select("o_orderkey", "o_totalprice")
@@ -697,18 +768,18 @@ QUERIES = {
     f.__name__: f
     for f in (
         wide_unpivot, file_ingest_report, day_file_readings, written_table, missing_days, csv_cast_filter, table_count,
-        kafka_batch_parse, envelope_explode, rejected_messages, stream_bronze, monthly_merge,
+        kafka_batch_parse, envelope_explode, rejected_messages, stream_bronze, monthly_merge, fanout_detail, fanout_raw,
         topic_route, to_kafka_rows, decimal_result, serving_union, filter_gt, expr_bonus,
         season_filter, date_range_daily, latest_snapshot, freshness, customer_profile,
         expected_load, system_rollup, daily_total_energy, daily_silver, sql_daily_by_season,
         monthly_average, daily_energy_stats, date_span, avg_by_group, coverage_report,
-        describe_profile, describe_table, peak_interval, cardinality, prediction_report,
-        features_ml, features_silver, chunked_window, shifted_window, dense_series,
+        describe_profile, describe_table, describe_missing, describe_columns, peak_interval, peak_interval_nan, cardinality, prediction_report,
+        features_ml, features_silver, chunked_window, shifted_window, tied_window, dense_series,
         chrono_split, split_sizes, hash_split, random_split, latest_predictions, customer_comparison,
         union_days, table_counts, day_from_name, day_number_to_date, calendar_columns,
         parse_iso_ts, cyclic_features, seasonal_features, rounding, json_props,
         season_of_month, sample_days, availability_gate, minimum_rows, pick_model,
-        pick_version, run_log_pivot, standard_scale, ols_fit, saved_model, score_batch, eval_metrics,
+        pick_version, newest_run, run_log_pivot, standard_scale, ols_fit, saved_model, score_batch, eval_metrics,
         overfit_gap, gbt_forecast, gbt_importances, rf_seasonal, rf_autumn,
     )
 }

@@ -13,10 +13,11 @@ def exact(value, scale):
     """The value as a decimal with `scale` digits, or unchanged without a scale.
 
     Decimal sums do not depend on the order of addition, so totals repeat bit
-    for bit whatever the partitioning; doubles are the faster default.
+    for bit whatever the partitioning; doubles are the faster default. What does
+    not fit becomes null.
     """
     column = as_column(value)
-    return column if scale is None else column.cast(f"decimal(18,{scale})")
+    return column if scale is None else column.try_cast(f"decimal(18,{scale})")
 
 
 def total(value, scale=None):

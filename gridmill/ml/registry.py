@@ -52,14 +52,19 @@ def save_model(model, path):
     return path
 
 
+def saved_path(folder, name, version):
+    return f"{folder}/saved/{name}/{version}"
+
+
 def register_model(spark, folder, model, name, stage="None", run_id=None):
-    """Save a model under the next version of its name and record it.
+    """Save a model under the next version of its name and record it; returns the version.
 
-    The model is written before its registry row, so a row always has files.
+    The model is written before its registry row, so a row always has files. One
+    writer per name: two jobs at once would take the same version.
     """
     top = read_models(spark, folder).filter(F.col("name") == name).agg(F.max("version")).first()[0]
     version = (top or 0) + 1
-    path = save_model(model, f"{folder}/saved/{name}/{version}")
+    path = save_model(model, saved_path(folder, name, version))
     row = (name, version, stage, path, run_id, datetime.datetime.now())
     frame = spark.createDataFrame([row], schemas.MODELS).coalesce(1)
     frame.write.mode("append").parquet(f"{folder}/models")
@@ -99,24 +104,36 @@ def pick_model(months, models, month="month"):
     )
 
 
-def newest_run_model(spark, folder):
-    """Path of the newest run that saved a model, for when none is registered."""
-    row = (
-        read_runs(spark, folder)
-        .filter((F.col("kind") == "param") & (F.col("key") == "model_path"))
-        .agg(F.max_by("value", "ts").alias("path"))
-        .first()
+def newest_run(runs):
+    """One row per model name: the run that logged it last and the path it saved.
+
+    Runs name their model in `model_name` and its files in `model_path`.
+    """
+    logged = lambda key: F.max_by(
+        F.when((F.col("kind") == "param") & (F.col("key") == key), F.col("value")),
+        F.when((F.col("kind") == "param") & (F.col("key") == key), F.col("ts")),
+    )
+    per_run = runs.groupBy("run_id").agg(
+        logged("model_name").alias("name"), logged("model_path").alias("path"), F.max("ts").alias("ts")
+    )
+    newest = per_run.filter("name IS NOT NULL AND path IS NOT NULL").groupBy("name").agg(
+        F.max(F.struct("ts", "run_id", "path")).alias("top")
     )
-    return row["path"]
+    return newest.select("name", "top.run_id", "top.path", "top.ts")
 
 
 def load_model(spark, folder, name, production_first=True, cached=True):
-    """The chosen version of a model, else the newest run's model."""
+    """The chosen version of a model, else what the newest run of that name saved."""
     row = pick_version(read_models(spark, folder).filter(F.col("name") == name), production_first)
     chosen = row.first()
-    path = chosen["path"] if chosen else newest_run_model(spark, folder)
-    if path is None:
+    if chosen is None:
+        try:
+            chosen = newest_run(read_runs(spark, folder)).filter(F.col("name") == name).first()
+        except AnalysisException:  # nothing was logged yet
+            chosen = None
+    if chosen is None:
         raise LookupError(f"no model is registered under {name}")
+    path = chosen["path"]
     if not cached:
         return PipelineModel.load(path)
     if path not in _LOADED:

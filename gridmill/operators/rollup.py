@@ -8,11 +8,9 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from gridmill.functions import calendar as C
-from gridmill.functions.numbers import mean, missing_to_null, total
+from gridmill.functions.numbers import exact, mean, missing_to_null, total
 from gridmill.session import stored
 
-BROADCAST_GROUPS = 100_000
-
 
 def system_rollup(readings, ts="full_timestamp", load="load_percentage",
                   customer="customer_id", scale=None):
@@ -118,12 +116,12 @@ def monthly_average(readings, ts, load, scale=None):
     ).agg(mean(missing_to_null(load), scale).alias("avg_load_percentage"))
 
 
-def monthly_partials(readings, ts, load, by=()):
-    """Sum and count per month: the parts that averages merge from."""
-    value = F.col(load).cast("decimal(18,6)")
+def monthly_partials(readings, ts, load, by=(), scale=None):
+    """Sum and count per month: the parts that averages merge from. NaN loads count as missing."""
+    value = exact(missing_to_null(load), scale)
     return readings.groupBy(
         *by, F.month(ts).alias("month_num"), C.month_name(ts).alias("month_name")
-    ).agg(F.sum(value).alias("load_sum"), F.count(load).alias("load_count"))
+    ).agg(F.sum(value).alias("load_sum"), F.count(value).alias("load_count"))
 
 
 def merge_monthly(partials):
@@ -152,24 +150,17 @@ def averages_by(df, by, columns, scale=None):
 
 
 def cardinalities(df, columns):
-    """Distinct counts named `<column>_count`, plus the row count.
+    """One row per column: its name as `column` and its `distinct_values`, nulls left out.
 
-    Each column is collapsed on its own before counting: one row per distinct
-    value and task reaches the shuffle, not one copy of the table per column.
+    The table is read once. Every row yields its values, which collapse to one
+    row per distinct value and task before they are shuffled.
     """
-    counts = [
-        df.select(F.lit(c).alias("column"), F.col(c).cast("string").alias("value"))
-        .filter(F.col("value").isNotNull())
-        .groupBy("column", "value")
-        .agg(F.count(F.lit(1)).alias("rows"))
-        .groupBy("column")
-        .agg(F.count(F.lit(1)).alias("distinct_values"))
-        for c in columns
-    ]
-    stacked = counts[0]
-    for more in counts[1:]:
-        stacked = stacked.unionByName(more)
-    return stacked
+    cells = F.explode(F.array(*[
+        F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("value")) for c in columns
+    ]))
+    # Grouping without an aggregate collapses the values map-side.
+    distinct = df.select(cells.alias("_cell")).select("_cell.*").distinct()
+    return distinct.groupBy("column").agg(F.count("value").alias("distinct_values"))
 
 
 def peak_interval(readings, by, ts, load):
@@ -195,98 +186,104 @@ def split_sizes(df, split="split"):
     return df.groupBy(split).agg(F.count(F.lit(1)).alias("row_count"))
 
 
-def summary(df, column, by=(), quantiles=(0.25, 0.5, 0.75), parts=64, unsplit=100_000,
-            scale=None):
+def summary(df, column, by=(), quantiles=(0.25, 0.5, 0.75), scale=None, accuracy=10_000):
     """count, mean, std, min, exact interpolated quantiles and max per group.
 
-    A group's values are never gathered in one task. Equal values collapse to
-    (value, frequency) pairs; a sketch cuts groups of more than `unsplit` pairs
-    into `parts` parts; only the parts that hold a wanted rank are ordered, one
-    task per part. Pairs and cut points are stored once, so every branch sees the
-    same parts: the sketch decides who does the work, exact totals the result.
+    `column` is a name, or a list of names for one row per group and column (then
+    with the name as `column`). Null and NaN values count as missing; null keys
+    are a group, a group of missing values only and an empty frame count 0.
+
+    Two passes, whatever the size: the first sketches each group map-side and
+    brackets every quantile, the second keeps single values only inside the
+    brackets (some 6 / `accuracy` of the rows for each) and collapses what lies
+    between two brackets to one cell. Cells are ordered by range, so a group
+    with many of them is spread over tasks; ranks are exact counts. A cell knows
+    its least and greatest value, which covers ranks at the edge of a bracket.
     """
-    keys = list(by) or ["_all"]
-    keyed = df if by else df.withColumn("_all", F.lit(0))
-    pairs = stored(
-        keyed.select(*keys, missing_to_null(column).alias("_v"))
-        .filter(F.col("_v").isNotNull())
-        .groupBy(*keys, "_v")
-        .agg(F.count(F.lit(1)).alias("_n")),
-        "summary-pairs",
-    )
-    if scale is None:
-        weighted = F.sum(F.col("_v") * F.col("_n"))
-    else:
-        weighted = F.sum(F.col("_v").cast(f"decimal(18,{scale})") * F.col("_n")).cast("double")
-    groups = stored(
-        pairs.groupBy(*keys).agg(
-            F.sum("_n").alias("count"),
-            (weighted / F.sum("_n")).alias("mean"),
-            F.min("_v").alias("min"),
-            F.max("_v").alias("max"),
-            F.count(F.lit(1)).alias("_pairs"),
-        ),
-        "summary-groups",
-    )
-    # Only groups above `unsplit` pairs get cut points. Their list is counted
-    # before it is broadcast, so that a hot group is sketched map-side.
-    large = groups.filter(F.col("_pairs") > unsplit).select(*keys)
-    number = large.count()
-    if number:
-        fractions = F.array(*[F.lit(i / parts) for i in range(1, parts)])
-        cuts = stored(
-            pairs.join(F.broadcast(large) if number <= BROADCAST_GROUPS else large, keys, "left_semi")
-            .groupBy(*keys)
-            .agg(F.percentile_approx("_v", fractions, F.lit(parts * 100)).alias("_cuts")),
-            "summary-cuts",
+    columns = [column] if isinstance(column, str) else list(column)
+    key = F.struct(*by) if by else F.struct(F.lit(0).alias("all"))
+    names = [f"_v{i}" for i in range(len(columns))]
+    keyed = df.select(key.alias("_key"), *[missing_to_null(c).alias(n) for c, n in zip(columns, names, strict=True)])
+    margin = 3 / accuracy
+    fractions = F.array(*[F.lit(min(max(q + m, 0.0), 1.0)) for q in quantiles for m in (-margin, margin)])
+    stats = F.array(*[
+        F.struct(
+            F.lit(c).alias("column"), F.count(n).alias("count"), mean(n, scale).alias("mean"),
+            F.stddev_samp(n).alias("std"), F.min(n).alias("min"), F.max(n).alias("max"),
+            F.percentile_approx(n, fractions, F.lit(accuracy)).alias("_marks"),
         )
-        per_group = groups.select(*keys, "count", "mean").join(cuts, keys, "left")
-        below = F.size(F.filter("_cuts", lambda c: c < F.col("_v")))
-        part = F.when(F.col("_cuts").isNotNull(), below).otherwise(0)
-    else:
-        per_group, part = groups.select(*keys, "count", "mean"), F.lit(0)
-    placed = pairs.join(per_group, keys).withColumn("_part", part)
-
-    # Rows and squared deviations per part, and the rank each part starts at.
-    deviation = F.col("_v") - F.col("mean")
-    per_part = placed.groupBy(*keys, "_part").agg(
-        F.sum("_n").alias("_rows"),
-        F.sum(F.col("_n") * deviation * deviation).alias("_squares"),
-        F.max("count").alias("count"),
+        for c, n in zip(columns, names, strict=True)
+    ]).alias("_stats")
+    # Without keys, the aggregate of an empty frame is still one row.
+    firsts = keyed.groupBy("_key").agg(stats) if by else keyed.agg(stats).withColumn("_key", key)
+    groups = stored(firsts.select("_key", F.inline("_stats")), "summary-groups")
+    here = ["_key", "column"]
+
+    values = keyed.select("_key", F.explode(F.array(*[
+        F.struct(F.lit(c).alias("column"), F.col(n).alias("v")) for c, n in zip(columns, names, strict=True)
+    ])).alias("_one")).select("_key", F.col("_one.column").alias("column"), F.col("_one.v").alias("_v"))
+    v, inside = F.col("_v"), F.lit(False)
+    for i in range(len(quantiles)):
+        inside = inside | v.between(F.col("_marks")[2 * i], F.col("_marks")[2 * i + 1])
+    below = F.array_max(F.filter("_marks", lambda m: m < v))
+    cells = (
+        values.filter(v.isNotNull()).join(groups.select(*here, "count", "_marks"), here)
+        .select(*here, "count", "_v", F.when(inside, v).otherwise(below).alias("_at"), (~inside).alias("_gap"))
+        .groupBy(*here, "count", "_at", "_gap")
+        .agg(F.count(F.lit(1)).alias("_n"), F.min("_v").alias("_low"), F.max("_v").alias("_high"))
     )
-    in_group = Window.partitionBy(*keys)
-    earlier = in_group.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    ranges = per_part.select(
-        *keys, "_part", "_rows", "count",
-        F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_start"),
-        F.sum("_squares").over(in_group).alias("_squares"),
+    dealt = cells.repartitionByRange(*here, "_at", "_gap").withColumn("_deal", F.spark_partition_id())
+    dealt = stored(dealt, "summary-cells")
+    earlier = Window.partitionBy(*here).orderBy("_deal").rowsBetween(Window.unboundedPreceding, -1)
+    starts = dealt.groupBy(*here, "_deal").agg(F.sum("_n").alias("_rows")).select(
+        *here, "_deal", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_start")
     )
+    upto = Window.partitionBy(*here, "_deal").orderBy("_at", "_gap").rowsBetween(Window.unboundedPreceding, 0)
+    placed = dealt.withColumn("_upto", F.sum("_n").over(upto)).join(starts, [*here, "_deal"])
 
     # Wanted zero-based ranks: below and above each quantile position.
     position = lambda q: (F.col("count") - 1) * F.lit(q)
     ranks = F.array_distinct(F.array(*[f(position(q)) for q in quantiles for f in (F.floor, F.ceil)]))
-    in_part = lambda r: (r >= F.col("_start")) & (r < F.col("_start") + F.col("_rows"))
-    wanted = ranges.withColumn("_ranks", F.filter(ranks, in_part)).filter(F.size("_ranks") > 0)
-    upto = Window.partitionBy(*keys, "_part").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
+    end = F.col("_start") + F.col("_upto")
+    found = F.filter(ranks, lambda r: (r >= end - F.col("_n")) & (r < end))
     at_rank = (
-        placed.select(*keys, "_part", "_v", "_n")
-        .join(wanted.select(*keys, "_part", "_start", "_squares", "_ranks"), [*keys, "_part"])
-        .withColumn("_end", F.col("_start") + F.sum("_n").over(upto))
-        .withColumn("_rank", F.explode("_ranks"))
-        .filter((F.col("_rank") < F.col("_end")) & (F.col("_rank") >= F.col("_end") - F.col("_n")))
-        .groupBy(*keys)
-        .agg(
-            F.map_from_entries(F.collect_list(F.struct("_rank", "_v"))).alias("_at"),
-            F.max("_squares").alias("_squares"),
-        )
+        F.when(F.col("_rank") == F.col("_end") - F.col("_n"), F.col("_low"))
+        .when(F.col("_rank") == F.col("_end") - 1, F.col("_high"))
+        .when(F.col("_low") == F.col("_high"), F.col("_low"))
+        .otherwise(F.raise_error(F.lit("a rank lies outside its bracket: lower `accuracy`")).cast("double"))
+    )
+    at = (
+        placed.select(*here, "_n", "_low", "_high", end.alias("_end"), F.explode(found).alias("_rank"))
+        .groupBy(*here)
+        .agg(F.map_from_entries(F.collect_list(F.struct("_rank", at_rank))).alias("_ranked"))
     )
 
     def value(q):
-        low, high = F.col("_at")[F.floor(position(q))], F.col("_at")[F.ceil(position(q))]
-        return low + (high - low) * (position(q) - F.floor(position(q)))
+        low, high = F.col("_ranked")[F.floor(position(q))], F.col("_ranked")[F.ceil(position(q))]
+        return F.when(low == high, low).otherwise(low + (high - low) * (position(q) - F.floor(position(q))))
 
-    spread = F.when(F.col("count") > 1, F.sqrt(F.col("_squares") / (F.col("count") - 1)))
-    return groups.join(at_rank, keys).select(
-        *by, "count", "mean", spread.alias("std"), "min",
-        *[value(q).alias(f"p{round(q * 100)}") for q in quantiles], "max",
+    return groups.join(at, here, "left").select(
+        *[F.col("_key")[k].alias(k) for k in by], *([] if isinstance(column, str) else ["column"]),
+        "count", "mean", "std", "min", *[value(q).alias(f"p{round(q * 100)}") for q in quantiles], "max",
     )
+
+
+def describe(df, columns=None):
+    """count, mean, std, min and max of every column, one row each and one pass.
+
+    Text and other columns without numbers have no mean and std; extremes are
+    shown as text.
+    """
+    numeric = ("byte", "short", "integer", "long", "float", "double", "decimal")
+    rows = []
+    for field in df.schema:
+        if columns is None or field.name in columns:
+            c, none = F.col(field.name), F.lit(None).cast("double")
+            is_number = field.dataType.typeName() in numeric
+            rows.append(F.struct(
+                F.lit(field.name).alias("column"), F.count(c).alias("count"),
+                (F.avg(c).cast("double") if is_number else none).alias("mean"),
+                (F.stddev_samp(c) if is_number else none).alias("std"),
+                F.min(c).cast("string").alias("min"), F.max(c).cast("string").alias("max"),
+            ))
+    return df.agg(F.array(*rows).alias("_rows")).select(F.inline("_rows"))

@@ -11,6 +11,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from gridmill.functions.numbers import as_column, exact
+from gridmill.session import stored
 
 
 def ordered(order, partition_by=()):
@@ -52,14 +53,15 @@ def rolling_min(column, window, span, shifted=False):
 
 
 def densify(daily, date="date"):
-    """A row for every date between the first and the last; added rows are null."""
+    """A row for every date between the first and the last; added rows are null,
+    rows without a date stay."""
     span = daily.agg(F.min(date).alias("_a"), F.max(date).alias("_b"))
     calendar = span.select(F.explode(F.sequence("_a", "_b")).alias(date))
-    return calendar.join(daily, date, "left")
+    return calendar.join(daily, date, "full")
 
 
-def even_buckets(df, column, parts=64, name="bucket"):
-    """Buckets of about equal row count along a column; nulls come first.
+def even_buckets(df, column, parts, name="bucket"):
+    """At most `parts` buckets of about equal row count along a column; nulls come first.
 
     A sketch of the column proposes the bounds, which come to the driver as at
     most `parts` numbers and go back as constants: a stretch that holds a third
@@ -116,7 +118,7 @@ def numbered(df, order, bucket, name="row_num", by=()):
     )
 
 
-def chunked(df, order, reach, columns, by=(), bucket=None, parts=64, rows_per_chunk=100_000):
+def chunked(df, order, reach, columns, by=(), bucket=None, rows_per_chunk=100_000):
     """Row-based window columns over long series, many tasks per series.
 
     `columns` maps a window to named columns that look back at most `reach`
@@ -125,15 +127,18 @@ def chunked(df, order, reach, columns, by=(), bucket=None, parts=64, rows_per_ch
     are dropped again. The result equals the same window over whole series, and
     a group with a third of all rows is spread like any other rows.
 
-    Without a `bucket` for the numbering, `parts` even ones are made along the
-    first order column. The frame is read three times: store costly ones first.
+    Without a `bucket` for the numbering, rows are dealt to partitions by range
+    of the complete order and stored once, so equal values of its first column
+    are split by the others. With one, the frame is read twice: store costly
+    ones first.
     """
     if reach > rows_per_chunk:
         raise ValueError("a chunk must hold at least `reach` rows")
     kept = df.columns
     if bucket is None:
-        first = order if isinstance(order, str) else order[0]
-        df, bucket = even_buckets(df, first, parts, "_even"), "_even"
+        spread = [order] if isinstance(order, str) else list(order)
+        dealt = df.repartitionByRange(*spread).withColumn("_even", F.spark_partition_id())
+        df, bucket = stored(dealt, "dealt"), "_even"
     rows = numbered(df, order, bucket, "_row", by)
     home = F.floor((F.col("_row") - 1) / rows_per_chunk)
     is_tail = (F.col("_row") - 1) % rows_per_chunk >= rows_per_chunk - reach

@@ -1,6 +1,7 @@
 """End-to-end jobs: ingest day files, forecast, seasonal training, scoring."""
 
 import time
+import uuid
 
 from pyspark.sql import functions as F
 
@@ -29,12 +30,12 @@ def daily_series(readings, scale=None):
 
 
 def evaluate_splits(model, rows, label):
-    """Metrics per split as a dictionary, one aggregation over all predictions."""
+    """Metrics and row count per split as a dictionary, one aggregation over all predictions."""
     scored = evaluate.metrics(model.transform(rows), label)
     return {
-        f"{row['split']}_{metric}": row[metric]
+        f"{row['split']}_{name}": row[metric]
         for row in scored.collect()
-        for metric in ("rmse", "mae", "r2")
+        for metric, name in (("rmse", "rmse"), ("mae", "mae"), ("r2", "r2"), ("row_count", "rows"))
     }
 
 
@@ -55,15 +56,17 @@ def train_forecast(spark, readings, folder, name="system_energy_forecaster", **s
     scores.update({f"{k}_rows": v for k, v in sizes.items()})
     scores.update(training_time=fit_seconds, total_time=time.time() - started)
     ranked = models.importances(spark, model, names).collect()
-    path = registry.save_model(model, f"{folder}/runs_models/{name}")
-    run_id = registry.log_run(
+    run_id = uuid.uuid4().hex
+    version = registry.register_model(spark, folder, model, name, run_id=run_id)
+    path = registry.saved_path(folder, name, version)
+    registry.log_run(
         spark, folder,
         params={**fixed.GBT, **settings, "total_features": len(names),
-                "feature_list": ", ".join(names), "model_path": path},
+                "feature_list": ", ".join(names), "model_name": name, "model_path": path},
         metrics=scores,
         importances={row["feature"]: row["importance"] for row in ranked},
+        run_id=run_id,
     )
-    registry.register_model(spark, folder, model, name, run_id=run_id)
     return model, scores, run_id
 
 
@@ -100,23 +103,29 @@ def train_seasonal(spark, readings, season, year, folder, min_rows=fixed.MIN_TRA
             rows.filter("split = 'train'")
         )
         scores = evaluate_splits(model, rows, label)
+        period = rows.agg(F.min("date").alias("first"), F.max("date").alias("last")).first()
     finally:
         rows.unpersist()
     ranked = models.importances(spark, model, names).collect()
-    run_id = registry.log_run(
+    run_id, name = uuid.uuid4().hex, fixed.SEASON_MODELS[season]
+    version = registry.register_model(spark, folder, model, name, run_id=run_id)
+    path = registry.saved_path(folder, name, version)
+    registry.log_run(
         spark, folder,
         params={**fixed.SEASONAL_FOREST[season], **settings, "season": season,
-                "target_year": year, "model_type": "RandomForestRegressor"},
+                "target_year": year, "model_type": "RandomForestRegressor",
+                "data_period": f"{period['first']} to {period['last']}",
+                "model_name": name, "model_path": path},
         metrics=scores,
         importances={row["feature"]: row["importance"] for row in ranked},
+        run_id=run_id,
     )
-    registry.register_model(spark, folder, model, fixed.SEASON_MODELS[season], run_id=run_id)
     return scores
 
 
 def score_table(spark, rows, folder, name, keep, path):
-    """Score rows with a registered model and append the predictions."""
+    """Score rows with a registered model and append the predictions; returns those appended."""
     model = registry.load_model(spark, folder, name)
-    scored = models.score(model, rows, keep).withColumn("created_at", F.current_timestamp())
+    scored = stored(models.score(model, rows, keep).withColumn("created_at", F.current_timestamp()), "scored")
     tables.append_files(scored, path)
     return scored

@@ -10,8 +10,6 @@ from gridmill import fixed
 from gridmill.functions import calendar as C
 from gridmill.functions import text as X
 
-BROADCAST_FILES = 100_000
-
 
 def day_glob(pattern=fixed.DAY_FILE_PATTERN, days=None):
     """Glob for all day files of a pattern, or for the given day numbers."""
@@ -127,10 +125,8 @@ def read_day_files(spark, folder, days=None, pattern=fixed.DAY_FILE_PATTERN, hea
         rule = {"head": "valid", "id": "header_with_id"}[header]
         report = file_report(lines) if report is None else report
         good = report.filter(F.col(rule)).select("file")
-        # One row per file: the listing bounds its size before anything runs.
-        # Broadcast, it spares shuffling the text; longer lists are joined.
-        if len(lines.inputFiles()) <= BROADCAST_FILES:
-            good = F.broadcast(good)
+        # One row per file. The planner broadcasts the list if its size allows,
+        # which spares shuffling the text.
         lines = lines.join(good, "file", "left_semi")
     return unpivot_lines(
         lines.withColumn("day_num", X.day_from_name("file")), **options

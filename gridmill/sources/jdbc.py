@@ -6,11 +6,12 @@ numeric, date or timestamp column and its range.
 """
 
 
-def scan_options(url, source, *, column=None, lower=None, upper=None, partitions=None,
+def scan_options(url, table=None, *, query=None, column=None, lower=None, upper=None, partitions=None,
                  fetch_size=10000, **properties):
-    """Reader options of a table name or of a SELECT statement."""
-    text = source.strip()
-    dbtable = f"({text}) AS scanned" if text[:6].lower() == "select" else text
+    """Reader options of a table, or of the statement `query`."""
+    if (table is None) == (query is None):
+        raise ValueError("give either a table or a query")
+    dbtable = table if query is None else f"({query.strip()}) AS scanned"
     options = {"url": url, "dbtable": dbtable, "fetchsize": str(fetch_size), **properties}
     bounds = (column, lower, upper, partitions)
     if any(b is not None for b in bounds):
@@ -23,11 +24,11 @@ def scan_options(url, source, *, column=None, lower=None, upper=None, partitions
     return options
 
 
-def read_jdbc(spark, url, source, **options):
-    return spark.read.format("jdbc").options(**scan_options(url, source, **options)).load()
+def read_jdbc(spark, url, table=None, **options):
+    return spark.read.format("jdbc").options(**scan_options(url, table, **options)).load()
 
 
 def count_jdbc(spark, url, table, **properties):
     """Row count computed by the warehouse; errors surface, never a silent zero."""
     query = f"SELECT count(*) AS row_count FROM {table}"
-    return read_jdbc(spark, url, query, **properties)
+    return read_jdbc(spark, url, query=query, **properties)

@@ -27,16 +27,13 @@ def read_topic(spark, servers, topic=None, pattern=None):
 
 
 def stream_topic(spark, servers, topic=fixed.READINGS_TOPIC, pattern=None,
-                 starting="latest", per_trigger=fixed.MAX_OFFSETS_PER_TRIGGER):
-    """New messages of a topic, rate-limited per micro-batch."""
+                 starting="latest", per_trigger=None):
+    """Messages of a topic from `starting` on, at most `per_trigger` per micro-batch if set."""
     topic = None if pattern is not None else topic
-    return (
-        spark.readStream.format("kafka")
-        .options(**topic_options(servers, topic, pattern))
-        .option("startingOffsets", starting)
-        .option("maxOffsetsPerTrigger", per_trigger)
-        .load()
-    )
+    reader = spark.readStream.format("kafka").options(**topic_options(servers, topic, pattern))
+    if per_trigger is not None:
+        reader = reader.option("maxOffsetsPerTrigger", per_trigger)
+    return reader.option("startingOffsets", starting).load()
 
 
 def stream_files(spark, folder, schema=None, fmt="parquet", files_per_trigger=None, glob=None):
@@ -75,6 +72,11 @@ def decode_envelopes(messages, schema=schemas.ENVELOPE):
     ).select("data.*")
 
 
+def envelope_records(value):
+    """Records of an envelope message; null where it cannot be read."""
+    return F.from_json(F.col(value).cast("string"), schemas.ENVELOPE)["records"]
+
+
 def explode_records(envelopes):
     """One row per record; envelopes with null or no records yield none.
 
@@ -93,8 +95,7 @@ def explode_records(envelopes):
 
 def rejected_messages(messages):
     """Messages that yield no record: unreadable JSON, null or empty records."""
-    records = F.from_json(F.col("value").cast("string"), schemas.ENVELOPE)["records"]
-    return messages.filter(F.coalesce(F.size(records), F.lit(0)) <= 0)
+    return messages.filter(F.coalesce(F.size(envelope_records("value")), F.lit(0)) <= 0)
 
 
 def readings_of_records(exploded):

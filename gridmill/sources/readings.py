@@ -8,20 +8,28 @@ from gridmill import schemas
 from gridmill.functions.calendar import parse_timestamp
 
 
-def typed_readings(strings, id_col=0, time_col=1, load_col=2):
-    """Positional text columns to typed readings; rows with any bad cell go."""
+def typed_readings(strings, id_col=0, time_col=1, load_col=2, allow_nan=True):
+    """Positional text columns to typed readings; rows with any bad cell go.
+
+    Every number that parses stays; without `allow_nan`, NaN and infinite ones
+    are bad cells too.
+    """
     names = strings.columns
     typed = strings.select(
         F.col(names[id_col]).cast("string").alias("customer_id"),
         parse_timestamp(F.col(names[time_col])).alias("full_timestamp"),
         F.col(names[load_col]).try_cast("double").alias("load_percentage"),
     )
-    return typed.dropna(subset=typed.columns)
+    for name in typed.columns:
+        typed = typed.filter(F.col(name).isNotNull())
+    if not allow_nan:
+        typed = typed.filter(F.abs("load_percentage") < float("inf"))
+    return typed
 
 
-def read_csv_readings(spark, path):
+def read_csv_readings(spark, path, **options):
     """Readings of headerless `customer_id,timestamp,load` files."""
-    return typed_readings(spark.read.schema(schemas.CSV_READINGS).csv(path))
+    return typed_readings(spark.read.schema(schemas.CSV_READINGS).csv(path), **options)
 
 
 def union_frames(frames):

@@ -40,11 +40,15 @@ def replace_batch(df, path, batch_id, partition_by=()):
 
 
 def batch_writer(path):
-    """Micro-batch sink that skips empty batches."""
+    """Micro-batch sink that skips empty batches; a batch is computed once."""
 
     def write(batch, batch_id):
-        if not batch.isEmpty():
-            replace_batch(batch, path, batch_id)
+        batch = batch.persist()
+        try:
+            if not batch.isEmpty():
+                replace_batch(batch, path, batch_id)
+        finally:
+            batch.unpersist()
 
     return write
 
@@ -66,19 +70,24 @@ def ingest_readings(messages, path, checkpoint, late_by=None, **options):
 
 
 # --- fan-out --------------------------------------------------------------
-def fanout_writer(path):
-    """One micro-batch into three tables: raw records, load details, monthly parts.
-
-    The batch is decoded once and kept for the three writes. Monthly averages
-    are stored as sums and counts per batch and merged on reading, so late or
-    repeated batches cannot distort them.
+def fanout_writer(path, scale=None):
+    """One micro-batch into four tables: raw records, load details, monthly parts, rejects.
+
+    The batch is decoded once and kept for the writes. Monthly averages are
+    stored as sums and counts per batch and merged on reading, so late or
+    repeated batches cannot distort them; `scale` makes the sums decimals.
+    Messages without a record go to `rejected` as they came. A record whose date
+    or time cannot be read keeps its other cells; without a time it has no month.
     """
 
     def write(messages, batch_id):
-        records = M.explode_records(M.decode_envelopes(messages)).select("record.*").persist()
+        decoded = messages.select(
+            F.col("value").cast("string").alias("value"), M.envelope_records("value").alias("records")
+        ).persist()
         try:
-            if records.isEmpty():
+            if decoded.isEmpty():
                 return
+            records = decoded.filter(F.size("records") > 0).select(F.explode("records").alias("record")).select("record.*")
             replace_batch(
                 records.select("raw_data", "file_name", "line_number"), f"{path}/raw_data", batch_id
             )
@@ -86,23 +95,25 @@ def fanout_writer(path):
                 records.select(
                     "customer_id", "profile_type", F.col("year").cast("string").alias("year"),
                     "month_num", F.col("month").alias("month_name"), "day",
-                    F.to_date("date").alias("date"), "timestamp", "hour", "minute",
+                    F.try_to_date("date").alias("date"), "timestamp", "hour", "minute",
                     "interval_idx", "load_percentage",
                 ),
                 f"{path}/load_data_detail", batch_id,
             )
             dated = records.withColumn("_at", F.try_to_timestamp("timestamp"))
             replace_batch(
-                monthly_partials(dated, "_at", "load_percentage"), f"{path}/monthly_parts", batch_id
+                monthly_partials(dated, "_at", "load_percentage", scale=scale), f"{path}/monthly_parts", batch_id
             )
+            rejected = decoded.filter(F.coalesce(F.size("records"), F.lit(0)) <= 0)
+            replace_batch(rejected.select("value"), f"{path}/rejected", batch_id)
         finally:
-            records.unpersist()
+            decoded.unpersist()
 
     return write
 
 
-def fan_out(messages, path, checkpoint, trigger=fixed.FANOUT_TRIGGER, **options):
-    return start(messages, fanout_writer(path), checkpoint, trigger=trigger, **options)
+def fan_out(messages, path, checkpoint, trigger=fixed.FANOUT_TRIGGER, scale=None, **options):
+    return start(messages, fanout_writer(path, scale), checkpoint, trigger=trigger, **options)
 
 
 def monthly_average_table(spark, path):
@@ -116,11 +127,15 @@ def topic_writer(path, schema, pattern=fixed.SENSOR_TOPIC_PATTERN):
     ones into a reject table."""
 
     def write(messages, batch_id):
-        if messages.isEmpty():
-            return
-        good, bad = M.split_rejects(M.routed(messages, pattern), schema)
-        replace_batch(good.select("topic", "data.*"), f"{path}/routed", batch_id, ["topic"])
-        replace_batch(bad, f"{path}/rejected", batch_id)
+        messages = messages.persist()
+        try:
+            if messages.isEmpty():
+                return
+            good, bad = M.split_rejects(M.routed(messages, pattern), schema)
+            replace_batch(good.select("topic", "data.*"), f"{path}/routed", batch_id, ["topic"])
+            replace_batch(bad, f"{path}/rejected", batch_id)
+        finally:
+            messages.unpersist()
 
     return write
 

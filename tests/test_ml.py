@@ -143,11 +143,16 @@ def test_unregistered_model_falls_back_to_the_newest_run(spark, houses, tmp_path
     folder = str(tmp_path / "registry")
     model = models.linear_pipeline(COLUMNS, "price").fit(houses)
     path = registry.save_model(model, f"{folder}/loose")
-    registry.log_run(spark, folder, params={"model_path": path}, metrics={"rmse": 1.5}, importances={"a": 0.5})
-    assert registry.load_model(spark, folder, "none").stages[-1].intercept == model.stages[-1].intercept
-    logged = registry.read_runs(spark, folder)
+    registry.log_run(spark, folder, params={"model_name": "loose", "model_path": path}, metrics={"rmse": 1.5}, importances={"a": 0.5})
+    registry.log_run(spark, folder, params={"model_name": "other", "model_path": "elsewhere"}, run_id="other")
+    with pytest.raises(LookupError):
+        registry.load_model(spark, folder, "none")
+    with pytest.raises(LookupError):
+        registry.load_model(spark, str(tmp_path / "nothing"), "none")
+    assert registry.load_model(spark, folder, "loose").stages[-1].intercept == model.stages[-1].intercept
+    logged = registry.read_runs(spark, folder).filter("run_id <> 'other'")
     assert rows(logged, "kind", "key", "value") == [
-        ("importance", "a", "0.5"), ("metric", "rmse", "1.5"), ("param", "model_path", path),
+        ("importance", "a", "0.5"), ("metric", "rmse", "1.5"), ("param", "model_name", "loose"), ("param", "model_path", path),
         ("status", "status", "FINISHED")]
 
 

@@ -18,22 +18,26 @@ def skewed(spark):
     data = [("hot", random.choice([random.expovariate(0.01), 7.0])) for _ in range(3000)]
     data += [(f"k{i % 40}", round(random.gauss(50, 20), 1)) for i in range(2000)]
     data += [("single", 3.5), ("pair", 1.0), ("pair", 2.0), ("empty", None), ("same", 4.0), ("same", 4.0)]
-    data += [("nan", float("nan")), ("nan", 2.0)]
+    data += [("nan", float("nan")), ("nan", 2.0), (None, 9.0), (None, 1.0), (None, None)]
     return data, spark.createDataFrame(data, "k string, v double").repartition(6).persist()
 
 
-@pytest.mark.parametrize("parts, unsplit", [(2, 1), (8, 5), (64, 50), (64, 100_000)])
-def test_summary_is_exact(skewed, parts, unsplit):
+@pytest.mark.parametrize("accuracy", [20, 100, 10_000])
+def test_summary_is_exact(skewed, accuracy):
     data, frame = skewed
-    got = {r["k"]: r for r in rollup.summary(frame, "v", ["k"], parts=parts, unsplit=unsplit).collect()}
+    got = {r["k"]: r for r in rollup.summary(frame, "v", ["k"], accuracy=accuracy).collect()}
     groups = {}
     for k, v in data:
+        groups.setdefault(k, [])
         if v is not None and v == v:
-            groups.setdefault(k, []).append(v)
+            groups[k].append(v)
     assert set(got) == set(groups)
     for k, values in groups.items():
         row = got[k]
         assert row["count"] == len(values)
+        if not values:
+            assert set(row[c] for c in ("mean", "std", "min", "p25", "p50", "p75", "max")) == {None}
+            continue
         assert row["mean"] == pytest.approx(np.mean(values))
         assert (row["min"], row["max"]) == (min(values), max(values))
         if len(values) > 1:
@@ -47,11 +51,27 @@ def test_summary_is_exact(skewed, parts, unsplit):
 def test_summary_of_a_whole_table(skewed):
     data, frame = skewed
     values = [v for _, v in data if v is not None and v == v]
-    row = rollup.summary(frame, "v", quantiles=(0.1, 0.5, 0.99), unsplit=100).first()
+    row = rollup.summary(frame, "v", quantiles=(0.1, 0.5, 0.99), accuracy=200).first()
     assert row["count"] == len(values)
     assert [row[p] for p in ("p10", "p50", "p99")] == pytest.approx(list(np.percentile(values, [10, 50, 99])))
 
 
+def test_summary_of_several_columns(spark):
+    frame = spark.createDataFrame([(None, 1.0, 5), ("a", None, 7), (None, 3.0, 6)], "k string, x double, y int")
+    got = rollup.summary(frame, ["x", "y"], ["k"], quantiles=(0.5,)).select("k", "column", "count", "p50").collect()
+    assert set(map(tuple, got)) == {(None, "x", 2, 2.0), ("a", "x", 0, None), (None, "y", 2, 5.5), ("a", "y", 1, 7.0)}
+    none = rollup.summary(frame.filter("false"), ["x", "y"])
+    assert rows(none, "column", "count", "p50") == [("x", 0, None), ("y", 0, None)]
+    assert rollup.summary(frame.filter("false"), "x", ["k"]).count() == 0
+
+
+def test_describe(spark):
+    frame = spark.createDataFrame([(1, "b"), (3, "a"), (None, None)], "n int, s string")
+    got = [tuple(r) for r in rollup.describe(frame).collect()]
+    assert got == [("n", 2, 2.0, pytest.approx(2**0.5), "1", "3"), ("s", 2, None, None, "a", "b")]
+    assert [r["count"] for r in rollup.describe(frame.filter("false")).collect()] == [0, 0]
+
+
 def test_daily_flavours_differ(spark, at):
     frame = spark.createDataFrame(
         [("a", at("2024-01-01 00:00"), 1.0), ("b", at("2024-01-01 00:00"), 2.0), ("a", at("2024-01-01 01:00"), 6.0)],
@@ -82,8 +102,7 @@ def test_monthly_average_skips_nan_and_merges(spark, at):
         "ts timestamp, v double",
     )
     assert rows(rollup.monthly_average(frame, "ts", "v")) == [(1, "January", 2.5), (3, "March", 8.0)]
-    good = frame.filter(~F.isnan("v"))
-    halves = [rollup.monthly_partials(good.filter(c), "ts", "v") for c in ("v < 3", "v >= 3")]
+    halves = [rollup.monthly_partials(frame.filter(c), "ts", "v") for c in ("v < 3", "v >= 3")]
     assert rows(rollup.merge_monthly(halves[0].unionByName(halves[1]))) == [(1, "January", 2.5), (3, "March", 8.0)]
 
 

@@ -36,7 +36,7 @@ def test_season_and_score(spark, readings, tmp_path):
         "id int, month int, day int, day_of_week int, month_sin double, day_sin double, is_weekend int",
     ).write.parquet(rows)
     out = run.main(["score", rows, registry, fixed.SEASON_MODELS["spring"], str(tmp_path / "out"),
-                    "--keep", "id"], spark)
+                    "--keep", "id", "--parquet"], spark)
     assert spark.read.parquet(out).columns == ["id", "predicted_price", "prediction_timestamp", "created_at"]
 
 
@@ -53,6 +53,16 @@ def test_ingest(spark, tmp_path):
     spark.sql("DROP TABLE run_readings")
 
 
+def test_stream_arguments():
+    args = run.parser().parse_args(["stream", "s:1", "t", "c", "--topic", "x", "--per-trigger", "5", "--trigger", "1 minute"])
+    assert (args.topic, args.starting, args.per_trigger, args.trigger) == ("x", "earliest", 5, "1 minute")
+    assert run.parser().parse_args(["route", "s:1", "t", "c"]).per_trigger is None
+
+
 def test_arguments_are_checked():
+    with pytest.raises(SystemExit):
+        run.parser().parse_args(["fanout", "s", "t", "c", "--topic", "x", "--pattern", "y"])
+    with pytest.raises(SystemExit):
+        run.parser().parse_args(["report", "x", "--csv", "--parquet"])
     with pytest.raises(SystemExit):
         run.parser().parse_args(["season", "x"])

@@ -44,7 +44,10 @@ def test_union_keeps_duplicates(spark):
 def test_jdbc_scan_options():
     plain = jdbc.scan_options("jdbc:x", "readings", user="u")
     assert plain == {"url": "jdbc:x", "dbtable": "readings", "fetchsize": "10000", "user": "u"}
-    assert jdbc.scan_options("jdbc:x", " SELECT 1 ")["dbtable"] == "(SELECT 1) AS scanned"
+    assert jdbc.scan_options("jdbc:x", query=" SELECT 1 ")["dbtable"] == "(SELECT 1) AS scanned"
+    assert jdbc.scan_options("jdbc:x", "selected_rows")["dbtable"] == "selected_rows"
+    with pytest.raises(ValueError):
+        jdbc.scan_options("jdbc:x", "t", query="SELECT 1")
     split = jdbc.scan_options("jdbc:x", "t", column="id", lower=0, upper=9, partitions=3)
     assert (split["partitionColumn"], split["numPartitions"]) == ("id", "3")
     with pytest.raises(ValueError):

@@ -127,3 +127,34 @@ def test_topics_are_routed_with_rejects(spark, tmp_path):
     assert rows(spark.read.parquet(f"{path}/routed"), "topic", "house_id") == [
         ("sensor-topic-gyroscope", 2), ("sensor-topic-light", 1)]
     assert rows(spark.read.parquet(f"{path}/rejected"), "value") == [("oops",)]
+
+
+def test_fan_out_survives_bad_input(spark, tmp_path):
+    inbox, path = tmp_path / "inbox", str(tmp_path / "tables")
+    inbox.mkdir()
+    someday = {**record("a", 1, 4.0), "date": "someday"}
+    untimed = {**record("b", 1, 5.0), "timestamp": "soon"}
+    put(inbox, "1.txt", [someday, untimed, record("c", 1, 1e13), record("c", 1, 1e-7)], "{broken", [])
+    run(S.fan_out(stream(spark, inbox), path, str(tmp_path / "s"), available_now=True))
+    months = {r["month_num"]: r["avg_load_percentage"] for r in S.monthly_average_table(spark, path).collect()}
+    assert months == {None: 5.0, 1: pytest.approx((4.0 + 1e13 + 1e-7) / 3)}
+    detail = spark.read.parquet(f"{path}/load_data_detail")
+    assert (detail.count(), detail.filter("date IS NULL").count()) == (4, 1)
+    assert spark.read.parquet(f"{path}/rejected").count() == 2
+
+
+def test_a_batch_is_read_once(spark, inbox, tmp_path):
+    seen = spark.sparkContext.accumulator(0)
+
+    def look(batches):
+        for batch in batches:
+            seen.add(len(batch))
+            yield batch
+
+    for name, write in (
+        ("table", S.batch_writer(str(tmp_path / "t"))), ("tables", S.fanout_writer(str(tmp_path / "f"))),
+    ):
+        before = seen.value
+        watched = spark.read.text(str(inbox)).mapInPandas(look, "value string")
+        write(S.readings_stream(watched) if name == "table" else watched, 0)
+        assert seen.value - before == 4

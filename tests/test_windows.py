@@ -34,7 +34,7 @@ def test_chunked_equals_plain(spark, skew, chunk, bucket):
     bucket = F.to_date("ts") if bucket else None
     df = series(spark, 600, skew)
     plain = df.select("*", *[c.alias(n) for n, c in columns(W.ordered("ts")).items()])
-    chunked = W.chunked(df, "ts", 7, columns, bucket=bucket, parts=8, rows_per_chunk=chunk)
+    chunked = W.chunked(df, "ts", 7, columns, bucket=bucket, rows_per_chunk=chunk)
     assert rows(chunked, *plain.columns) == rows(plain)
 
 
@@ -99,7 +99,7 @@ def test_chunks_per_group_with_a_hot_group_and_nulls(spark):
     late = spark.createDataFrame([(None, float(i), k) for i, k in enumerate(["hot", None, "k1"])], df.schema)
     df = df.unionByName(late)
     plain = df.select("*", *[c.alias(n) for n, c in columns(W.ordered("ts", ["k"])).items()])
-    chunked = W.chunked(df, "ts", 7, columns, by=["k"], parts=16, rows_per_chunk=20)
+    chunked = W.chunked(df, "ts", 7, columns, by=["k"], rows_per_chunk=20)
     assert rows(chunked, *plain.columns) == rows(plain) and chunked.count() == 903
 
 
