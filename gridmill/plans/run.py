@@ -54,9 +54,9 @@ def parser():
         sub = commands.add_parser(name)
         for argument in arguments:
             sub.add_argument(argument)
-        kinds = sub.add_mutually_exclusive_group()
-        for kind, offered in (("csv", csv), ("parquet", csv or parquet)):
-            if offered:
+        if csv or parquet:
+            kinds = sub.add_mutually_exclusive_group()
+            for kind in ("csv", "parquet") if csv else ("parquet",):
                 kinds.add_argument(f"--{kind}", dest="kind", action="store_const", const=kind, default="table")
         return sub
 
