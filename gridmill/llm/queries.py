@@ -1,8 +1,9 @@
-"""One query per operator over its whole table, and the SQL that repeats it."""
+"""One query per operator over its whole table; `oracles` holds the SQL that repeats it."""
 
 from pyspark.sql import functions as F
 
 from gridmill.llm import chats, decontamination, languages, lines, mixing, neighbours, personal, quality, similar, urls
+from gridmill.llm.oracles import ORACLES  # noqa: F401
 from gridmill.session import table
 
 
@@ -61,5 +62,3 @@ QUERIES = {f.__name__: f for f in (
     op1_line_dedup, op2_decontaminate, op3_personal_data, op4_url_filter, op5_language_id, op6_chat_rotation, op7_quality,
     op8_jaccard_join, op9_top_k, op10_mix,
 )}
-
-ORACLES = {}
