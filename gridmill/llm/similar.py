@@ -156,8 +156,13 @@ def candidate_edges(trees_of_texts, depth, threshold=THRESHOLD, leaders=LEADERS,
     ends = nodes.groupBy("bucket").agg(F.min("k1").alias("a"), F.max("k1").alias("b"))
     shared = stored(ends.filter("a <> b").select("bucket"), "shared")
     maybe = may_hold(nodes, "bucket", key_bits(shared, "bucket")).filter("may_hold").drop("may_hold")
-    members = stored(maybe.distinct().join(shared, "bucket", "left_semi"), "buckets")
-    members = members.join(members.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")), "bucket")
+    members = stored(maybe.distinct().join(shared, "bucket", "left_semi"), "places")
+    # Near copies meet in many trees: of buckets that hold the same texts one is enough.
+    content = members.groupBy("bucket").agg(
+        F.count(F.lit(1)).alias("n"), F.bit_xor("k1").alias("x1"), F.bit_xor("k2").alias("x2")
+    )
+    kept = content.groupBy("n", "x1", "x2").agg(F.min("bucket").alias("bucket")).select("bucket", "n")
+    members = stored(members.join(kept, "bucket"), "buckets")
     named = stored(members.select(*KEY).distinct(), "bucket-texts")
     sketches = trees_of_texts.select(*KEY, "sketch").join(named, KEY, "left_semi").dropDuplicates(KEY)
     sketches = stored(sketches, "sketches")
