@@ -20,7 +20,8 @@ HEADLINE = (
     "daily_total_energy", "features_ml", "wide_unpivot", "stream_bronze", "eval_metrics",
     "system_rollup", "daily_silver", "features_silver", "chunked_window", "describe_profile",
     "peak_interval", "envelope_explode", "kafka_batch_parse", "latest_snapshot", "monthly_merge",
-    "serving_union", "pick_version", "score_batch",
+    "serving_union", "pick_version", "score_batch", "describe_table", "shifted_window",
+    "file_ingest_report", "day_file_readings", "written_table", "rf_autumn",
 )
 
 
