@@ -561,3 +561,6 @@ ORACLES = {
         FROM (SELECT max(r2) FILTER (WHERE split = 'train') - max(r2) FILTER (WHERE split = 'test')
                      AS gap FROM {EVAL})""",
 }
+ORACLES["seasonal_sql_text"] = f"""
+    SELECT * REPLACE (round(avg_load_percentage, 6) AS avg_load_percentage)
+    FROM ({ORACLES["sql_daily_by_season"]})"""

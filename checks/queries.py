@@ -314,6 +314,13 @@ def sql_daily_by_season(spark, folder):
     return daily
 
 
+def seasonal_sql_text(spark, folder):
+    """The SQL text of the seasonal roll-up, run on a view."""
+    I.order_readings(spark, folder).createOrReplaceTempView("order_readings")
+    daily = spark.sql(rollup.seasonal_daily_sql("order_readings", 1996, "spring"))
+    return daily.withColumn("avg_load_percentage", F.round("avg_load_percentage", 6))
+
+
 def monthly_average(spark, folder):
     return rollup.monthly_average(
         I.order_readings(spark, folder), "full_timestamp", "load_percentage", scale=SCALE
@@ -771,7 +778,7 @@ QUERIES = {
         kafka_batch_parse, envelope_explode, rejected_messages, stream_bronze, monthly_merge, fanout_detail, fanout_raw,
         topic_route, to_kafka_rows, decimal_result, serving_union, filter_gt, expr_bonus,
         season_filter, date_range_daily, latest_snapshot, freshness, customer_profile,
-        expected_load, system_rollup, daily_total_energy, daily_silver, sql_daily_by_season,
+        expected_load, system_rollup, daily_total_energy, daily_silver, sql_daily_by_season, seasonal_sql_text,
         monthly_average, daily_energy_stats, date_span, avg_by_group, coverage_report,
         describe_profile, describe_table, describe_missing, describe_columns, peak_interval, peak_interval_nan, cardinality, prediction_report,
         features_ml, features_silver, chunked_window, shifted_window, tied_window, dense_series,
