@@ -159,7 +159,9 @@ def candidate_edges(trees_of_texts, depth, threshold=THRESHOLD, leaders=LEADERS,
     members = stored(maybe.distinct().join(shared, "bucket", "left_semi"), "buckets")
     members = members.join(members.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")), "bucket")
     named = stored(members.select(*KEY).distinct(), "bucket-texts")
-    sketches = trees_of_texts.select(*KEY, "sketch").join(named, KEY, "left_semi").dropDuplicates(KEY)
+    # Sketches of texts in no shared bucket are not shuffled.
+    sketches = may_hold(trees_of_texts.select(*KEY, "sketch"), node(), key_bits(named, node()))
+    sketches = sketches.filter("may_hold").drop("may_hold").dropDuplicates(KEY).join(named, KEY, "left_semi")
     sketches = stored(sketches, "sketches")
     # Sketches err by a few hundredths: the radii keep four of them as margin.
     radius, reach = 1 - threshold, min(2 * (1 - threshold) + 0.12, 0.95)
@@ -229,28 +231,31 @@ def _compared(threshold, size):
     return run
 
 
-def verified(texts, labels, threshold=THRESHOLD, size=SHINGLE, block=BLOCK, per_task=2000):
+def members_of(labels):
+    """(k1, k2, component, n) of every node of the components, with their sizes."""
+    members = labels.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(
+        labels.select(F.col("v").alias("node"), F.col("v").alias("component"))
+    ).distinct()
+    sizes = members.groupBy("component").agg(F.count(F.lit(1)).alias("n"))
+    return members.join(sizes, "component").select("node.k1", "node.k2", F.xxhash64("component").alias("component"), "n")
+
+
+def verified(texts, n_texts, threshold=THRESHOLD, size=SHINGLE, block=BLOCK, per_task=2000):
     """(k1, k2, r1, r2, links) of texts in candidate components, compared exactly.
 
+    `texts` has the text, its key, and the component and size of `members_of`.
     A component of many texts is cut into blocks, and every two blocks meet in
     a task of their own, so texts are sent as often as there are blocks and
     pairs stay inside numpy.
     """
-    members = labels.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(
-        labels.select(F.col("v").alias("node"), F.col("v").alias("component"))
-    ).distinct()
-    sizes = members.groupBy("component").agg(F.count(F.lit(1)).alias("n"))
-    members = stored(members.join(sizes, "component").select("node.k1", "node.k2", "component", "n"), "members")
-    tasks = members.count() // per_task + 1
-    bits = key_bits(members, F.struct(*KEY))
-    wanted = may_hold(texts, F.struct(*KEY), bits).filter("may_hold").drop("may_hold")
     blocks = F.ceil(F.col("n") / block).cast("int")
     own = F.pmod(F.xxhash64(F.lit(5), *KEY), blocks).cast("int")
     others = F.explode(F.sequence(F.lit(0), blocks - 1))
-    rows = wanted.join(members, KEY).withColumn("block", own).withColumn("other", others).select(
-        *KEY, "text", F.xxhash64("component").alias("component"), "block",
+    rows = texts.withColumn("block", own).withColumn("other", others).select(
+        *KEY, "text", "component", "block",
         F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), blocks.alias("blocks"),
     )
+    tasks = n_texts // per_task + 1
     task = F.when(F.col("blocks") == 1, F.pmod("component", F.lit(tasks))).otherwise(
         F.xxhash64("component", "i", "j")
     )
@@ -278,24 +283,19 @@ def jaccard_join(documents, threshold=THRESHOLD, trees=TREES, depth=DEPTH, recal
     null ids only has a null id.
     """
     key = {"k1": F.xxhash64("text"), "k2": F.xxhash64(F.lit(1), F.col("text"))}
-    rows = documents.select("doc_id", "text").withColumns(key)
-    order = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id")
+    rows = documents.select("doc_id", "text", uid().alias("uid")).withColumns(key)
+    order = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "uid")
     trees_of_texts = stored(forest(rows, trees, depth, size), "forest")
     edges = candidate_edges(trees_of_texts, prefix_depth(threshold, trees, depth, recall), threshold)
     groups = components(edges)
-    slim = rows.select("doc_id", *KEY, has_words().alias("words"), uid().alias("uid"))
+    slim = rows.select("doc_id", *KEY, has_words().alias("words"), "uid")
     firsts = stored(slim.filter("words").groupBy(*KEY).agg(F.min(order).alias("first"), F.count(F.lit(1)).alias("n_copies")), "texts")
-    chosen = firsts.select(*KEY, F.col("first.doc_id").alias("doc_id"))
-    named = groups.select(F.explode(F.array("u", "v")).alias("node")).select("node.*").distinct()
-    wanted = stored(chosen.join(named, KEY, "left_semi"), "wanted")
-    # One row per text: the first, joined by its id too so that copies are no hot key.
-    pick = may_hold(rows, F.struct("k1", "k2", "doc_id"), key_bits(wanted, F.struct("k1", "k2", "doc_id")))
-    same = [F.col("w.k1") == F.col("r.k1"), F.col("w.k2") == F.col("r.k2"), F.col("w.doc_id").eqNullSafe(F.col("r.doc_id"))]
-    texts = (
-        pick.filter("may_hold").drop("may_hold").dropDuplicates(["k1", "k2", "doc_id"]).alias("r")
-        .join(wanted.alias("w"), same).select("r.k1", "r.k2", "r.text")
-    )
-    found = stored(verified(texts, groups, threshold, size), "links")
+    # One row per text, the first: copies are no hot key, and keys meet before texts move.
+    wanted = stored(firsts.select(*KEY, "first.uid").join(members_of(groups), KEY), "wanted")
+    row = [*KEY, "uid"]
+    picked = may_hold(rows.select(*row, "text"), F.struct(*row), key_bits(wanted, F.struct(*row))).filter("may_hold")
+    texts = picked.drop("may_hold").dropDuplicates(row).join(wanted, row)
+    found = stored(verified(texts, wanted.count(), threshold, size), "links")
     ties = found.filter("k1 <> r1 or k2 <> r2").select(
         node().alias("u"), F.struct(F.col("r1").alias("k1"), F.col("r2").alias("k2")).alias("v")
     )
