@@ -47,7 +47,7 @@ def _day_files(spark, folder, lines_per_block=10_000):
     header = rows.filter("event_type <> 'view'").groupBy("event_type", "block").agg(
         F.when(F.col("event_type") == "purchase", F.max("event_id") + 1)
         .otherwise(F.lit(-1)).alias("event_id")
-    ).withColumn("line", F.lit(fixed.HEADER_PREFIX + ",".join(fixed.HEADER_FIELDS)))
+    ).withColumn("line", F.lit(fixed.HEADER_LINE))
     (
         rows.unionByName(header)
         .repartition("event_type", "block")

@@ -9,10 +9,7 @@ import datetime
 # --- Wide day files -------------------------------------------------------
 DAY_FILE_PATTERN = "cyme_load_timeseries_day_{}.txt"
 HEADER_PREFIX = "FORMAT="
-HEADER_FIELDS = (
-    "ID", "PROFILETYPE", "INTERVALFORMAT", "TIMEINTERVAL", "GLOBALUNIT", "NETWORKID",
-    "YEAR", "MONTH", "DAY", "UNIT", "PHASE", "VALUES",
-)
+HEADER_LINE = "FORMAT=ID,PROFILETYPE,INTERVALFORMAT,TIMEINTERVAL,GLOBALUNIT,NETWORKID,YEAR,MONTH,DAY,UNIT,PHASE,VALUES"
 HEADER_WITHIN_LINES = 10
 ROW_PREFIX = "res_"
 META_CELLS = 11

@@ -11,7 +11,7 @@ from gridmill.plans import jobs
 from gridmill.sources import dayfiles
 from tests.conftest import rows
 
-HEADER = fixed.HEADER_PREFIX + ",".join(fixed.HEADER_FIELDS)
+HEADER = fixed.HEADER_LINE
 META = "P,a,b,c,d,e,f,g,h,i"
 
 
