@@ -92,17 +92,24 @@ def prefix_depth(threshold=THRESHOLD, trees=TREES, depth=DEPTH, recall=RECALL):
     return depth
 
 
+def distances(sketches, sketch):
+    """Estimated Jaccard distances; they keep the triangle inequality."""
+    same = (sketches == sketch).sum(axis=1) / sketches.shape[1]
+    return 1 - np.clip((same - 1 / 256) / (1 - 1 / 256), 0, 1)
+
+
 def _leaders(sketches, radius, reach):
-    """Leaders among the rows of a bucket, and a root per row.
+    """Leaders among the rows of a bucket, a root per row, and how far each leader's rows are.
 
     A row farther than `radius` from all leaders becomes one. Rows are tied to
     all leaders within `reach`, and what ties lead to shares a root, the first
     row of it. With reach >= radius + the distance of a link, two linked rows
     have a leader in common (triangle inequality), so no link is cut although
-    rows are not compared with each other.
+    rows are not compared with each other. A row belongs to its nearest leader;
+    the cover of a leader is the largest distance of a row of its own.
     """
     bits = sketches.shape[1]
-    table, leaders, root = np.empty((16, bits), np.uint8), [], list(range(len(sketches)))
+    table, leaders, root, cover = np.empty((16, bits), np.uint8), [], list(range(len(sketches))), []
 
     def find(i):
         while root[i] != i:
@@ -113,8 +120,7 @@ def _leaders(sketches, radius, reach):
     for i, sketch in enumerate(sketches):
         far = np.ones(0)
         if leaders:
-            same = (table[:len(leaders)] == sketch).sum(axis=1) / bits
-            far = 1 - np.clip((same - 1 / 256) / (1 - 1 / 256), 0, 1)
+            far = distances(table[:len(leaders)], sketch)
             for j in np.flatnonzero(far <= reach):
                 low, high = sorted((find(leaders[j]), find(i)))
                 root[high] = low
@@ -123,28 +129,53 @@ def _leaders(sketches, radius, reach):
                 table = np.concatenate([table, np.empty_like(table)])
             table[len(leaders)] = sketch
             leaders.append(i)
-    return leaders, [find(i) for i in range(len(sketches))]
+            cover.append(0.0)
+        else:
+            cover[far.argmin()] = max(cover[far.argmin()], far.min())
+    return leaders, [find(i) for i in range(len(sketches))], cover
 
 
 def _led(radius, reach):
-    """(k1, k2, r1, r2) of all rows of the buckets of a group; `leader` marks leaders."""
+    """(k1, k2, r1, r2) of all rows of the buckets of a group; only leaders have a cover."""
     def run(group):
         group = group.sort_values(["bucket", "k1", "k2"], ignore_index=True)
         sketches = np.frombuffer(b"".join(group["sketch"]), np.uint8).reshape(len(group), -1)
         cuts = np.flatnonzero(np.diff(group["bucket"].to_numpy())) + 1
-        root, leader = np.arange(len(group)), np.zeros(len(group), bool)
+        root, cover = np.arange(len(group)), np.full(len(group), -1.0)
         for low, high in zip([0, *cuts], [*cuts, len(group)], strict=True):
-            led, roots = _leaders(sketches[low:high], radius, reach)
+            led, roots, covers = _leaders(sketches[low:high], radius, reach)
             root[low:high] = low + np.array(roots)
-            leader[low + np.array(led)] = True
+            cover[low + np.array(led)] = covers
         k1, k2 = group["k1"].to_numpy(), group["k2"].to_numpy()
         return pd.DataFrame({
-            "k1": k1, "k2": k2, "r1": k1[root], "r2": k2[root], "leader": leader, "bucket": group["bucket"],
+            "k1": k1, "k2": k2, "r1": k1[root], "r2": k2[root], "cover": cover, "bucket": group["bucket"],
         })
 
     return run
 
 
+def _tied(link):
+    """(k1, k2, r1, r2) of leaders that may have linked rows: rows of two leaders
+    that are linked keep these within both covers and the distance of a link."""
+    def run(group):
+        sketches = np.frombuffer(b"".join(group["sketch"]), np.uint8).reshape(len(group), -1)
+        cover = group["cover"].to_numpy()
+        root, free = np.arange(len(group)), np.ones(len(group), bool)
+        for a in range(len(group)):
+            todo = [a] if free[a] else []
+            free[a] = False
+            while todo:
+                i = todo.pop()
+                rest = np.flatnonzero(free)
+                near = rest[distances(sketches[rest], sketches[i]) <= cover[rest] + cover[i] + link]
+                root[near], free[near] = a, False
+                todo += near.tolist()
+        k1, k2 = group["k1"].to_numpy(), group["k2"].to_numpy()
+        return pd.DataFrame({"k1": k1, "k2": k2, "r1": k1[root], "r2": k2[root]})
+
+    return run
+
+
 def candidate_edges(trees_of_texts, depth, threshold=THRESHOLD, leaders=LEADERS, per_task=20_000):
     """Edges (u, v) between texts that tie all pairs to be compared together."""
     prefix = lambda x: F.substring(x, 1, 4 * depth)
@@ -166,7 +197,7 @@ def candidate_edges(trees_of_texts, depth, threshold=THRESHOLD, leaders=LEADERS,
     # Sketches err by a few hundredths: the radii keep four of them as margin.
     radius, reach = 1 - threshold, min(2 * (1 - threshold) + 0.12, 0.95)
     lead = _led(radius, reach)
-    schema = "k1 long, k2 long, r1 long, r2 long, leader boolean, bucket long"
+    tied = "k1 long, k2 long, r1 long, r2 long"
     salts = F.ceil(F.col("n") / leaders)
     tasks = members.count() // per_task + 1
     # Small buckets share a task, those split over tasks have one for each part.
@@ -174,12 +205,12 @@ def candidate_edges(trees_of_texts, depth, threshold=THRESHOLD, leaders=LEADERS,
         F.xxhash64("bucket", F.pmod(F.xxhash64(*KEY), salts))
     )
     rows = members.withColumn("task", task).join(sketches, KEY)
-    first = stored(rows.groupBy("task").applyInPandas(lead, schema), "leaders")
-    # Leaders of a split bucket meet again.
+    first = stored(rows.groupBy("task").applyInPandas(lead, tied + ", cover double, bucket long"), "leaders")
+    # Leaders of a split bucket meet: linked texts of two parts tie their leaders.
     split = members.filter(F.col("n") > leaders).select("bucket").distinct()
-    again = first.filter("leader").join(split, "bucket", "left_semi").select("bucket", *KEY)
-    second = again.join(sketches, KEY).groupBy("bucket").applyInPandas(lead, schema)
-    edges = first.unionByName(second).filter("k1 <> r1 or k2 <> r2")
+    again = first.filter("cover >= 0").join(split, "bucket", "left_semi").select("bucket", *KEY, "cover")
+    second = again.join(sketches, KEY).groupBy("bucket").applyInPandas(_tied(1 - threshold + 0.12), tied)
+    edges = first.select(*second.columns).unionByName(second).filter("k1 <> r1 or k2 <> r2")
     return edges.select(node().alias("u"), F.struct(F.col("r1").alias("k1"), F.col("r2").alias("k2")).alias("v"))
 
 

@@ -132,6 +132,30 @@ def test_jaccard_classes(spark):
     assert similar.jaccard_join(documents(spark, [])).count() == 0
 
 
+def parted_chain(spark):
+    """Texts c, a, u, v, b that each hold the one before and a fifth more, in one
+    bucket: a leads u and b leads v in parts of their own, and c leads a."""
+    keys = spark.range(2000).select("id", F.pmod(F.xxhash64("id", "id"), F.lit(3)).alias("part")).orderBy("id").collect()
+    words, sizes, key = [f"t0x{i}" for i in range(2250)], {"c": 1000, "a": 1220, "u": 1488, "v": 1816, "b": 2215}, {}
+    for name, part in zip("cabuv", (2, 0, 1, 0, 1), strict=True):
+        key[name] = next(r["id"] for r in keys if r["id"] > max(key.values(), default=-1) and r["part"] == part)
+    texts = {key[name]: " ".join(words[:size]) for name, size in sizes.items()}
+    keyed = documents(spark, texts.items()).withColumns({"k1": F.col("doc_id"), "k2": F.col("doc_id")})
+    return similar.forest(keyed).withColumn("labels", F.array(F.lit(b"same" * 8))), key, texts
+
+
+def test_parts_of_a_bucket_lose_no_link(spark):
+    from gridmill.llm.components import components
+
+    one, key, texts = parted_chain(spark)
+    shingle = similar.Shingler()
+    sets = {k: set(shingle(t).tolist()) for k, t in texts.items()}
+    linked = [(i, j) for i in sets for j in sets if i < j and len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j])]
+    label = {r["u"]["k1"]: r["v"]["k1"] for r in components(similar.candidate_edges(one, 7, leaders=2)).collect()}
+    assert tuple(sorted((key["u"], key["v"]))) in linked
+    assert all(label.get(i, i) == label.get(j, j) for i, j in linked)
+
+
 def test_top_k_is_exact(spark):
     import numpy as np
 
