@@ -176,6 +176,17 @@ def _tied(link):
     return run
 
 
+def block_pairs(rows, most):
+    """Rows of each bucket in blocks of about `most`, once for every two blocks (i, j) that meet."""
+    blocks = rows.groupBy("bucket").agg(F.ceil(F.count(F.lit(1)) / most).cast("int").alias("blocks"))
+    own = F.pmod(F.xxhash64(F.lit(7), *KEY), F.col("blocks")).cast("int")
+    others = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
+    # One row for a split bucket, so it goes to all tasks and no bucket is a hot key.
+    return rows.join(F.broadcast(blocks), "bucket").withColumn("block", own).withColumn("other", others).filter(
+        "blocks = 1 or block <> other"
+    ).select(*rows.columns, F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"))
+
+
 def candidate_edges(trees_of_texts, depth, threshold=THRESHOLD, leaders=LEADERS, per_task=20_000):
     """Edges (u, v) between texts that tie all pairs to be compared together."""
     prefix = lambda x: F.substring(x, 1, 4 * depth)
@@ -206,10 +217,11 @@ def candidate_edges(trees_of_texts, depth, threshold=THRESHOLD, leaders=LEADERS,
     )
     rows = members.withColumn("task", task).join(sketches, KEY)
     first = stored(rows.groupBy("task").applyInPandas(lead, tied + ", cover double, bucket long"), "leaders")
-    # Leaders of a split bucket meet: linked texts of two parts tie their leaders.
+    # Leaders of a split bucket meet, two blocks in a task: linked texts of two parts tie their leaders.
     split = members.filter(F.col("n") > leaders).select("bucket").distinct()
     again = first.filter("cover >= 0").join(split, "bucket", "left_semi").select("bucket", *KEY, "cover")
-    second = again.join(sketches, KEY).groupBy("bucket").applyInPandas(_tied(1 - threshold + 0.12), tied)
+    pairs = block_pairs(again.join(sketches, KEY), leaders)
+    second = pairs.groupBy("bucket", "i", "j").applyInPandas(_tied(1 - threshold + 0.12), tied)
     edges = first.select(*second.columns).unionByName(second).filter("k1 <> r1 or k2 <> r2")
     return edges.select(node().alias("u"), F.struct(F.col("r1").alias("k1"), F.col("r2").alias("k2")).alias("v"))
 

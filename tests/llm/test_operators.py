@@ -156,6 +156,16 @@ def test_parts_of_a_bucket_lose_no_link(spark):
     assert all(label.get(i, i) == label.get(j, j) for i, j in linked)
 
 
+def test_leaders_of_a_bucket_meet_in_blocks(spark):
+    rows = spark.range(400).select(F.lit(1).alias("bucket"), F.col("id").alias("k1"), F.col("id").alias("k2"))
+    groups = {}
+    for r in similar.block_pairs(rows, 50).collect():
+        groups.setdefault((r["i"], r["j"]), set()).add(r["k1"])
+    assert len(groups) == 28 and max(map(len, groups.values())) < 200
+    assert {(a, b) for g in groups.values() for a in g for b in g} == {(a, b) for a in range(400) for b in range(400)}
+    assert {(r["i"], r["j"]) for r in similar.block_pairs(rows, 400).collect()} == {(0, 0)}
+
+
 def test_top_k_is_exact(spark):
     import numpy as np
 
