@@ -15,7 +15,10 @@ PATTERNS = {
     "card": r"(?<![0-9])(?<![0-9][\x20-])[0-9](?:[\x20-]?[0-9]){15,18}+(?![\x20-]?[0-9])",
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
     "token": r"(?<!\S)\S*?[0-9@]\S*+",
+    # Runs of digits joined by a blank, dot, hyphen or bracket; each starts where a run of digits does.
+    "run": r"(?<![\p{L}\p{N}_])\+?\(?[0-9]++(?:(?:[\x20.-]|\)[\x20.-]?|[\x20.-]?\()[0-9]++(?![\p{L}_@]|[:/,][0-9]))++",
 }
+UNKNOWN = ("token", "run")  # matches that are no base spans
 LEFT, RIGHT = 80, 40  # code points of context kept beside a match
 
 
@@ -75,8 +78,14 @@ def matches(documents):
 
 
 def free_tokens(found):
-    """Tokens without a shared character with a base span, less the marks around them."""
-    base = F.col("kind") != "token"
+    """Tokens and runs without a shared character with a base span, less the marks around them.
+
+    Runs count with a blank (others are tokens) and 6 to 19 digits. Tokens that
+    share a character with one have its text as `slot` and its place as `run`.
+    """
+    count = F.length(digits("match"))
+    found = found.filter((F.col("kind") != "run") | (F.col("match").contains(" ") & count.between(6, 19)))
+    base = ~F.col("kind").isin(*UNKNOWN)
     own = Window.partitionBy("uid").orderBy("first", "last", "kind")
     earlier = own.rowsBetween(Window.unboundedPreceding, -1)
     later = own.rowsBetween(1, Window.unboundedFollowing)
@@ -88,9 +97,17 @@ def free_tokens(found):
     )
     lead = F.length(F.regexp_extract("match", r"^[^\p{L}\p{N}+]*", 0))
     core = F.regexp_replace("match", r"^[^\p{L}\p{N}+]+|[^\p{L}\p{N}]+$", "")
-    return free.withColumn("first", F.col("first") + lead).withColumn("match", core).filter("match <> ''").withColumn(
-        "last", F.col("first") + F.length("match")
-    ).drop("reach", "next")
+    token = F.col("kind") == "token"
+    cut = free.withColumn("first", F.col("first") + F.when(token, lead).otherwise(0)).withColumn(
+        "match", F.when(token, core).otherwise(F.col("match"))
+    ).filter("match <> ''").withColumn("last", F.col("first") + F.length("match")).drop("reach", "next")
+    # Runs do not overlap: one that shares a character is the last to start before, or the next to start.
+    one = F.when(~token, F.struct("first", "last", "match"))
+    near = cut.withColumn("prior", F.last(one, True).over(own.rowsBetween(Window.unboundedPreceding, 0))).withColumn(
+        "later", F.first(one, True).over(own.rowsBetween(0, Window.unboundedFollowing))
+    )
+    run = F.when(F.col("prior.last") > F.col("first"), F.col("prior")).when(F.col("later.first") < F.col("last"), F.col("later"))
+    return near.withColumn("run", run).withColumn("slot", F.lower(F.coalesce("run.match", "match"))).drop("prior", "later")
 
 
 def plausible(kind, text):
@@ -99,8 +116,8 @@ def plausible(kind, text):
     return (
         F.when(kind == "email", text.contains("@"))
         .when(kind == "ip", text.rlike(r"^[0-9a-fA-F]+([.:][0-9a-fA-F]*){3,7}$"))
-        .when(kind == "card", (count >= 12) & text.rlike(r"^[0-9-]+$"))
-        .otherwise((count >= 6) & text.rlike(r"^\+?[0-9().-]+$"))
+        .when(kind == "card", (count >= 12) & text.rlike(r"^[0-9\x20-]+$"))
+        .otherwise((count >= 6) & (~text.contains(" ") | (count <= 15)) & text.rlike(r"^\+?[0-9().\x20-]+$"))
     )
 
 
@@ -119,17 +136,19 @@ def bootstrap(seeds, tokens, rounds=3, confidence=0.8, support=3):
     `support` known ones; a token's score is what it gets from all patterns
     together (one minus the product of the misses). Tokens from `confidence` on
     are known in the next round. Scores are sums per pattern and per instance,
-    so a frequent context is no hot group.
+    so a frequent context is no hot group. A run and its tokens count as one
+    instance of a pattern (`slot`).
     """
-    edges = contexts(seeds).select("pattern", "instance", "kind").distinct().withColumn("known", F.lit(True))
-    unknown = contexts(tokens).select("pattern", "instance", F.lit(None).cast("string").alias("kind")).distinct()
+    known = contexts(seeds).withColumn("slot", F.col("instance"))
+    edges = known.select("pattern", "instance", "slot", "kind").distinct().withColumn("known", F.lit(True))
+    unknown = contexts(tokens).select("pattern", "instance", "slot", F.lit(None).cast("string").alias("kind")).distinct()
     edges = stored(edges.unionByName(unknown.withColumn("known", F.lit(False))), "contexts")
-    sizes = edges.groupBy("pattern").agg(F.count_distinct("instance").alias("n"))
+    sizes = edges.groupBy("pattern").agg(F.count_distinct("slot").alias("n"))
     new = None
     for _ in range(rounds):
         taught = edges.filter("known").select("pattern", "instance", "kind", F.lit(1.0).alias("score"))
         if new is not None:
-            again = edges.filter("not known").drop("kind", "known").join(new, "instance")
+            again = edges.filter("not known").select("pattern", "instance").distinct().join(new, "instance")
             taught = taught.unionByName(again.select("pattern", "instance", "kind", "score"))
         patterns = (
             taught.groupBy("pattern", "kind").agg(F.sum("score").alias("sum"), F.count(F.lit(1)).alias("seen"))
@@ -138,7 +157,7 @@ def bootstrap(seeds, tokens, rounds=3, confidence=0.8, support=3):
         )
         miss = F.product(1 - F.col("weight"))
         scored = (
-            edges.filter("not known").drop("kind", "known").join(patterns, "pattern")
+            edges.filter("not known").select("pattern", "instance").distinct().join(patterns, "pattern")
             .filter(plausible(F.col("kind"), F.col("instance")))
             .groupBy("instance", "kind").agg((1 - miss).alias("score")).filter(F.col("score") >= confidence)
         )
@@ -150,16 +169,21 @@ def bootstrap(seeds, tokens, rounds=3, confidence=0.8, support=3):
 def find_personal_data(documents, **learning):
     """Per row: doc_id, base and found spans as arrays of (place, kind, first, last).
 
-    Base spans are the matches of PATTERNS that hold; found spans are tokens
-    whose contexts, learned from the base spans, make them identifiers too.
+    Base spans are the matches of PATTERNS that hold; found spans are tokens and
+    spaced runs of digits whose contexts, learned from the base spans, make them
+    identifiers too. A found run takes the place of the tokens it shares text with.
     `place` is the place of the kind in KINDS. Null and empty texts have no
     span; rows that repeat id and text get the same spans.
     """
     found = stored(matches(documents.select("doc_id", "text")), "matches")
-    base = found.filter("kind <> 'token'")
+    base = found.filter(~F.col("kind").isin(*UNKNOWN))
     tokens = stored(free_tokens(found).filter(F.length(digits("match")) + F.col("match").contains("@").cast("int") * 4 >= 4), "tokens")
     new = bootstrap(base, tokens, **learning)
-    more = tokens.drop("kind").withColumn("instance", F.lower("match")).join(new.select("instance", "kind"), "instance")
+    named = tokens.withColumnRenamed("kind", "form").withColumn("instance", F.lower("match"))
+    hits = named.join(new.select("instance", "kind"), "instance")
+    runs = hits.filter("form = 'run'").select("uid", F.col("first").alias("run_first"))
+    held = F.when(F.col("form") == "token", F.col("run.first")).alias("run_first")
+    more = hits.withColumn("run_first", held).join(runs, ["uid", "run_first"], "left_anti")
     place = F.array_position(F.array(*[F.lit(k) for k in KINDS]), F.col("kind")).cast("int")
     span = F.struct(place.alias("place"), "kind", "first", "last")
     every = base.select("uid", span.alias("span"), F.lit(True).alias("base")).unionByName(

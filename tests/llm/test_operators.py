@@ -69,6 +69,25 @@ def test_contexts_find_unseen_numbers(spark):
     assert out[50] == 1 and out[51] == 0 and sum(out.values()) == 1
 
 
+def test_contexts_find_spaced_numbers(spark):
+    cards = [c for c in (f"4111 1111 1111 {i:04}" for i in range(1000, 1400)) if sum(
+        d if i % 2 == 0 else sum(divmod(2 * d, 10)) for i, d in enumerate(int(x) for x in reversed(c) if x != " ")
+    ) % 10 == 0][:20]
+    rows = [(i, f"please call our office on +1 555 100 {1000 + i} today") for i in range(20)]
+    rows += [(100 + i, f"please charge my credit card {c} now") for i, c in enumerate(cards)]
+    spaced = {
+        200: ("please call our office on ", "555 123 4567", " today", "phone"),
+        201: ("please call our office on ", "(743) 555-3824", " today", "phone"),
+        202: ("please charge my credit card ", "3782 822463 10005", " now", "card"),
+        203: ("please call our office on ", "5550199221", " today", "phone"),
+    }
+    rows += [(i, a + b + c) for i, (a, b, c, _) in spaced.items()]
+    rows += [(300, "there were 555 123 4568 stars"), (301, "sums of 3782 822463 10006 points")]
+    out = {r["doc_id"]: r["spans"] for r in personal.digest(personal.find_personal_data(documents(spark, rows))).collect()}
+    assert len(cards) == 20 and out[300] == out[301] == ""
+    assert {i: out[i] for i in spaced} == {i: f"{k}:{len(a)}:{len(a) + len(b)}" for i, (a, b, _, k) in spaced.items()}
+
+
 def test_url_rules(spark):
     pages = [
         (1, "http://A.Example.NET/en/x?q"), (2, "http://example.net/de"), (3, "http://b.org/fr/#x"),
