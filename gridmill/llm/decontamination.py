@@ -85,14 +85,18 @@ def _scanner(items, window):
     return run
 
 
-def blocks(benchmark, block_bytes=BLOCK_BYTES):
-    """The benchmark as lists of (item_id, text) of at most about `block_bytes` each.
+def n_blocks(benchmark, block_bytes=BLOCK_BYTES):
+    total = benchmark.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    return total // block_bytes + 1
+
 
-    Only one block is on the driver and in a broadcast at a time. Null ids are
-    left out of the item list but their windows are not, null texts have none.
+def blocks(benchmark, count):
+    """The benchmark as `count` lists of (item_id, text) of about the same size.
+
+    Each is read when it is asked for, so that only one need be on the driver.
+    Null ids are left out of the item list but their windows are not, null
+    texts have none.
     """
-    total = benchmark.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    count = total // block_bytes + 1
     for i in range(count):
         part = benchmark.filter("text is not null")
         if count > 1:
@@ -112,18 +116,20 @@ def find_overlap(documents, benchmark, window=WINDOW, block_bytes=BLOCK_BYTES, k
     spark = documents.sparkSession
     kept = documents.select(*key, "text")
     names = list(key)
-    parts = list(blocks(benchmark, block_bytes))
-    if len(parts) > 1:
+    count = n_blocks(benchmark, block_bytes)
+    if count > 1:
         kept, names = stored(kept.withColumn("_row", F.monotonically_increasing_id()), "texts"), [*names, "_row"]
     schema = ", ".join(f"`{c}` {t}" for c, t in kept.dtypes if c != "text") + ", " + FOUND
-    passes = [
-        kept.mapInPandas(_scanner(spark.sparkContext.broadcast(items), window), schema) for items in parts
-    ]
-    if len(passes) == 1:
-        return passes[0]
-    every = passes[0]
-    for more in passes[1:]:
-        every = every.unionByName(more)
+    every = None
+    for items in blocks(benchmark, count):
+        sent = spark.sparkContext.broadcast(items)
+        found = kept.mapInPandas(_scanner(sent, window), schema)
+        if count == 1:
+            return found
+        # The pass is written before the next block is read, so this one can go.
+        found = stored(found, "pass")
+        sent.destroy()
+        every = found if every is None else every.unionByName(found)
     joined = lambda c: F.array_sort(F.array_distinct(F.flatten(F.collect_list(c))))
     merged = every.groupBy(*names).agg(
         F.first("n_words").alias("n_words"), joined("words").alias("words"),

@@ -51,6 +51,22 @@ def test_benchmark_windows(spark):
     assert decontamination.find_overlap(documents(spark, rows), items.limit(0)).filter("size(words) > 0").count() == 0
 
 
+def test_benchmark_blocks_one_at_a_time(spark, monkeypatch):
+    seen, blocks, stored = [], decontamination.blocks, decontamination.stored
+
+    def read(*args):
+        for items in blocks(*args):
+            seen.append("block")
+            yield items
+
+    monkeypatch.setattr(decontamination, "blocks", read)
+    monkeypatch.setattr(decontamination, "stored", lambda df, name: (seen.append(name), stored(df, name))[1])
+    items = spark.createDataFrame([(1, LONG), (2, "Short item!")], "item_id long, text string")
+    found = decontamination.find_overlap(documents(spark, [(1, LONG), (2, "a short item")]), items, block_bytes=30)
+    assert seen == ["texts", *["block", "pass"] * 4]
+    assert {r["doc_id"]: r["items"] for r in found.collect()} == {1: ["1"], 2: ["2"]}
+
+
 def test_personal_data(spark):
     text = "é mail a.b@c.de, 10.0.0.256 and 10.0.0.25, card 4111 1111 1111 1111 +1 (743) 555-3824"
     out = personal.digest(personal.find_personal_data(documents(spark, [(9, text), *edge_rows()])))
