@@ -211,6 +211,114 @@ SELECT g.doc_id, g.size, g.source_size, g.target,
 FROM gaps g LEFT JOIN swaps s ON s.doc_id = g.doc_id AND s.source IS NOT DISTINCT FROM g.source
 """
 
+def vector_codes(parts=8, entries=16, rounds=6):
+    """One step per round, each comparing every part with every entry."""
+    distance = """
+        SELECT v.id, v.part, c.entry, sum((v.x - c.x) * (v.x - c.x)) AS far
+        FROM parts v JOIN c{r} c ON c.part = v.part AND c.pos = v.pos GROUP BY v.id, v.part, c.entry"""
+    nearest = f"""
+        SELECT id, part, arg_min(entry, (far, entry)) AS entry, min(far) AS far FROM ({distance}) GROUP BY id, part"""
+    steps = "".join(f""",
+    a{r} AS MATERIALIZED ({nearest.format(r=r)}),
+    c{r + 1} AS MATERIALIZED (
+        SELECT c.part, c.entry, c.pos, coalesce(m.x, c.x) AS x FROM c{r} c LEFT JOIN (
+            SELECT a.part, a.entry, v.pos, CAST(floor(CAST(sum(v.x) AS DOUBLE) / count(*)) AS BIGINT) AS x
+            FROM a{r} a JOIN parts v ON v.id = a.id AND v.part = a.part GROUP BY a.part, a.entry, v.pos
+        ) m ON m.part = c.part AND m.entry = c.entry AND m.pos = c.pos)""" for r in range(rounds))
+    return f"""
+    WITH kept AS MATERIALIZED (
+        SELECT row_number() OVER (ORDER BY vec_id) AS id, vec_id, label,
+               [CAST(floor({4096} * CAST(x AS DOUBLE)) AS BIGINT) FOR x IN embedding] AS v FROM embeddings
+        WHERE embedding IS NOT NULL AND list_count(embedding) = len(embedding)
+            AND len([x FOR x IN embedding IF NOT isfinite(x)]) = 0
+    ),
+    parts AS MATERIALIZED (
+        SELECT id, CAST((i - 1) // (len(v) // {parts}) AS INT) AS part, CAST((i - 1) % (len(v) // {parts}) AS INT) AS pos, v[i] AS x
+        FROM (SELECT id, v, unnest(generate_series(1, len(v))) AS i FROM kept)
+    ),
+    c0 AS MATERIALIZED (SELECT part, CAST(id - 1 AS INT) AS entry, pos, x FROM parts WHERE id <= {entries}){steps},
+    coded AS ({nearest.format(r=rounds)}),
+    rows AS (
+        SELECT id, string_agg(printf('%02x', entry), '' ORDER BY part) AS code, CAST(sum(far) AS BIGINT) AS error
+        FROM coded GROUP BY id
+    )
+    SELECT k.vec_id, r.code, r.error, CAST(sum(r.error) OVER (PARTITION BY k.label) AS BIGINT) AS label_error,
+           (SELECT sha256(string_agg(CAST(x AS VARCHAR), ',' ORDER BY part, entry, pos)) FROM c{rounds}) AS codebooks_sha256
+    FROM kept k JOIN rows r ON r.id = k.id
+    """
+
+
+COLLOCATIONS = f"""
+WITH pieces AS (
+    SELECT coalesce(lang, 'und') AS lang, regexp_extract_all(piece, '[^\\x20\\x09]+') AS w FROM (
+        SELECT lang, unnest(regexp_split_to_array(translate(text, '{UPPER}', '{UPPER.lower()}'), '[.,;:!?\\x0A-\\x0D]')) AS piece
+        FROM documents WHERE text IS NOT NULL
+    )
+),
+grams AS MATERIALIZED (
+    SELECT lang, size, part, count(*) AS f FROM (
+        SELECT lang, size, w[i:i + size - 1] AS part
+        FROM (SELECT lang, w, size, unnest(generate_series(1, len(w) - size + 1)) AS i
+              FROM pieces, (SELECT unnest([1, 2, 3]) AS size) WHERE len(w) >= size)
+    ) GROUP BY lang, size, part
+),
+totals AS (SELECT lang, CAST(sum(f) AS BIGINT) AS n FROM grams WHERE size = 1 GROUP BY lang),
+cuts AS (
+    SELECT g.lang, g.size, g.part, g.f AS a, k, l.f AS l, r.f AS r,
+           (CAST(1000000 AS HUGEINT) * g.f * g.f) // (CAST(l.f AS HUGEINT) * r.f) AS score
+    FROM (SELECT *, unnest(generate_series(1, size - 1)) AS k FROM grams WHERE size > 1 AND f >= 10) g
+    JOIN grams l ON l.lang = g.lang AND l.part = g.part[1:k]
+    JOIN grams r ON r.lang = g.lang AND r.part = g.part[k + 1:]
+),
+candidates AS (
+    SELECT lang, size, part, a, arg_min(l, (score, k)) AS l, arg_min(r, (score, k)) AS r, CAST(min(score) AS BIGINT) AS score
+    FROM cuts GROUP BY lang, size, part, a
+),
+inner_parts AS (
+    SELECT lang, part, max(a) AS longer FROM (
+        SELECT lang, part[1:2] AS part, a FROM candidates WHERE size = 3
+        UNION ALL SELECT lang, part[2:3], a FROM candidates WHERE size = 3
+    ) GROUP BY lang, part
+),
+kept AS (
+    SELECT c.lang, array_to_string(c.part, ' ') AS phrase, a, l, r, score
+    FROM candidates c LEFT JOIN inner_parts i ON i.lang = c.lang AND i.part = c.part
+    WHERE NOT coalesce(100 * i.longer >= 50 * c.a, false)
+)
+SELECT k.lang, row_number() OVER best AS rank, phrase, a, l, r, n, score
+FROM kept k JOIN totals t ON t.lang = k.lang
+WINDOW best AS (PARTITION BY k.lang ORDER BY score DESC, a DESC, encode(phrase))
+QUALIFY row_number() OVER best <= 2000
+"""
+
+NEAR_DUPLICATES = rf"""
+WITH RECURSIVE docs AS (
+    SELECT doc_id, coalesce(regexp_extract_all(translate(text, '{UPPER}', '{UPPER.lower()}'), '[^\x20\x09-\x0D]+'), []) AS w
+    FROM documents
+),
+texts AS MATERIALIZED (
+    SELECT row_number() OVER (ORDER BY min(doc_id)) AS t, w, min(doc_id) AS first FROM docs WHERE len(w) > 0 GROUP BY w
+),
+grams AS (
+    SELECT DISTINCT t, w[i:i + 1] AS gram
+    FROM (SELECT t, w, unnest(generate_series(1, greatest(len(w) - 1, 1))) AS i FROM texts)
+),
+sizes AS (SELECT t, count(*) AS n FROM grams GROUP BY t),
+links AS MATERIALIZED (
+    SELECT a, b FROM (
+        SELECT x.t AS a, y.t AS b, count(*) AS common FROM grams x JOIN grams y ON x.gram = y.gram AND x.t <> y.t GROUP BY 1, 2
+    ) JOIN sizes m ON m.t = a JOIN sizes n ON n.t = b
+    WHERE 100 * common >= 80 * (m.n + n.n - common)
+),
+reach AS (
+    SELECT t AS a, t AS b FROM texts UNION SELECT r.a, l.b FROM reach r JOIN links l ON l.a = r.b
+),
+heads AS (SELECT r.a AS t, min(x.first) AS head FROM reach r JOIN texts x ON x.t = r.b GROUP BY r.a)
+SELECT d.doc_id, s.n AS n_shingles, h.head AS component_id, d.doc_id = h.head AS kept
+FROM docs d JOIN texts x ON x.w = d.w JOIN sizes s ON s.t = x.t JOIN heads h ON h.t = x.t
+UNION ALL SELECT doc_id, CAST(0 AS BIGINT), doc_id, true FROM docs WHERE len(w) = 0
+"""
+
 ORACLES = {
     "op1_line_dedup": LINE_DEDUP,
     "op2_decontaminate": DECONTAMINATE,
@@ -218,4 +326,7 @@ ORACLES = {
     "op8_jaccard_join": JACCARD_JOIN,
     "op9_top_k": TOP_K,
     "op10_mix": MIX,
+    "op11_vector_codes": vector_codes(),
+    "op12_collocations": COLLOCATIONS,
+    "op13_near_duplicates": NEAR_DUPLICATES,
 }

@@ -2,7 +2,9 @@
 
 from pyspark.sql import functions as F
 
-from gridmill.llm import chats, decontamination, languages, lines, mixing, neighbours, personal, quality, similar, urls
+from gridmill.llm import (
+    chats, codes, copies, decontamination, languages, lines, mixing, neighbours, personal, phrases, quality, similar, urls,
+)
 from gridmill.llm.oracles import ORACLES  # noqa: F401
 from gridmill.session import table
 
@@ -58,7 +60,19 @@ def op10_mix(spark, folder):
     )
 
 
+def op11_vector_codes(spark, folder):
+    return codes.compress(table(spark, folder, "embeddings")).drop("label")
+
+
+def op12_collocations(spark, folder):
+    return phrases.collocations(table(spark, folder, "documents"))
+
+
+def op13_near_duplicates(spark, folder):
+    return copies.near_duplicates(table(spark, folder, "documents"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_line_dedup, op2_decontaminate, op3_personal_data, op4_url_filter, op5_language_id, op6_chat_rotation, op7_quality,
-    op8_jaccard_join, op9_top_k, op10_mix,
+    op8_jaccard_join, op9_top_k, op10_mix, op11_vector_codes, op12_collocations, op13_near_duplicates,
 )}
