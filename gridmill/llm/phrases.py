@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from gridmill.session import stored
 
-LONGEST, LEAST, TRIGGER, KEEP = 3, 10, 24, 2000
+LONGEST, LEAST, TRIGGER, KEEP = 3, 10, 48, 2000
 SPLIT = b"."  # stands for every character that ends a piece; no word holds it
 TOKEN_BYTES = bytes(
     c + 32 if 65 <= c <= 90 else SPLIT[0] if c in b".,;:!?" or 10 <= c <= 13 else 32 if c == 9 else c
@@ -38,11 +38,20 @@ def tokens_of(text):
     return (text or "").encode("utf-8", "surrogatepass").translate(TOKEN_BYTES).replace(SPLIT, b" . ").split()
 
 
-def word_hashes(tokens, known):
-    for t in tokens:
-        if t not in known:
-            known[t] = xxhash.xxh64_intdigest(t)
-    return np.fromiter((known[t] for t in tokens), np.uint64, len(tokens))
+class Hashes(dict):
+    """Word hashes, made when first asked for."""
+
+    def __missing__(self, word):
+        self[word] = value = xxhash.xxh64_intdigest(word)
+        return value
+
+
+class Numbers(dict):
+    """Words numbered in the order in which they are first seen."""
+
+    def __missing__(self, word):
+        self[word] = value = len(self)
+        return value
 
 
 def chunks_of(text, known, longest=LONGEST, trigger=TRIGGER):
@@ -51,7 +60,7 @@ def chunks_of(text, known, longest=LONGEST, trigger=TRIGGER):
     tokens = [*tokens_of(text), *[SPLIT] * ahead]
     if len(tokens) == ahead:
         return []
-    values = word_hashes(tokens, known)
+    values = np.fromiter(map(known.__getitem__, tokens), np.uint64, len(tokens))
     if len(known) > 500_000:
         known.clear()
     window = np.zeros(len(tokens) - ahead, np.uint64)
@@ -66,7 +75,7 @@ def chunks_of(text, known, longest=LONGEST, trigger=TRIGGER):
 def parse(documents, longest=LONGEST, trigger=TRIGGER):
     """lang, chunk and times: the dictionary of distinct chunks of all texts."""
     def run(batches):
-        known = {}
+        known = Hashes()
         for batch in batches:
             counts = {}
             for lang, text in zip(batch["lang"], batch["text"], strict=True):
@@ -84,105 +93,104 @@ def parse(documents, longest=LONGEST, trigger=TRIGGER):
 
 
 class Counts:
-    """Weighted counts of n-grams of one size in chunks of one language, by word number."""
+    """Weighted counts of n-grams of one size in chunks of one language, by word numbers."""
 
-    def __init__(self, lang, size, longest, bits):
-        self.lang, self.size, self.ahead, self.bits = lang, size, longest - 1, bits
+    def __init__(self, lang, size, longest):
+        self.lang, self.size, self.ahead = lang, size, longest - 1
         self.seed = xxhash.xxh64_intdigest(lang.encode())
-        self.clear()
+        self.numbers, self.hashes, self.held = Numbers({SPLIT.decode(): 0}), np.zeros(1, np.uint64), []
 
-    def clear(self):
-        self.numbers, self.words, self.hashes = {SPLIT: 0}, [SPLIT], np.zeros(1, np.uint64)
-        self.held = []
-
-    def gram_hash(self, grams):
+    def marks(self, grams):
         value = np.full(len(grams), self.seed, np.uint64)
         for column in grams.T:
             value = mixed(value * MULTIPLIER + self.hashes[column])
         return value
 
-    def may_count(self, grams):
-        """False where a shorter gram inside is surely rare."""
-        place = self.gram_hash(grams) % np.uint64(BITS)
-        return (self.bits[place >> np.uint64(3)] >> (place & np.uint64(7)).astype(np.uint8)) & 1 == 1
-
-    def add(self, chunks, times):
-        numbers, sizes, flat = self.numbers, [], []
-        for chunk in chunks:
-            tokens = chunk.encode("utf-8").split(b" ")
-            sizes.append(len(tokens))
-            flat += tokens
-        for t in flat:
-            if t not in numbers:
-                numbers[t] = len(numbers)
-                self.words.append(t)
-        if len(self.words) > len(self.hashes):
-            new = [xxhash.xxh64_intdigest(w) for w in self.words[len(self.hashes):]]
-            self.hashes = np.concatenate([self.hashes, np.array(new, np.uint64)])
-        ids = np.fromiter((numbers[t] for t in flat), np.int64, len(flat))
-        sizes = np.array(sizes, np.int64)
+    def add(self, chunks, times, inner, own):
+        """Count the n-grams that begin in each chunk's own part, less those that the bit tables rule out."""
+        tokens = " ".join(chunks).split(" ")
+        ids = np.fromiter(map(self.numbers.__getitem__, tokens), np.int64, len(tokens))
+        if len(self.numbers) > len(self.hashes):
+            new = list(self.numbers)[len(self.hashes):]
+            self.hashes = np.concatenate([self.hashes, np.array([xxhash.xxh64_intdigest(w) for w in new], np.uint64)])
+        sizes = np.array([c.count(" ") + 1 for c in chunks], np.int64)
         left = np.repeat(np.cumsum(sizes), sizes) - np.arange(len(ids))
-        weight = np.repeat(np.array(times, np.int64), sizes)
-        begins = np.flatnonzero(left > self.ahead)  # an n-gram counts where it begins in a chunk's own part
+        begins = np.flatnonzero(left > self.ahead)
         grams = np.stack([ids[begins + i] for i in range(self.size)], axis=1)
         good = (grams > 0).all(axis=1)
-        if self.bits is not None:
-            good[good] = self.may_count(grams[good][:, :-1])
-            good[good] = self.may_count(grams[good][:, 1:])
-        self.keep(grams[good], weight[begins][good])
+        for bits, part in ((inner, slice(None, -1)), (inner, slice(1, None)), (own, slice(None))):
+            if bits is not None:
+                good[good] = may_count(self.marks(grams[good][:, part]), bits)
+        self.keep(grams[good], np.repeat(np.array(times, np.int64), sizes)[begins][good])
 
     def keep(self, grams, totals):
-        """Sums of equal grams, set aside until `rows`."""
+        """Sums of equal grams, set aside until `summed`."""
         key = grams[:, 0]
         for column in grams.T[1:]:
-            if key.max(initial=0) > 2**62 // len(self.words):
+            if key.max(initial=0) > 2**62 // len(self.numbers):
                 key = np.unique(key, return_inverse=True)[1]
-            key = key * len(self.words) + column
+            key = key * len(self.numbers) + column
         _, first, back = np.unique(key, return_index=True, return_inverse=True)
         sums = np.zeros(len(first), np.int64)
         np.add.at(sums, back, totals)
         self.held.append((grams[first], sums))
 
     def size_held(self):
-        return len(self.words) + sum(len(sums) for _, sums in self.held)
+        return len(self.numbers) + sum(len(sums) for _, sums in self.held)
+
+    def summed(self):
+        if len(self.held) > 1:
+            grams, totals = (np.concatenate(x) for x in zip(*self.held, strict=True))
+            self.held = []
+            self.keep(grams, totals)
+        return self.held[0]
+
+    def mark_rows(self):
+        grams, totals = self.summed()
+        return pd.DataFrame({"mark": self.marks(grams).view(np.int64), "f": totals})
 
-    def counts_any(self):
-        return any(len(sums) for _, sums in self.held)
+    def text_rows(self):
+        grams, totals = self.summed()
+        words = list(self.numbers)
+        text = [" ".join([words[i] for i in g]) for g in grams.tolist()]
+        return pd.DataFrame({"lang": self.lang, "gram": text, "mark": self.marks(grams).view(np.int64), "f": totals})
 
-    def rows(self):
-        grams, totals = (np.concatenate(x) for x in zip(*self.held, strict=True))
-        self.held = []
-        self.keep(grams, totals)
-        grams, totals = self.held[0]
-        text = [b" ".join([self.words[i] for i in g]).decode("utf-8") for g in grams.tolist()]
-        out = pd.DataFrame({"gram": text, "mark": self.gram_hash(grams).view(np.int64), "f": totals})
-        out.insert(0, "lang", self.lang)
-        self.clear()
-        return out
 
+def may_count(marks, bits):
+    """False where the mark is surely none of those in a bit table."""
+    place = marks % np.uint64(BITS)
+    return (bits[place >> np.uint64(3)] >> (place & np.uint64(7)).astype(np.uint8)) & 1 == 1
 
-def counted(dictionary, size, longest=LONGEST, bits=None):
-    """lang, gram, mark (a hash) and f of the n-grams of `size` words.
 
-    `bits` tells which grams of one word less may be frequent; a gram that holds
-    a rare one is rare itself and is not sent.
+def counted(dictionary, size, longest=LONGEST, inner=None, own=None, texts=True):
+    """lang, gram, mark (a hash) and f of the n-grams of `size` words; without `texts` only mark and f.
+
+    Bit tables tell which grams may be frequent: `inner` those of one word less,
+    for a gram that holds a rare one is rare itself, and `own` those of this size.
     """
-    spark = dictionary.sparkSession
-    shared = None if bits is None else spark.sparkContext.broadcast(bits)
+    shared = dictionary.sparkSession.sparkContext.broadcast((inner, own))
 
     def run(batches):
         held = {}
+
+        def sent():
+            for counts in held.values():
+                rows = counts.text_rows() if texts else counts.mark_rows()
+                if len(rows):
+                    yield rows
+            held.clear()
+
         for batch in batches:
             for lang, rows in batch.groupby("lang", sort=False):
-                own = held.setdefault(lang, Counts(lang, size, longest, None if shared is None else shared.value))
-                own.add(rows["chunk"].tolist(), rows["times"].tolist())
+                counts = held.setdefault(lang, Counts(lang, size, longest))
+                counts.add(rows["chunk"].tolist(), rows["times"].tolist(), *shared.value)
             if sum(c.size_held() for c in held.values()) > HELD:
-                yield from (own.rows() for own in held.values() if own.counts_any())
-                held = {}
-        yield from (own.rows() for own in held.values() if own.counts_any())
+                yield from sent()
+        yield from sent()
 
-    rows = dictionary.mapInPandas(run, "lang string, gram string, mark long, f long")
-    return rows.groupBy("lang", "gram", "mark").agg(F.sum("f").alias("f"))
+    keys = ["lang", "gram", "mark"] if texts else ["mark"]
+    rows = dictionary.mapInPandas(run, ("lang string, gram string, " if texts else "") + "mark long, f long")
+    return rows.groupBy(*keys).agg(F.sum("f").alias("f"))
 
 
 def bit_table(grams):
@@ -256,10 +264,15 @@ def collocations(documents, longest=LONGEST, least=LEAST, inside=50, keep=KEEP,
     dictionary = stored(parse(documents, longest, trigger), "chunks")
     grams = [stored(counted(dictionary, 1, longest), "grams-1")]
     totals = grams[0].groupBy("lang").agg(F.sum("f").alias("n"))
+    frequent = F.col("f") >= least
+    inner, own = bit_table(grams[0].filter(frequent)), None
     for size in range(2, longest + 1):
-        often = grams[-1].filter(F.col("f") >= least)
-        grams.append(stored(counted(dictionary, size, longest, bit_table(often)).filter(F.col("f") >= least), f"grams-{size}"))
-    often = grams[0].filter(F.col("f") >= least)
+        if size < longest:
+            # Most grams are rare: hashes are counted first, and the texts of those that come often enough.
+            own = bit_table(stored(counted(dictionary, size, longest, inner, texts=False).filter(frequent), "marks"))
+        grams.append(stored(counted(dictionary, size, longest, inner, own).filter(frequent), f"grams-{size}"))
+        inner, own = own, None
+    often = grams[0].filter(frequent)
     for more in grams[1:]:
         often = often.unionByName(more)
     phrases = stored(scored(often, longest), "phrases")
