@@ -1,6 +1,6 @@
 """Phrase collocations by prefix-free parsing.
 
-Texts are parsed into chunks that begin where the next words hash to a trigger
+Texts are parsed into chunks that begin where the next characters hash to a trigger
 value, so equal passages are cut at equal places wherever they stand. A chunk
 holds the words up to the next trigger and the few after it that an n-gram may
 reach; an n-gram belongs to the chunk in whose own part it begins, so no
@@ -10,6 +10,8 @@ texts: n-grams are counted inside each of them once, weighted.
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Window
 from pyspark.sql import functions as F
@@ -38,14 +40,6 @@ def tokens_of(text):
     return (text or "").encode("utf-8", "surrogatepass").translate(TOKEN_BYTES).replace(SPLIT, b" . ").split()
 
 
-class Hashes(dict):
-    """Word hashes, made when first asked for."""
-
-    def __missing__(self, word):
-        self[word] = value = xxhash.xxh64_intdigest(word)
-        return value
-
-
 class Numbers(dict):
     """Words numbered in the order in which they are first seen."""
 
@@ -54,32 +48,31 @@ class Numbers(dict):
         return value
 
 
-def chunks_of(text, known, longest=LONGEST, trigger=TRIGGER):
+def chunks_of(text, longest=LONGEST, trigger=TRIGGER):
     """The chunks of a text; each ends with `longest` - 1 tokens of what follows it."""
     ahead = longest - 1
-    tokens = [*tokens_of(text), *[SPLIT] * ahead]
-    if len(tokens) == ahead:
+    tokens = tokens_of(text)
+    if not tokens:
         return []
-    values = np.fromiter(map(known.__getitem__, tokens), np.uint64, len(tokens))
-    if len(known) > 500_000:
-        known.clear()
-    window = np.zeros(len(tokens) - ahead, np.uint64)
-    for i in range(max(ahead, 1)):
-        window = mixed(window * MULTIPLIER + values[i:i + len(window)])
-    starts = np.flatnonzero(window % np.uint64(trigger) == 0).tolist()
-    starts = starts if starts[:1] == [0] else [0, *starts]
-    ends = [*starts[1:], len(window)]
-    return [b" ".join(tokens[i:j + ahead]) for i, j in zip(starts, ends, strict=True)]
+    whole = b" ".join([*tokens, *[SPLIT] * ahead])
+    letters = np.frombuffer(whole + bytes(8), np.uint8)
+    starts = np.concatenate([[0], np.flatnonzero(letters[:len(whole)] == 32) + 1])
+    own = starts[:len(tokens)]
+    window = np.lib.stride_tricks.sliding_window_view(letters, 8)[own].view(np.uint64).ravel()
+    first = np.flatnonzero(mixed(window * MULTIPLIER) % np.uint64(trigger) == 0)
+    first = first if len(first) and first[0] == 0 else np.concatenate([[0], first])
+    last = np.concatenate([first[1:], [len(tokens)]]) + ahead
+    ends = np.concatenate([starts[1:] - 1, [len(whole)]])
+    return [whole[i:j] for i, j in zip(starts[first].tolist(), ends[last - 1].tolist(), strict=True)]
 
 
 def parse(documents, longest=LONGEST, trigger=TRIGGER):
     """lang, chunk and times: the dictionary of distinct chunks of all texts."""
     def run(batches):
-        known = Hashes()
         for batch in batches:
             counts = {}
             for lang, text in zip(batch["lang"], batch["text"], strict=True):
-                for chunk in chunks_of(text, known, longest, trigger):
+                for chunk in chunks_of(text, longest, trigger):
                     counts[lang, chunk] = counts.get((lang, chunk), 0) + 1
             yield pd.DataFrame(
                 [(lang, chunk.decode("utf-8", "replace"), n) for (lang, chunk), n in counts.items()],
@@ -108,12 +101,14 @@ class Counts:
 
     def add(self, chunks, times, inner, own):
         """Count the n-grams that begin in each chunk's own part, less those that the bit tables rule out."""
-        tokens = " ".join(chunks).split(" ")
-        ids = np.fromiter(map(self.numbers.__getitem__, tokens), np.int64, len(tokens))
+        tokens = pc.split_pattern(pa.array(chunks, pa.large_string()), " ")
+        coded = tokens.flatten().dictionary_encode()
+        words = coded.dictionary.to_pylist()
+        ids = np.fromiter(map(self.numbers.__getitem__, words), np.int64, len(words))[coded.indices.to_numpy()]
         if len(self.numbers) > len(self.hashes):
             new = list(self.numbers)[len(self.hashes):]
             self.hashes = np.concatenate([self.hashes, np.array([xxhash.xxh64_intdigest(w) for w in new], np.uint64)])
-        sizes = np.array([c.count(" ") + 1 for c in chunks], np.int64)
+        sizes = pc.list_value_length(tokens).to_numpy()
         left = np.repeat(np.cumsum(sizes), sizes) - np.arange(len(ids))
         begins = np.flatnonzero(left > self.ahead)
         grams = np.stack([ids[begins + i] for i in range(self.size)], axis=1)

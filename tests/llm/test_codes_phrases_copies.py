@@ -134,11 +134,11 @@ def test_chunks_hold_every_gram_once():
     text = " ".join(f"w{i * i % 37}" for i in range(500)) + ". end here"
     tokens = [*phrases.tokens_of(text), b".", b"."]
     for trigger in (1, 5, 50, 10**9):
-        cut = phrases.chunks_of(text, {}, trigger=trigger)
+        cut = phrases.chunks_of(text, trigger=trigger)
         grams = [tuple(c.split(b" ")[i:i + 3]) for c in cut for i in range(len(c.split(b" ")) - 2)]
         assert grams == [tuple(tokens[i:i + 3]) for i in range(len(tokens) - 2)]
     # A shared passage is cut at the same places after the first trigger in it.
-    one, two = (set(phrases.chunks_of(head + text, {}, trigger=5)) for head in ("first words ", "other ones. here "))
+    one, two = (set(phrases.chunks_of(head + text, trigger=5)) for head in ("first words ", "other ones. here "))
     assert len(one - two) <= 1
 
 
@@ -199,15 +199,17 @@ def test_copies_edges(spark):
     assert copies.needed_matches(100) == copies.COORDINATES
 
 
-def test_every_posted_list_is_needed(spark):
-    """A pair above the match threshold shares one of the posted tokens of both."""
+def test_every_pair_meets_in_one_list(spark):
+    """A pair above the match threshold shares a posted token of both."""
     pick = random.Random(8)
     base = [f"w{i}" for i in range(60)]
     rows = documents(spark, [(i, edited(pick, base, i % 6), "en") for i in range(40)])
-    sets = copies.signed(rows).cache()
+    sets = copies.signed(rows).dropDuplicates(["k1", "k2"]).withColumn("uid", F.lit(0)).cache()
     needed = copies.needed_matches()
-    posted = {(r["k1"], r["k2"]): set(r["prefix"]) for r in copies.postings(sets.dropDuplicates(["k1", "k2"]), needed).collect()}
-    tokens = {(r["k1"], r["k2"]): set(r["tokens"]) for r in sets.collect()}
+    posted = {(r["k1"], r["k2"]): set(r["prefix"]) for r in copies.postings(sets, needed).collect()}
+    tokens = {(r["k1"], r["k2"]): set(enumerate(r["tokens"])) for r in sets.collect()}
     pairs = [(a, b) for a in tokens for b in tokens if a < b and len(tokens[a] & tokens[b]) >= needed]
     assert pairs and all(posted[a] & posted[b] for a, b in pairs)
     assert sets.select(F.size("tokens")).distinct().collect()[0][0] == copies.COORDINATES
+    with pytest.raises(ValueError, match="64 coordinates"):
+        copies.near_duplicates(rows, coordinates=65)
