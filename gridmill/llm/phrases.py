@@ -86,12 +86,18 @@ def parse(documents, longest=LONGEST, trigger=TRIGGER):
 
 
 class Counts:
-    """Weighted counts of n-grams of one size in chunks of one language, by word numbers."""
+    """Weighted counts of n-grams in chunks of one language, by word numbers.
 
-    def __init__(self, lang, size, longest):
-        self.lang, self.size, self.ahead = lang, size, longest - 1
+    `wanted` has the sizes with two bit tables each, or None: of grams of one
+    word less that may be frequent, for a gram that holds a rare one is rare
+    itself, and of grams of this size.
+    """
+
+    def __init__(self, lang, wanted, longest):
+        self.lang, self.wanted, self.ahead = lang, wanted, longest - 1
         self.seed = xxhash.xxh64_intdigest(lang.encode())
-        self.numbers, self.hashes, self.held = Numbers({SPLIT.decode(): 0}), np.zeros(1, np.uint64), []
+        self.numbers, self.hashes = Numbers({SPLIT.decode(): 0}), np.zeros(1, np.uint64)
+        self.held = [[] for _ in wanted]
 
     def marks(self, grams):
         value = np.full(len(grams), self.seed, np.uint64)
@@ -99,11 +105,11 @@ class Counts:
             value = mixed(value * MULTIPLIER + self.hashes[column])
         return value
 
-    def add(self, chunks, times, inner, own):
+    def add(self, chunks, times):
         """Count the n-grams that begin in each chunk's own part, less those that the bit tables rule out."""
         tokens = pc.split_pattern(pa.array(chunks, pa.large_string()), " ")
         coded = tokens.flatten().dictionary_encode()
-        words = coded.dictionary.to_pylist()
+        words = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
         ids = np.fromiter(map(self.numbers.__getitem__, words), np.int64, len(words))[coded.indices.to_numpy()]
         if len(self.numbers) > len(self.hashes):
             new = list(self.numbers)[len(self.hashes):]
@@ -111,15 +117,16 @@ class Counts:
         sizes = pc.list_value_length(tokens).to_numpy()
         left = np.repeat(np.cumsum(sizes), sizes) - np.arange(len(ids))
         begins = np.flatnonzero(left > self.ahead)
-        grams = np.stack([ids[begins + i] for i in range(self.size)], axis=1)
-        good = (grams > 0).all(axis=1)
-        for bits, part in ((inner, slice(None, -1)), (inner, slice(1, None)), (own, slice(None))):
-            if bits is not None:
-                good[good] = may_count(self.marks(grams[good][:, part]), bits)
-        self.keep(grams[good], np.repeat(np.array(times, np.int64), sizes)[begins][good])
-
-    def keep(self, grams, totals):
-        """Sums of equal grams, set aside until `summed`."""
+        weights = np.repeat(np.array(times, np.int64), sizes)[begins]
+        for held, (size, inner, own) in zip(self.held, self.wanted, strict=True):
+            grams = np.stack([ids[begins + i] for i in range(size)], axis=1)
+            good = (grams > 0).all(axis=1)
+            for bits, part in ((inner, slice(None, -1)), (inner, slice(1, None)), (own, slice(None))):
+                if bits is not None:
+                    good[good] = may_count(self.marks(grams[good][:, part]), bits)
+            held.append(self.sums(grams[good], weights[good]))
+
+    def sums(self, grams, totals):
         key = grams[:, 0]
         for column in grams.T[1:]:
             if key.max(initial=0) > 2**62 // len(self.numbers):
@@ -128,27 +135,20 @@ class Counts:
         _, first, back = np.unique(key, return_index=True, return_inverse=True)
         sums = np.zeros(len(first), np.int64)
         np.add.at(sums, back, totals)
-        self.held.append((grams[first], sums))
+        return grams[first], sums
 
     def size_held(self):
-        return len(self.numbers) + sum(len(sums) for _, sums in self.held)
-
-    def summed(self):
-        if len(self.held) > 1:
-            grams, totals = (np.concatenate(x) for x in zip(*self.held, strict=True))
-            self.held = []
-            self.keep(grams, totals)
-        return self.held[0]
+        return len(self.numbers) + sum(len(sums) for held in self.held for _, sums in held)
 
-    def mark_rows(self):
-        grams, totals = self.summed()
-        return pd.DataFrame({"mark": self.marks(grams).view(np.int64), "f": totals})
-
-    def text_rows(self):
-        grams, totals = self.summed()
+    def rows(self, texts, marks):
         words = list(self.numbers)
-        text = [" ".join([words[i] for i in g]) for g in grams.tolist()]
-        return pd.DataFrame({"lang": self.lang, "gram": text, "mark": self.marks(grams).view(np.int64), "f": totals})
+        for held in self.held:
+            grams, totals = self.sums(*(np.concatenate(x) for x in zip(*held, strict=True)))
+            out = {"lang": self.lang, "gram": [" ".join([words[i] for i in g]) for g in grams.tolist()]} if texts else {}
+            if marks:
+                out["mark"] = self.marks(grams).view(np.int64)
+            if len(grams):
+                yield pd.DataFrame(out | {"f": totals})
 
 
 def may_count(marks, bits):
@@ -157,34 +157,26 @@ def may_count(marks, bits):
     return (bits[place >> np.uint64(3)] >> (place & np.uint64(7)).astype(np.uint8)) & 1 == 1
 
 
-def counted(dictionary, size, longest=LONGEST, inner=None, own=None, texts=True):
-    """lang, gram, mark (a hash) and f of the n-grams of `size` words; without `texts` only mark and f.
-
-    Bit tables tell which grams may be frequent: `inner` those of one word less,
-    for a gram that holds a rare one is rare itself, and `own` those of this size.
-    """
-    shared = dictionary.sparkSession.sparkContext.broadcast((inner, own))
+def counted(dictionary, wanted, longest=LONGEST, texts=True, marks=False):
+    """f of the `wanted` n-grams (see Counts) by lang and gram, by mark (a hash), or both."""
+    shared = dictionary.sparkSession.sparkContext.broadcast(wanted)
 
     def run(batches):
         held = {}
-
-        def sent():
-            for counts in held.values():
-                rows = counts.text_rows() if texts else counts.mark_rows()
-                if len(rows):
-                    yield rows
-            held.clear()
-
         for batch in batches:
             for lang, rows in batch.groupby("lang", sort=False):
-                counts = held.setdefault(lang, Counts(lang, size, longest))
-                counts.add(rows["chunk"].tolist(), rows["times"].tolist(), *shared.value)
+                counts = held.setdefault(lang, Counts(lang, shared.value, longest))
+                counts.add(rows["chunk"].tolist(), rows["times"].tolist())
             if sum(c.size_held() for c in held.values()) > HELD:
-                yield from sent()
-        yield from sent()
-
-    keys = ["lang", "gram", "mark"] if texts else ["mark"]
-    rows = dictionary.mapInPandas(run, ("lang string, gram string, " if texts else "") + "mark long, f long")
+                for counts in held.values():
+                    yield from counts.rows(texts, marks)
+                held.clear()
+        for counts in held.values():
+            yield from counts.rows(texts, marks)
+
+    keys = {"lang": "string", "gram": "string"} if texts else {}
+    keys |= {"mark": "long"} if marks else {}
+    rows = dictionary.mapInPandas(run, ", ".join(f"{k} {kind}" for k, kind in keys.items()) + ", f long")
     return rows.groupBy(*keys).agg(F.sum("f").alias("f"))
 
 
@@ -257,19 +249,17 @@ def collocations(documents, longest=LONGEST, least=LEAST, inside=50, keep=KEEP,
     left out, and an empty table gives no rows.
     """
     dictionary = stored(parse(documents, longest, trigger), "chunks")
-    grams = [stored(counted(dictionary, 1, longest), "grams-1")]
-    totals = grams[0].groupBy("lang").agg(F.sum("f").alias("n"))
+    words = stored(counted(dictionary, [(1, None, None)], longest, marks=True), "words")
+    totals = words.groupBy("lang").agg(F.sum("f").alias("n"))
     frequent = F.col("f") >= least
-    inner, own = bit_table(grams[0].filter(frequent)), None
-    for size in range(2, longest + 1):
-        if size < longest:
-            # Most grams are rare: hashes are counted first, and the texts of those that come often enough.
-            own = bit_table(stored(counted(dictionary, size, longest, inner, texts=False).filter(frequent), "marks"))
-        grams.append(stored(counted(dictionary, size, longest, inner, own).filter(frequent), f"grams-{size}"))
-        inner, own = own, None
-    often = grams[0].filter(frequent)
-    for more in grams[1:]:
-        often = often.unionByName(more)
+    bits, wanted = bit_table(words.filter(frequent)), []
+    for size in range(2, longest):
+        # Most grams are rare: hashes are counted first, texts only of those that come often enough.
+        marks = counted(dictionary, [(size, bits, None)], longest, texts=False, marks=True)
+        bits = bit_table(stored(marks.filter(frequent), "marks"))
+        wanted.append((size, None, bits))
+    grams = counted(dictionary, [*wanted, (longest, bits, None)], longest)
+    often = stored(grams.filter(frequent), "grams").unionByName(words.filter(frequent).drop("mark"))
     phrases = stored(scored(often, longest), "phrases")
     covered = F.coalesce(100 * F.col("longer") >= inside * F.col("a"), F.lit(False))
     best = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase")
