@@ -262,6 +262,7 @@ ORACLES = {
               FROM part)""",
     "envelope_explode": STREAM_ROWS,
     "stream_bronze": STREAM_ROWS,
+    "stream_compacted": STREAM_ROWS,
     "rejected_messages": """
         SELECT event_id, event_type AS sensor FROM events WHERE event_type IN ('signup', 'error')""",
     "monthly_merge": f"""
@@ -334,7 +335,35 @@ ORACLES = {
               FROM {ORDER_READINGS})""",
     "system_rollup": f"SELECT * FROM {system(HOURLY_READINGS)}",
     "daily_total_energy": f"SELECT * FROM {daily_energy(HOURLY_READINGS)}",
+    "incremental_daily": f"SELECT * FROM {daily_energy(HOURLY_READINGS)}",
     "daily_silver": f"SELECT * FROM {daily_readings(EVENT_READINGS)}",
+    "monthly_customers": f"""
+        SELECT CAST(date_trunc('month', ts) AS DATE) AS month, count(DISTINCT customer_id) AS customer_count, true AS within_bound
+        FROM {ORDER_READINGS} GROUP BY 1""",
+    "coverage_gaps": f"""
+        WITH seasons AS (
+            SELECT * FROM (VALUES ('spring', DATE '1996-01-01', DATE '1996-05-31'), ('summer', DATE '1996-06-01', DATE '1996-09-30'),
+                                  ('autumn', DATE '1996-10-01', DATE '1996-12-31')) v(season, first_day, last_day)
+        ),
+        seen AS (
+            SELECT DISTINCT season, customer_id, CAST(ts AS DATE) AS date, first_day, last_day
+            FROM {ORDER_READINGS} JOIN seasons ON CAST(ts AS DATE) BETWEEN first_day AND last_day
+        ),
+        steps AS (
+            SELECT *, date - coalesce(lag(date) OVER w, first_day - 1) - 1 AS gap, lag(date) OVER w IS DISTINCT FROM date - 1 AS starts
+            FROM seen WINDOW w AS (PARTITION BY season, customer_id ORDER BY date)
+        ),
+        numbered AS (
+            SELECT *, sum(CAST(starts AS INT)) OVER (PARTITION BY season, customer_id ORDER BY date) AS run FROM steps
+        ),
+        runs AS (
+            SELECT season, customer_id, run, last_day, count(*) AS n, max(gap) AS gap, max(date) AS run_end,
+                   any_value(last_day - first_day + 1) AS days
+            FROM numbered GROUP BY season, customer_id, run, last_day
+        )
+        SELECT season, customer_id, CAST(sum(n) AS BIGINT) AS days_present, CAST(any_value(days) - sum(n) AS BIGINT) AS missing_days,
+               count(*) AS runs, max(n) AS longest_run, greatest(max(gap), last_day - max(run_end)) AS longest_gap
+        FROM runs GROUP BY season, customer_id, last_day""",
     "sql_daily_by_season": f"SELECT * FROM {seasonal_daily(ORDER_READINGS, 1996, 1, 5)}",
     "monthly_average": f"""
         SELECT CAST(month(ts) AS INT) AS month, strftime(ts, '%B') AS month_name,

@@ -9,8 +9,9 @@ from gridmill.functions import calendar as C
 from gridmill.functions import numbers as N
 from gridmill.functions import text as X
 from gridmill.ml import evaluate, models, registry, split
-from gridmill.operators import features, gates, reports, rollup, windows
+from gridmill.operators import distinct, features, gaps, gates, incremental, reports, rollup, windows
 from gridmill.session import new_folder, stored
+from gridmill.sinks import manifest
 from gridmill.sinks import messages as message_sink
 from gridmill.sinks import tables
 from gridmill.sources import dayfiles
@@ -158,6 +159,24 @@ def stream_bronze(spark, folder):
     return _stream_columns(spark.read.parquet(f"{work}/table"))
 
 
+def stream_compacted(spark, folder):
+    """Events as a stream of small files into a table with a commit log: micro-batches
+    are merged, then more come, and readers take the newest version."""
+    work = new_folder(spark, "compacted")
+    events = I.load(spark, folder, "events")
+
+    def ingest(rows, files):
+        rows.repartition(files).write.mode("append").parquet(f"{work}/inbox")
+        messages = I.envelope_messages(M.stream_files(spark, f"{work}/inbox", events.schema, files_per_trigger=1))
+        S.ingest_logged(messages, f"{work}/table", f"{work}/state", available_now=True).awaitTermination()
+
+    early = F.col("ts") < F.lit("2024-01-16").cast("timestamp_ntz")
+    ingest(events.filter(early), 3)
+    S.compact_readings(spark, f"{work}/table")
+    ingest(events.filter(~F.coalesce(early, F.lit(False))), 2)
+    return _stream_columns(manifest.read(spark, f"{work}/table"))
+
+
 def _fan_out(spark, folder):
     """Folder of the tables that the fan-out job makes of all orders."""
     work = new_folder(spark, "fanout")
@@ -305,10 +324,44 @@ def daily_total_energy(spark, folder):
     )
 
 
+def incremental_daily(spark, folder):
+    """Daily energy from three batches: every tenth reading comes a batch late, and the
+    second batch is replaced after a damaged first try."""
+    path = new_folder(spark, "incremental")
+    rows = I.hourly_readings(spark, folder)
+    third = lambda text: (F.col("full_timestamp") >= F.lit(text).cast("timestamp_ntz")).cast("int")
+    batch = F.least(F.lit(2), third("2024-01-11") + third("2024-01-21") + (F.col("event_id") % 10 == 0).cast("int"))
+    batches = [rows.filter(batch == i) for i in range(3)]
+    for name, content in (
+        ("1st", batches[0]), ("2nd", batches[1].filter("profile_type = 'click'")), ("3rd", batches[2]), ("2nd", batches[1]),
+    ):
+        incremental.add_batch(content, path, name, scale=SCALE)
+        incremental.refresh(spark, path, scale=SCALE)
+    return incremental.daily(spark, path).withColumn("timestamp", F.col("timestamp").cast("timestamp_ntz"))
+
+
 def daily_silver(spark, folder):
     return rollup.daily_readings(I.readings(spark, folder), scale=SCALE)
 
 
+def monthly_customers(spark, folder):
+    """Distinct customers per month from what days keep: bitmaps, and whether sketches stay within their bound."""
+    rows = I.order_readings(spark, folder).withColumn("date", F.to_date("full_timestamp"))
+    early = rows.filter("date < DATE '1995-01-01'")
+    known = stored(distinct.extend_dictionary(early), "customers-1")
+    dictionary = stored(distinct.extend_dictionary(rows, known), "customers-2")
+    month = F.trunc("date", "month").alias("month")
+    bits = stored(distinct.bitmaps(rows, dictionary, ["date"]), "daily-bits").withColumn("month", month)
+    sketched = stored(distinct.sketches(rows, ["date"]), "daily-sketches").withColumn("month", month)
+    both = distinct.bitmap_counts(bits, ["month"]).join(distinct.sketch_counts(sketched, ["month"]), "month")
+    off = F.abs(F.col("customer_estimate") - F.col("customer_count"))
+    return both.select("month", "customer_count", (off <= distinct.sketch_error() * F.col("customer_count")).alias("within_bound"))
+
+
+def coverage_gaps(spark, folder):
+    return gaps.coverage_gaps(I.order_readings(spark, folder), 1996)
+
+
 def sql_daily_by_season(spark, folder):
     daily = rollup.seasonal_daily(I.order_readings(spark, folder), 1996, "spring", scale=SCALE)
     return daily
@@ -775,10 +828,10 @@ QUERIES = {
     f.__name__: f
     for f in (
         wide_unpivot, file_ingest_report, day_file_readings, written_table, missing_days, csv_cast_filter, table_count,
-        kafka_batch_parse, envelope_explode, rejected_messages, stream_bronze, monthly_merge, fanout_detail, fanout_raw,
+        kafka_batch_parse, envelope_explode, rejected_messages, stream_bronze, stream_compacted, monthly_merge, fanout_detail, fanout_raw,
         topic_route, to_kafka_rows, decimal_result, serving_union, filter_gt, expr_bonus,
         season_filter, date_range_daily, latest_snapshot, freshness, customer_profile,
-        expected_load, system_rollup, daily_total_energy, daily_silver, sql_daily_by_season, seasonal_sql_text,
+        expected_load, system_rollup, daily_total_energy, incremental_daily, daily_silver, monthly_customers, coverage_gaps, sql_daily_by_season, seasonal_sql_text,
         monthly_average, daily_energy_stats, date_span, avg_by_group, coverage_report,
         describe_profile, describe_table, describe_missing, describe_columns, peak_interval, peak_interval_nan, cardinality, prediction_report,
         features_ml, features_silver, chunked_window, shifted_window, tied_window, dense_series,

@@ -11,7 +11,7 @@ from gridmill.ml import evaluate, models, registry, split
 from gridmill.operators import features, gates, rollup
 from gridmill.session import stored
 from gridmill.sinks import tables
-from gridmill.sources import dayfiles
+from gridmill.sources import dayfiles, ledger
 from gridmill.sources.readings import between
 
 
@@ -24,6 +24,15 @@ def ingest_day_files(spark, folder, table=fixed.BATCH_READINGS_TABLE, days=None)
     return dayfiles.report_totals(report)
 
 
+def ingest_new_day_files(spark, folder, path, days=None, run=None):
+    """New and changed day files into the ledger's table; returns the totals of the run.
+
+    Unlike `ingest_day_files` it can be run again at any time.
+    """
+    made = ledger.ingest(spark, folder, path, days, run=run)
+    return dayfiles.report_totals(made)
+
+
 def daily_series(readings, scale=None):
     """Readings to the daily series of the forecast, through the system series."""
     return rollup.daily_energy(rollup.system_rollup(readings, scale=scale), scale=scale)
@@ -123,9 +132,15 @@ def train_seasonal(spark, readings, season, year, folder, min_rows=fixed.MIN_TRA
     return scores
 
 
-def score_table(spark, rows, folder, name, keep, path):
-    """Score rows with a registered model and append the predictions; returns those appended."""
+def score_table(spark, rows, folder, name, keep, path, run=None):
+    """Score rows with a registered model and append the predictions; returns those appended.
+
+    With the name of a `run` a retry replaces what the run appended before.
+    """
     model = registry.load_model(spark, folder, name)
     scored = stored(models.score(model, rows, keep).withColumn("created_at", F.current_timestamp()), "scored")
-    tables.append_files(scored, path)
+    if run is None:
+        tables.append_files(scored, path)
+    else:
+        tables.append_run(scored, path, run)
     return scored

@@ -11,6 +11,11 @@ def append_files(df, path, mode="append", partition_by=()):
     df.write.mode(mode).partitionBy(*partition_by).parquet(path)
 
 
+def append_run(df, path, run):
+    """Append under the name of a run: a run that is repeated replaces its own rows only."""
+    df.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(f"{path}/run={run}")
+
+
 def create_readings_table(spark, name, location=None):
     """Readings table laid out by date.
 

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from gridmill import fixed
 from gridmill.operators.rollup import merge_monthly, monthly_partials
+from gridmill.sinks import manifest
 from gridmill.sources import messages as M
 
 
@@ -53,6 +54,25 @@ def batch_writer(path):
     return write
 
 
+def logged_writer(path):
+    """Micro-batch sink into a table with a commit log, see `sinks.manifest`.
+
+    Batches are numbered upwards, so a batch that runs again after its commit is
+    known by its number even where it was merged with others meanwhile; one that
+    failed before its commit left nothing that readers see.
+    """
+
+    def write(batch, batch_id):
+        spark = batch.sparkSession
+        done = lambda parts: any(p["upto"] is not None and p["upto"] >= batch_id for p in parts)
+        if done(manifest.live(spark, path)[1]):
+            return
+        part = manifest.write_part(batch, path, f"batch-{batch_id}", batch_id)
+        manifest.commit(spark, path, lambda parts: [] if done(parts) or not part["rows"] else [manifest.added(part)])
+
+    return write
+
+
 def start(stream, write, checkpoint, trigger=fixed.STREAM_TRIGGER, available_now=False, name=None):
     """Start a stream in append mode: every `trigger`, or once over what is there."""
     writer = stream.writeStream.foreachBatch(write).outputMode("append").option(
@@ -69,6 +89,20 @@ def ingest_readings(messages, path, checkpoint, late_by=None, **options):
     return start(readings_stream(messages, late_by), batch_writer(path), checkpoint, **options)
 
 
+def ingest_logged(messages, path, checkpoint, late_by=None, **options):
+    """Envelope messages into a table whose parts can be merged while the stream runs."""
+    return start(readings_stream(messages, late_by), logged_writer(path), checkpoint, **options)
+
+
+def compact_readings(spark, path, small_rows=10_000_000):
+    """Merge the small parts of `ingest_logged`, laid out by date, customer and time."""
+    def arrange(rows):
+        dated = rows.withColumn("_date", F.to_date("full_timestamp")).hint("rebalance", F.col("_date"))
+        return dated.sortWithinPartitions("_date", "customer_id", "full_timestamp").drop("_date")
+
+    return manifest.compact(spark, path, small_rows, arrange)
+
+
 # --- fan-out --------------------------------------------------------------
 def fanout_writer(path, scale=None):
     """One micro-batch into four tables: raw records, load details, monthly parts, rejects.
