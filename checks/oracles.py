@@ -198,6 +198,15 @@ SERVING = " UNION ALL ".join(
 )
 SUBSET_EVENTS = "SELECT event_id, customer_id, profile_type, ts AS full_timestamp, load AS load_percentage"
 
+DAY_FILE_READINGS = f"""
+        SELECT customer_id, profile_type, 1 AS day_num, CAST(interval_idx AS INT) AS interval_idx,
+               CAST(CAST(cell AS FLOAT) AS DOUBLE) AS load_percentage
+        FROM (SELECT *, unnest(cells) AS cell, generate_subscripts(cells, 1) - 1 AS interval_idx
+              FROM (SELECT *, count(*) OVER (PARTITION BY event_type, event_id // 10000) AS n
+                    FROM {WIDE_CELLS}))
+        WHERE regexp_matches(cell, {NUMERIC})
+              AND (event_type = 'click' OR (event_type = 'purchase' AND n < 10))"""
+
 ORACLES = {
     "wide_unpivot": f"""
         SELECT event_id, customer_id, profile_type, day_num,
@@ -221,14 +230,12 @@ ORACLES = {
                      4 * count(*) AS readings,
                      event_type <> 'view' AND (event_type <> 'purchase' OR count(*) < 10) AS early
               FROM {WIDE_LINES} GROUP BY event_type, event_id // 10000)""",
-    "day_file_readings": f"""
-        SELECT customer_id, profile_type, 1 AS day_num, CAST(interval_idx AS INT) AS interval_idx,
-               CAST(CAST(cell AS FLOAT) AS DOUBLE) AS load_percentage
-        FROM (SELECT *, unnest(cells) AS cell, generate_subscripts(cells, 1) - 1 AS interval_idx
-              FROM (SELECT *, count(*) OVER (PARTITION BY event_type, event_id // 10000) AS n
-                    FROM {WIDE_CELLS}))
-        WHERE regexp_matches(cell, {NUMERIC})
-              AND (event_type = 'click' OR (event_type = 'purchase' AND n < 10))""",
+    "day_file_readings": DAY_FILE_READINGS,
+    "ledger_ingest": DAY_FILE_READINGS,
+    "discovered_files": """
+        SELECT CAST(n AS INT) AS day_num, 'cyme_load_timeseries_day_' || n || '.txt' AS file_name,
+               n IN (SELECT dayofyear(ts) FROM events) AS present
+        FROM (SELECT unnest(generate_series(1, 60)) AS n)""",
     "written_table": """
         SELECT CAST(ts AS DATE) AS date, event_type AS profile_type,
                count(*) * copies AS record_count,

@@ -14,7 +14,7 @@ from gridmill.session import new_folder, stored
 from gridmill.sinks import manifest
 from gridmill.sinks import messages as message_sink
 from gridmill.sinks import tables
-from gridmill.sources import dayfiles
+from gridmill.sources import dayfiles, ledger
 from gridmill.sources import messages as M
 from gridmill.sources import readings as R
 from gridmill.streaming import jobs as S
@@ -79,6 +79,49 @@ def day_file_readings(spark, folder):
     )
 
 
+def ledger_ingest(spark, folder):
+    """The day files taken in twice, one of them damaged at first and mended before a third time."""
+    work, written = new_folder(spark, "ledger"), _day_files(spark, folder)
+    names = dayfiles.read_lines(spark, written, pattern="part-{}").select("file").distinct()
+    first = names.filter("file LIKE '%event_type=click/%'").agg(F.min("file")).first()[0]
+    whole = stored(spark.read.text(first), "whole-file")
+    run = lambda: ledger.ingest(spark, written, work, pattern="part-{}")
+
+    def put(lines):
+        """One file in place of another; its lines keep their order."""
+        made = new_folder(spark, "one-file")
+        lines.coalesce(1).write.text(made)
+        place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+        files = place(first).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        part = next(name for name, _ in manifest.listed(spark, made) if name.startswith("part-"))
+        files.delete(place(first), False)
+        files.rename(place(f"{made}/{part}"), place(first))
+
+    put(whole.filter(F.col("value").startswith(fixed.HEADER_PREFIX) | F.col("value").contains("view") | (F.crc32("value") % 2 == 0)))
+    run(), run()
+    put(whole)
+    run()
+    return ledger.readings(spark, work).select(
+        "customer_id", "profile_type", "day_num", "interval_idx",
+        F.col("load_percentage").cast("double").alias("load_percentage"),
+    )
+
+
+def discovered_files(spark, folder):
+    """Which day files of the first 60 days there are: a file is written for each day of the events."""
+    work, made = new_folder(spark, "discover"), new_folder(spark, "by-day")
+    days = I.wide_lines(spark, folder).select("day_num", "line").repartition("day_num")
+    days.write.partitionBy("day_num").text(made)
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    files = place(made).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    files.mkdirs(place(work))
+    for day, _ in manifest.listed(spark, made):
+        if day.startswith("day_num="):
+            part = next(name for name, _ in manifest.listed(spark, f"{made}/{day}") if name.startswith("part-"))
+            files.rename(place(f"{made}/{day}/{part}"), place(f"{work}/{fixed.DAY_FILE_PATTERN.format(day[8:])}"))
+    return dayfiles.discover_day_files(spark, work, days=range(1, 61)).select("day_num", "file_name", "present")
+
+
 def written_table(spark, folder):
     """The readings table after an append, a repeated append of one type and the
     replacement of the dates from the 29th on."""
@@ -827,7 +870,7 @@ def rf_autumn(spark, folder):
 QUERIES = {
     f.__name__: f
     for f in (
-        wide_unpivot, file_ingest_report, day_file_readings, written_table, missing_days, csv_cast_filter, table_count,
+        wide_unpivot, file_ingest_report, day_file_readings, ledger_ingest, discovered_files, written_table, missing_days, csv_cast_filter, table_count,
         kafka_batch_parse, envelope_explode, rejected_messages, stream_bronze, stream_compacted, monthly_merge, fanout_detail, fanout_raw,
         topic_route, to_kafka_rows, decimal_result, serving_union, filter_gt, expr_bonus,
         season_filter, date_range_daily, latest_snapshot, freshness, customer_profile,
