@@ -444,6 +444,13 @@ ORACLES = {
                avg_daily_load, peak_daily_load, customer_count, total_daily_energy, date
         FROM (SELECT *, CAST(dayofweek(date) + 1 AS INT) AS dayofweek, {history(True)}
               FROM {daily_readings(ORDER_READINGS)})""",
+    "long_window": f"""
+        SELECT l_shipdate, l_orderkey, l_linenumber, l_extendedprice,
+               CAST(sum(CAST(l_extendedprice AS DECIMAL(18,2))) OVER frame AS DOUBLE) / count(*) OVER frame AS rolling_avg,
+               max(l_extendedprice) OVER frame AS rolling_max, min(l_extendedprice) OVER frame AS rolling_min,
+               count(*) OVER frame AS rolling_count
+        FROM lineitem
+        WINDOW frame AS (ORDER BY l_shipdate, l_orderkey, l_linenumber, l_extendedprice ROWS BETWEEN 49999 PRECEDING AND CURRENT ROW)""",
     "chunked_window": f"""
         SELECT full_timestamp, total_system_load,
                lag(total_system_load, 1) OVER w AS load_lag_1,
@@ -583,6 +590,23 @@ ORACLES = {
         FROM lineitem,
              (SELECT regr_slope(l_extendedprice, l_quantity) AS a,
                      regr_intercept(l_extendedprice, l_quantity) AS b FROM lineitem)""",
+    "score_by_season": """
+        SELECT o_orderkey, model, CAST(version AS INT) AS version,
+               CASE WHEN model = 'spring_energy_model' AND version = 1 THEN 2 * x + 1
+                    WHEN model = 'spring_energy_model' THEN 2 * x + 11
+                    WHEN model = 'summer_energy_model' THEN 5 - 3 * x
+                    WHEN model = 'general_energy_model' THEN x / 2 END AS predicted_load
+        FROM (
+            SELECT *, CASE WHEN model IS NULL THEN NULL
+                           WHEN model = 'spring_energy_model' AND o_orderdate >= TIMESTAMP '1996-03-01' THEN 2 ELSE 1 END AS version
+            FROM (
+                SELECT o_orderkey, o_orderdate, CAST(o_custkey % 50 AS DOUBLE) AS x,
+                       CASE WHEN month(o_orderdate) <= 5 AND o_orderdate >= TIMESTAMP '1993-01-01' THEN 'spring_energy_model'
+                            WHEN month(o_orderdate) BETWEEN 6 AND 9 AND o_orderdate >= TIMESTAMP '1994-07-01' THEN 'summer_energy_model'
+                            WHEN o_orderdate >= TIMESTAMP '1992-06-01' THEN 'general_energy_model' END AS model
+                FROM orders
+            )
+        )""",
     "score_batch": """
         SELECT l_orderkey, l_partkey, l_linenumber, l_quantity,
                round(b + a * l_quantity, 0) AS predicted_price, newest AS prediction_timestamp

@@ -1,5 +1,7 @@
 """One query per operator, each over whole tables of a data folder."""
 
+import datetime
+
 from pyspark.ml import PipelineModel
 from pyspark.sql import functions as F
 
@@ -10,6 +12,7 @@ from gridmill.functions import numbers as N
 from gridmill.functions import text as X
 from gridmill.ml import evaluate, models, registry, split
 from gridmill.operators import distinct, features, gaps, gates, incremental, reports, rollup, windows
+from gridmill.plans import jobs
 from gridmill.session import new_folder, stored
 from gridmill.sinks import manifest
 from gridmill.sinks import messages as message_sink
@@ -555,6 +558,14 @@ def shifted_window(spark, folder):
     ).select("event_id", "customer_id", "avg_before_3", "max_before_7")
 
 
+def long_window(spark, folder):
+    """Frames of 50,000 rows over all lines in one series, far longer than a chunk."""
+    line = I.load(spark, folder, "lineitem").select("l_shipdate", "l_orderkey", "l_linenumber", "l_extendedprice")
+    return windows.long_rolling(
+        line, ["l_shipdate", "l_orderkey", "l_linenumber", "l_extendedprice"], "l_extendedprice", 50_000, rows_per_chunk=8_000, scale=SCALE
+    )
+
+
 def tied_window(spark, folder):
     """Windows over all events in one series, ordered by the hour, which many share, and the id."""
     value = "load_percentage"
@@ -810,6 +821,22 @@ def score_batch(spark, folder):
     )
 
 
+def score_by_season(spark, folder):
+    """Orders scored by the model of their season as of their date: spring in two versions, summer,
+    and the general model where the season has none yet."""
+    orders = I.load(spark, folder, "orders").select("o_orderkey", "o_orderdate", (F.col("o_custkey") % 50).cast("double").alias("x"))
+    models_folder, x = new_folder(spark, "registry"), F.col("x")
+    for name, label, since in (
+        (fixed.SEASON_MODELS["spring"], 2 * x + 1, "1993-01-01"), (fixed.SEASON_MODELS["summer"], 5 - 3 * x, "1994-07-01"),
+        (fixed.GENERAL_MODEL, x / 2, "1992-06-01"), (fixed.SEASON_MODELS["spring"], 2 * x + 11, "1996-03-01"),
+    ):
+        line = models.linear_pipeline(["x"], "y", regParam=0.0).fit(orders.withColumn("y", label))
+        since = datetime.datetime.fromisoformat(since).replace(tzinfo=datetime.UTC)
+        registry.register_model(spark, models_folder, line, name, valid_from=since)
+    scored = jobs.score_by_season(spark, orders, models_folder, "o_orderdate", ["o_orderkey"], "predicted_load")
+    return scored.withColumn("predicted_load", F.round("predicted_load", 4))
+
+
 def eval_metrics(spark, folder):
     featured = features.forecast_features(_order_daily(spark, folder), scale=SCALE)
     rows = evaluate.naive_forecast(split.chronological(featured))
@@ -877,12 +904,12 @@ QUERIES = {
         expected_load, system_rollup, daily_total_energy, incremental_daily, daily_silver, monthly_customers, coverage_gaps, sql_daily_by_season, seasonal_sql_text,
         monthly_average, daily_energy_stats, date_span, avg_by_group, coverage_report,
         describe_profile, describe_table, describe_missing, describe_columns, peak_interval, peak_interval_nan, cardinality, prediction_report,
-        features_ml, features_silver, chunked_window, shifted_window, tied_window, dense_series,
+        features_ml, features_silver, chunked_window, shifted_window, long_window, tied_window, dense_series,
         chrono_split, split_sizes, hash_split, random_split, latest_predictions, customer_comparison,
         union_days, table_counts, day_from_name, day_number_to_date, calendar_columns,
         parse_iso_ts, cyclic_features, seasonal_features, rounding, json_props,
         season_of_month, sample_days, availability_gate, minimum_rows, pick_model,
-        pick_version, newest_run, run_log_pivot, standard_scale, ols_fit, saved_model, score_batch, eval_metrics,
+        pick_version, newest_run, run_log_pivot, standard_scale, ols_fit, saved_model, score_batch, score_by_season, eval_metrics,
         overfit_gap, gbt_forecast, gbt_importances, rf_seasonal, rf_autumn,
     )
 }

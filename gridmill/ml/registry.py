@@ -10,6 +10,7 @@ import uuid
 
 from pyspark.errors import AnalysisException
 from pyspark.ml import PipelineModel
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from gridmill import fixed, schemas
@@ -56,16 +57,19 @@ def saved_path(folder, name, version):
     return f"{folder}/saved/{name}/{version}"
 
 
-def register_model(spark, folder, model, name, stage="None", run_id=None):
+def register_model(spark, folder, model, name, stage="None", run_id=None, valid_from=None):
     """Save a model under the next version of its name and record it; returns the version.
 
+    `valid_from` is the time from which the version counts for scoring as of a
+    time, the present one unless given.
+
     The model is written before its registry row, so a row always has files. One
     writer per name: two jobs at once would take the same version.
     """
     top = read_models(spark, folder).filter(F.col("name") == name).agg(F.max("version")).first()[0]
     version = (top or 0) + 1
     path = save_model(model, saved_path(folder, name, version))
-    row = (name, version, stage, path, run_id, datetime.datetime.now())
+    row = (name, version, stage, path, run_id, valid_from or datetime.datetime.now())
     frame = spark.createDataFrame([row], schemas.MODELS).coalesce(1)
     frame.write.mode("append").parquet(f"{folder}/models")
     return version
@@ -104,6 +108,48 @@ def pick_model(months, models, month="month"):
     )
 
 
+def validity(models):
+    """name, version, path and the half-open time in which each version is the newest of its name.
+
+    Of versions that begin at the same time the highest counts.
+    """
+    begun = models.groupBy("name", F.col("ts").alias("valid_from")).agg(
+        F.max(F.struct("version", "path")).alias("top")
+    )
+    # A name has as many rows as versions: registry metadata.
+    until = F.lead("valid_from").over(Window.partitionBy("name").orderBy("valid_from"))
+    return begun.select("name", "top.version", "top.path", "valid_from", until.alias("valid_to"))
+
+
+def as_of_model(rows, models, ts, month=None):
+    """Rows with the model (`model`, `version`, `model_path`) that serves each at its own time.
+
+    That is the season's model in the version valid at `ts`, where there is none
+    yet the general model's, and null where that has no version yet either. The
+    time decides, not the order in which versions were registered later.
+    """
+    season = model_season(F.month(ts) if month is None else month)
+    names = F.create_map(*[F.lit(x) for pair in fixed.SEASON_MODELS.items() for x in pair])
+    moment = F.col(ts).cast("timestamp")
+    made = rows.withColumn("_wanted", F.coalesce(names[season], F.lit(fixed.GENERAL_MODEL)))
+    spans = validity(models)
+
+    def side(prefix):
+        return spans.select(*[F.col(c).alias(f"_{prefix}_{c}") for c in spans.columns])
+
+    def valid(prefix, name):
+        upto = F.col(f"_{prefix}_valid_to")
+        return (F.col(f"_{prefix}_name") == name) & (moment >= F.col(f"_{prefix}_valid_from")) & (upto.isNull() | (moment < upto))
+
+    joined = made.join(side("own"), valid("own", F.col("_wanted")), "left").join(
+        side("any"), valid("any", F.lit(fixed.GENERAL_MODEL)) & F.col("_own_name").isNull(), "left"
+    )
+    chosen = lambda c: F.coalesce(f"_own_{c}", f"_any_{c}")
+    return joined.select(
+        *rows.columns, chosen("name").alias("model"), chosen("version").alias("version"), chosen("path").alias("model_path")
+    )
+
+
 def newest_run(runs):
     """One row per model name: the run that logged it last and the path it saved.
 
@@ -133,7 +179,10 @@ def load_model(spark, folder, name, production_first=True, cached=True):
             chosen = None
     if chosen is None:
         raise LookupError(f"no model is registered under {name}")
-    path = chosen["path"]
+    return model_at(chosen["path"], cached)
+
+
+def model_at(path, cached=True):
     if not cached:
         return PipelineModel.load(path)
     if path not in _LOADED:

@@ -151,3 +151,73 @@ def chunked(df, order, reach, columns, by=(), bucket=None, rows_per_chunk=100_00
         .filter(F.col("_home") == F.col("_chunk"))
         .drop("_home", "_chunk")
     )
+
+
+def long_rolling(df, order, value, span, by=(), bucket=None, rows_per_chunk=100_000, scale=None, prefix="rolling"):
+    """Mean, max, min and count of the last `span` rows, the current one included, for frames of any length.
+
+    `chunked` copies the rows a frame looks back on; here a frame may cover many
+    chunks and nothing is copied. Of each chunk only its total, count and extremes
+    are kept beside running ones inside it. A frame's sum is the difference of
+    two running totals; its extremes are those of the first chunk from the
+    frame's first row on, of the whole chunks between, and of the last chunk up to
+    the current row. One join brings the values at the frame's first row.
+
+    Nulls are left out as in SQL frames. Adds `<prefix>_avg`, `_max`, `_min` and
+    `_count`. With `scale` sums are decimals; differences of double totals keep
+    fewer digits than a frame summed by itself. `order` must tell rows of a
+    series apart, `bucket` as in `chunked`.
+    """
+    if span < 1:
+        raise ValueError("a frame holds at least one row")
+    kept = df.columns
+    size = min(rows_per_chunk, span)
+    if bucket is None:
+        spread = [order] if isinstance(order, str) else list(order)
+        df = stored(df.repartitionByRange(*spread).withColumn("_even", F.spark_partition_id()), "dealt")
+        bucket = "_even"
+    names = ["_by"]  # one struct as key: null parts compare equal in it
+    rows = numbered(df, order, bucket, "_row", by).select(
+        *kept, (F.struct(*by) if by else F.lit(0)).alias("_by"), "_row", F.floor((F.col("_row") - 1) / size).alias("_chunk"), exact(value, scale).alias("_v")
+    )
+    upto = Window.partitionBy(*names, "_chunk").orderBy("_row").rowsBetween(Window.unboundedPreceding, 0)
+    onward = Window.partitionBy(*names, "_chunk").orderBy("_row").rowsBetween(0, Window.unboundedFollowing)
+    inside = rows.withColumns({
+        "_sum": F.coalesce(F.sum("_v").over(upto), F.lit(0)), "_n": F.count("_v").over(upto),
+        "_max": F.max(value).over(upto), "_min": F.min(value).over(upto),
+        "_smax": F.max(value).over(onward), "_smin": F.min(value).over(onward),
+    })
+    inside = stored(inside, "running")
+    # One row per chunk and series: what earlier chunks hold, and the extremes of the whole ones between.
+    ends = inside.filter((F.col("_row") - 1) % size == 0).select(*names, "_chunk", F.col("_smax").alias("_cmax"), F.col("_smin").alias("_cmin"))
+    totals = inside.groupBy(*names, "_chunk").agg(F.max_by(F.struct("_sum", "_n"), "_row").alias("_t"))
+    chunks = totals.join(ends, [*names, "_chunk"])
+    before = Window.partitionBy(*names).orderBy("_chunk")
+    earlier = before.rowsBetween(Window.unboundedPreceding, -1)
+    whole = span // size
+    between = {}
+    for label, count in (("a", whole - 1), ("b", whole)):
+        for kind, pick in (("max", F.max), ("min", F.min)):
+            frame = before.rowsBetween(-count, -1)
+            between[f"_{label}{kind}"] = pick(f"_c{kind}").over(frame) if count > 0 else F.lit(None).cast(df.schema[value].dataType)
+    chunks = chunks.select(
+        *names, "_chunk", F.coalesce(F.sum("_t._sum").over(earlier), F.lit(0)).alias("_sum0"),
+        F.coalesce(F.sum("_t._n").over(earlier), F.lit(0)).alias("_n0"), *[c.alias(n) for n, c in between.items()],
+    )
+    placed = inside.join(chunks, [*names, "_chunk"])
+    counts = F.col("_v").isNotNull().cast("long")
+    starts = placed.select(
+        *names, (F.col("_row") + span - 1).alias("_row"), F.col("_chunk").alias("_first"), "_smax", "_smin",
+        (F.col("_sum0") + F.col("_sum") - F.coalesce("_v", F.lit(0))).alias("_sum1"), (F.col("_n0") + F.col("_n") - counts).alias("_n1"),
+    )
+    joined = placed.drop("_smax", "_smin").join(starts, [*names, "_row"], "left")
+    n = F.col("_n0") + F.col("_n") - F.coalesce("_n1", F.lit(0))
+    total_ = (F.col("_sum0") + F.col("_sum") - F.coalesce("_sum1", F.lit(0))).cast("double")
+    gap = F.col("_chunk") - F.coalesce("_first", F.lit(-1)) - 1  # whole chunks inside the frame
+    extreme = lambda kind, pick: pick(f"_{kind}", f"_s{kind}", F.when(gap < whole, F.col(f"_a{kind}")).otherwise(F.col(f"_b{kind}")))
+    return joined.select(
+        *kept,
+        F.when(n > 0, F.try_divide(total_, n.cast("double"))).alias(f"{prefix}_avg"),
+        extreme("max", F.greatest).alias(f"{prefix}_max"), extreme("min", F.least).alias(f"{prefix}_min"),
+        n.alias(f"{prefix}_count"),
+    ).drop("_even")

@@ -9,10 +9,10 @@ from gridmill import fixed
 from gridmill.functions.calendar import season_dates
 from gridmill.ml import evaluate, models, registry, split
 from gridmill.operators import features, gates, rollup
-from gridmill.session import stored
+from gridmill.session import new_folder, stored
 from gridmill.sinks import tables
 from gridmill.sources import dayfiles, ledger
-from gridmill.sources.readings import between
+from gridmill.sources.readings import between, union_frames
 
 
 def ingest_day_files(spark, folder, table=fixed.BATCH_READINGS_TABLE, days=None):
@@ -132,6 +132,35 @@ def train_seasonal(spark, readings, season, year, folder, min_rows=fixed.MIN_TRA
     return scores
 
 
+def score_by_model(rows, keep, name="prediction"):
+    """Predictions of rows that carry the model of each, see `registry.as_of_model`.
+
+    The rows are written once by model and each model scores its own folder, so
+    every row is read once more and scored once, whatever the number of models.
+    Rows without a model stay with a null prediction.
+    """
+    spark = rows.sparkSession
+    placed = rows.withColumn("_model", F.coalesce("model_path", F.lit("")))
+    path = new_folder(spark, "by-model")
+    placed.write.partitionBy("_model").parquet(path)
+    stored_rows = spark.read.schema(placed.schema).parquet(path)
+    # One name per model version in use: registry metadata.
+    used = [r["_model"] for r in stored_rows.select("_model").distinct().collect()]
+    frames = []
+    for model in used:
+        own = stored_rows.filter(F.col("_model") == model)
+        scored = registry.model_at(model).transform(own) if model else own.withColumn("prediction", F.lit(None).cast("double"))
+        frames.append(scored.select(*keep, "model", "version", F.col("prediction").alias(name)))
+    if not frames:
+        return rows.select(*keep, "model", "version", F.lit(None).cast("double").alias(name))
+    return union_frames(frames)
+
+
+def score_by_season(spark, rows, folder, ts, keep, name="prediction"):
+    """Score every row with its season's model in the version that was valid at its time."""
+    return score_by_model(registry.as_of_model(rows, registry.read_models(spark, folder), ts), keep, name)
+
+
 def score_table(spark, rows, folder, name, keep, path, run=None):
     """Score rows with a registered model and append the predictions; returns those appended.
 

@@ -7,7 +7,7 @@ from pyspark.ml import PipelineModel
 from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.sql import functions as F
 
-from gridmill import fixed
+from gridmill import fixed, schemas
 from gridmill.ml import evaluate, models, registry, split
 from gridmill.plans import jobs
 from tests.conftest import rows
@@ -202,3 +202,36 @@ def test_seasonal_jobs(spark, year, tmp_path):
     first = rows_.orderBy("date").first()
     assert label == "total_daily_energy" and len(names) == 25
     assert first["energy_lag_1"] == first["total_daily_energy"]  # September is cut off first
+
+
+def test_models_as_of_a_time(spark, at):
+    versions = spark.createDataFrame([
+        ("spring_energy_model", 1, None, "s1", None, at("2020-01-01")), ("spring_energy_model", 2, None, "s2", None, at("2021-03-01")),
+        ("spring_energy_model", 3, None, "s3", None, at("2021-03-01")), ("general_energy_model", 1, None, "g1", None, at("2019-06-01")),
+        ("other", 9, None, "o9", None, at("2000-01-01")),
+    ], schemas.MODELS)
+    found = [(1, "2020-01-01"), (2, "2021-02-28"), (3, "2021-03-01"), (4, "2019-12-31"), (5, "2019-05-31"), (6, "2020-07-01"), (7, None)]
+    frame = spark.createDataFrame([(i, t and at(t)) for i, t in found], "id int, ts timestamp")
+    out = registry.as_of_model(frame, versions, "ts")
+    assert rows(out, "id", "model_path", "version") == [
+        (1, "s1", 1), (2, "s1", 1), (3, "s3", 3), (4, "g1", 1), (5, None, None), (6, "g1", 1), (7, None, None)]
+
+
+def test_rows_are_scored_by_their_model(spark, at, tmp_path):
+    folder = str(tmp_path / "registry")
+    frame = spark.createDataFrame([(i, at(f"202{i % 3}-0{1 + i % 8}-01"), float(i)) for i in range(40)], "id int, ts timestamp, x double")
+    for name, label, since in (("spring_energy_model", F.col("x") * 2, "2021-01-01"), ("general_energy_model", F.col("x") + 1, "2020-06-01")):
+        model = models.linear_pipeline(["x"], "y", regParam=0.0).fit(frame.withColumn("y", label))
+        registry.register_model(spark, folder, model, name, valid_from=at(since))
+    out = {r["id"]: r for r in jobs.score_by_season(spark, frame, folder, "ts", ["id", "ts"]).collect()}
+    assert len(out) == 40
+    for i, r in out.items():
+        spring = r["ts"].month <= 5 and r["ts"] >= at("2021-01-01")
+        want = 2.0 * i if spring else i + 1.0 if r["ts"] >= at("2020-06-01") else None
+        assert r["prediction"] == (want if want is None else pytest.approx(want, abs=1e-6))
+    assert jobs.score_by_season(spark, frame.limit(0), folder, "ts", ["id"]).count() == 0
+
+
+def test_no_model_at_all(spark, at, tmp_path):
+    frame = spark.createDataFrame([(1, at("2021-01-01"))], "id int, ts timestamp")
+    assert rows(jobs.score_by_season(spark, frame, str(tmp_path), "ts", ["id"])) == [(1, None, None, None)]

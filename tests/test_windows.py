@@ -3,6 +3,7 @@
 import datetime
 
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from gridmill.operators import windows as W
@@ -116,3 +117,28 @@ def test_numbering_shuffles_the_rows_once(spark, tmp_path):
     join = next(i for i, line in enumerate(lines) if "SortMergeJoin" in line)
     scan = next(i for i in range(join, len(lines)) if "Scan parquet" in lines[i])
     assert sum("Exchange" in line for line in lines[join:scan]) == 1
+
+
+@pytest.mark.parametrize("span, chunk", [(1, 5), (5, 5), (7, 3), (12, 4), (50, 7), (64, 100), (1000, 10)])
+def test_long_frames_equal_plain(spark, span, chunk):
+    data = [(i % 3 if i % 5 else 7, i, None if i % 11 == 0 else float((i * 37) % 101) / 4) for i in range(220)]
+    df = spark.createDataFrame([*data, (9, 1, None), (None, 1, 2.5), (None, 2, 1.5)], "k int, t int, v double").repartition(5)
+    frame = Window.partitionBy("k").orderBy("t").rowsBetween(1 - span, 0)
+    plain = df.select(
+        "*", F.avg("v").over(frame).alias("rolling_avg"), F.max("v").over(frame).alias("rolling_max"),
+        F.min("v").over(frame).alias("rolling_min"), F.count("v").over(frame).alias("rolling_count"),
+    )
+    made = W.long_rolling(df, "t", "v", span, by=["k"], rows_per_chunk=chunk, scale=2)
+    assert made.columns == plain.columns and rows(made) == rows(plain)
+
+
+def test_long_frames_of_one_series(spark):
+    df = series(spark, 500, True)
+    frame = Window.orderBy("ts").rowsBetween(-99, 0)
+    plain = df.select("*", F.max("v").over(frame).alias("rolling_max"))
+    made = W.long_rolling(df, "ts", "v", 100, rows_per_chunk=30)
+    assert rows(made, *plain.columns) == rows(plain)
+    assert made.filter("rolling_count <> least(100, 500)").count() == 99
+    assert W.long_rolling(df.limit(0), "ts", "v", 100).count() == 0
+    with pytest.raises(ValueError):
+        W.long_rolling(df, "ts", "v", 0)
