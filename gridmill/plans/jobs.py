@@ -140,7 +140,7 @@ def score_by_model(rows, keep, name="prediction"):
     Rows without a model stay with a null prediction.
     """
     spark = rows.sparkSession
-    placed = rows.withColumn("_model", F.coalesce("model_path", F.lit("")))
+    placed = rows.withColumn("_model", F.coalesce("model_path", F.lit("-")))
     path = new_folder(spark, "by-model")
     placed.write.partitionBy("_model").parquet(path)
     stored_rows = spark.read.schema(placed.schema).parquet(path)
@@ -149,7 +149,7 @@ def score_by_model(rows, keep, name="prediction"):
     frames = []
     for model in used:
         own = stored_rows.filter(F.col("_model") == model)
-        scored = registry.model_at(model).transform(own) if model else own.withColumn("prediction", F.lit(None).cast("double"))
+        scored = registry.model_at(model).transform(own) if model != "-" else own.withColumn("prediction", F.lit(None).cast("double"))
         frames.append(scored.select(*keep, "model", "version", F.col("prediction").alias(name)))
     if not frames:
         return rows.select(*keep, "model", "version", F.lit(None).cast("double").alias(name))
