@@ -43,28 +43,18 @@ def source_targets(sizes, weights=WEIGHTS, share=1.5, epochs=2):
     return sources.select("source", "source_size", "weight", target.alias("target"))
 
 
-def mix(documents, weights=WEIGHTS, share=1.5, epochs=2, seed="mix", bucket_digits=3):
-    """size, source_size, target and `copies` (whole repetitions) per document.
-
-    Every document of a source is taken floor(target / source_size) times. What
-    is left of the target is met with one more repetition of some documents: in
-    the seeded order of md5(seed, id, source, size) up to the nearest running
-    sum, and then the one document is added or left out whose size is nearest
-    to the rest. Running sums add up buckets of the hash first, so a source
-    with a third of all rows is spread like the others. A null text has size 0
-    and a null source is a source of its own. Repeated rows count each; those
-    with the same id, source and size may only be added or left out together.
-    """
-    spark = documents.sparkSession
+def planned(documents, weights=WEIGHTS, share=1.5, epochs=2, seed="mix", bucket_digits=3):
+    """One row per different (doc_id, source, size): how many rows it has (`n_rows`), its source's size and
+    target, and `copies`, how often the mix takes each of these rows. See `mix`."""
     docs = documents.select(
         "doc_id", "source", F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long").alias("size")
     )
     # A null id or source hashes like an empty one.
     shown = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in ("doc_id", "source", "size")]
-    docs = stored(
-        docs.withColumn("draw", F.md5(F.concat_ws("|", F.lit(seed), *shown).cast("binary"))), "sizes"
-    )
-    targets = source_targets(docs, weights, share, epochs)
+    docs = docs.groupBy("doc_id", "source", "size").agg(F.count(F.lit(1)).alias("n_rows"))
+    docs = stored(docs.withColumn("draw", F.md5(F.concat_ws("|", F.lit(seed), *shown).cast("binary"))), "sizes")
+    docs = docs.withColumn("mass", F.col("size") * F.col("n_rows"))
+    targets = source_targets(docs.select("source", F.col("mass").alias("size")), weights, share, epochs)
     whole = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0)
     targets = targets.withColumn("whole", whole.cast("int")).withColumn(
         "rest", F.col("target") - F.col("whole") * F.col("source_size")
@@ -74,44 +64,64 @@ def mix(documents, weights=WEIGHTS, share=1.5, epochs=2, seed="mix", bucket_digi
     rows = docs.select("*", own, place)
     earlier = Window.partitionBy("own").orderBy("place").rowsBetween(Window.unboundedPreceding, -1)
     buckets = (
-        rows.groupBy("own", "place").agg(F.sum("size").alias("_sum"))
+        rows.groupBy("own", "place").agg(F.sum("mass").alias("_sum"))
         .withColumn("_start", F.coalesce(F.sum("_sum").over(earlier), F.lit(0)))
         .join(targets.select(own, "source_size", "target", "whole", "rest"), "own")
         .drop("own", "_sum")
     )
     inside = Window.partitionBy("place").orderBy("draw", "doc_id").rowsBetween(Window.unboundedPreceding, 0)
-    upto = F.col("_start") + F.sum("size").over(inside)
+    upto = F.col("_start") + F.sum("mass").over(inside)
     drawn = rows.join(buckets, "place").withColumn("_upto", upto).withColumn(
-        "more", (2 * F.col("_upto") - F.col("size") <= 2 * F.col("rest")) & (F.col("rest") > 0)
+        "more", (2 * F.col("_upto") - F.col("mass") <= 2 * F.col("rest")) & (F.col("rest") > 0)
     )
     drawn = stored(drawn.drop("place", "_start", "_upto"), "drawn")
     missing = drawn.groupBy("own").agg(
-        (F.first("rest") - F.coalesce(F.sum(F.when(F.col("more"), F.col("size"))), F.lit(0))).alias("gap")
+        (F.first("rest") - F.coalesce(F.sum(F.when(F.col("more"), F.col("mass"))), F.lit(0))).alias("gap")
     )
-    # A change must bring the sum closer: size below twice the gap, in its direction.
+    # A change must bring the sum closer: less than twice the gap, in its direction.
     gap = F.abs("gap")
-    fits = (F.col("size") > 0) & (F.col("size") < 2 * gap) & (F.col("more") == (F.col("gap") < 0))
-    by_size = drawn.groupBy("own", "size", "more").agg(F.min(F.struct("draw", "doc_id")).alias("who"))
+    fits = (F.col("mass") > 0) & (F.col("mass") < 2 * gap) & (F.col("more") == (F.col("gap") < 0))
+    by_mass = drawn.groupBy("own", "mass", "more").agg(F.min(F.struct("draw", "doc_id")).alias("who"))
     change = (
-        by_size.join(missing, "own").filter(fits)
-        .groupBy("own").agg(F.min(F.struct(F.abs(F.col("size") - gap).alias("off"), "who")).alias("best"))
+        by_mass.join(missing, "own").filter(fits)
+        .groupBy("own").agg(F.min(F.struct(F.abs(F.col("mass") - gap).alias("off"), "who")).alias("best"))
         .select("own", F.col("best.who.draw").alias("swap"), F.col("best.who.doc_id").alias("swap_id"))
     )
     swapped = F.col("swap").isNotNull() & (F.col("draw") == F.col("swap")) & F.col("doc_id").eqNullSafe(F.col("swap_id"))
     return drawn.join(change, "own", "left").select(
-        "doc_id", "source", "size", "source_size", "target", "draw",
+        "doc_id", "source", "size", "n_rows", "source_size", "target", "draw",
         (F.col("whole") + (F.col("more") != swapped).cast("int")).cast("long").alias("copies"),
     )
 
 
+def mix(documents, **settings):
+    """size, source_size, target and `copies` (whole repetitions) per document.
+
+    Every document of a source is taken floor(target / source_size) times. What
+    is left of the target is met with one more repetition of some documents: in
+    the seeded order of md5(seed, id, source, size) up to the nearest running
+    sum, and then the one document is added or left out whose size is nearest
+    to the rest. Running sums add up buckets of the hash first, so a source
+    with a third of all rows is spread like the others. A null text has size 0
+    and a null source is a source of its own. Repeated rows count each; those
+    with the same id, source and size are added or left out together.
+    """
+    rows = F.explode(F.sequence(F.lit(1), F.col("n_rows").cast("int")))
+    plan = planned(documents, **settings)
+    return plan.withColumn("_row", rows).drop("_row", "n_rows")
+
+
 def mixed_documents(documents, **settings):
-    """The rows of `documents` repeated as the mix takes them; `copy` counts from 1."""
-    plan = mix(documents, **settings).filter("copies > 0").select(
-        F.struct("doc_id", "source", "size").alias("_key"), "copies"
-    ).distinct()
+    """The rows of `documents` repeated as the mix takes them; `copy` counts from 1.
+
+    All columns stay as they are, but for one called `copy`, which is replaced.
+    """
+    plan = planned(documents, **settings).filter("copies > 0").select(
+        F.struct("doc_id", "source", "size").alias("key"), "copies"
+    )
     size = F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long")
     documents = documents.drop("copy")
-    keyed = documents.withColumn("_key", F.struct("doc_id", "source", size.alias("size")))
-    return keyed.join(plan, "_key").select(
-        *[F.col(c) for c in documents.columns], F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))).alias("copy")
-    )
+    # The row is one column, so that no name of its own meets one of the plan.
+    keyed = documents.select(F.struct(*documents.columns).alias("row"), F.struct("doc_id", "source", size.alias("size")).alias("key"))
+    copies = F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))
+    return keyed.join(plan, "key").select("row", copies.alias("copy")).select("row.*", "copy")
