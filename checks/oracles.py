@@ -270,6 +270,23 @@ ORACLES = {
     "envelope_explode": STREAM_ROWS,
     "stream_bronze": STREAM_ROWS,
     "stream_compacted": STREAM_ROWS,
+    "stream_sorted": f"""
+        WITH turns AS (
+            SELECT customer_id, ts, least(2, CAST(ts >= TIMESTAMP '2024-01-11' AS INT) + CAST(ts >= TIMESTAMP '2024-01-21' AS INT)
+                                             + CAST(event_id % 10 = 0 AS INT)) AS turn
+            FROM {HOURLY_READINGS}
+        ),
+        marks AS (SELECT turn, max(ts) AS newest FROM turns GROUP BY turn),
+        placed AS (
+            SELECT t.*, coalesce(ts < (SELECT max(newest) FROM marks m WHERE m.turn < t.turn) - INTERVAL 1 DAY, false) AS late
+            FROM turns t
+        ),
+        numbered AS (
+            SELECT *, row_number() OVER (PARTITION BY customer_id, ts, late ORDER BY turn) AS copy FROM placed
+        )
+        SELECT CAST(ts AS DATE) AS date, count(*) FILTER (NOT late AND copy = 1) AS accepted,
+               count(*) FILTER (NOT late AND copy > 1) AS duplicates, count(*) FILTER (late) AS late
+        FROM numbered GROUP BY 1""",
     "rejected_messages": """
         SELECT event_id, event_type AS sensor FROM events WHERE event_type IN ('signup', 'error')""",
     "monthly_merge": f"""

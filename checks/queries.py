@@ -21,6 +21,7 @@ from gridmill.sources import dayfiles, ledger
 from gridmill.sources import messages as M
 from gridmill.sources import readings as R
 from gridmill.streaming import jobs as S
+from gridmill.streaming import late
 from gridmill.streaming.serving import serving_view
 
 SCALE = 2  # digits of the money and load columns: sums become exact
@@ -223,6 +224,27 @@ def stream_compacted(spark, folder):
     return _stream_columns(manifest.read(spark, f"{work}/table"))
 
 
+def stream_sorted(spark, folder):
+    """Hourly readings in three micro-batches, every tenth of them a batch late: per date the first
+    copies of a customer's hour, the further copies, and the readings more than a day late."""
+    work, rows = new_folder(spark, "sorted"), I.hourly_readings(spark, folder)
+    reached = lambda text: (F.col("full_timestamp") >= F.lit(text).cast("timestamp_ntz")).cast("int")
+    turn = F.least(F.lit(2), reached("2024-01-11") + reached("2024-01-21") + (F.col("event_id") % 10 == 0).cast("int"))
+    for i in range(3):
+        rows.filter(turn == i).coalesce(1).write.mode("append").parquet(f"{work}/inbox")
+        stream = M.stream_files(spark, f"{work}/inbox", rows.schema)
+        late.ingest_sorted(stream, f"{work}/tables", f"{work}/state", "1 day", available_now=True).awaitTermination()
+    day = F.to_date("full_timestamp").alias("date")
+    found = {name: manifest.read(spark, f"{work}/tables/{name}") for name in ("accepted", "duplicates", "late")}
+    one = F.lit(1).cast("long")
+    parts = [
+        found["accepted"].select(day, one.alias("accepted"), (one * 0).alias("duplicates"), (one * 0).alias("late")),
+        found["duplicates"].select(day, (one * 0).alias("accepted"), F.col("copies").alias("duplicates"), (one * 0).alias("late")),
+        found["late"].select(day, (one * 0).alias("accepted"), (one * 0).alias("duplicates"), one.alias("late")),
+    ]
+    return R.union_frames(parts).groupBy("date").agg(*[F.sum(c).alias(c) for c in ("accepted", "duplicates", "late")])
+
+
 def _fan_out(spark, folder):
     """Folder of the tables that the fan-out job makes of all orders."""
     work = new_folder(spark, "fanout")
@@ -898,7 +920,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         wide_unpivot, file_ingest_report, day_file_readings, ledger_ingest, discovered_files, written_table, missing_days, csv_cast_filter, table_count,
-        kafka_batch_parse, envelope_explode, rejected_messages, stream_bronze, stream_compacted, monthly_merge, fanout_detail, fanout_raw,
+        kafka_batch_parse, envelope_explode, rejected_messages, stream_bronze, stream_compacted, stream_sorted, monthly_merge, fanout_detail, fanout_raw,
         topic_route, to_kafka_rows, decimal_result, serving_union, filter_gt, expr_bonus,
         season_filter, date_range_daily, latest_snapshot, freshness, customer_profile,
         expected_load, system_rollup, daily_total_energy, incremental_daily, daily_silver, monthly_customers, coverage_gaps, sql_daily_by_season, seasonal_sql_text,

@@ -1,0 +1,74 @@
+import pytest
+from pyspark.sql import functions as F
+
+from gridmill.sinks import manifest
+from gridmill.streaming import late
+from tests.conftest import rows
+
+KIND = "customer_id string, full_timestamp timestamp_ntz, load_percentage double"
+
+
+def batch(spark, at, *found):
+    return spark.createDataFrame([(c, t and at(f"2024-01-01 {t}"), v) for c, t, v in found], KIND)
+
+
+def tables(spark, path):
+    read = lambda name, *cols: rows(manifest.read(spark, f"{path}/{name}"), *cols)
+    return (
+        read("accepted", "customer_id", F.date_format("full_timestamp", "HH:mm"), "load_percentage", "ingest_batch"),
+        read("duplicates", "customer_id", F.date_format("full_timestamp", "HH:mm"), "copies", "ingest_batch"),
+        read("late", "customer_id", "load_percentage", "ingest_batch"),
+    )
+
+
+BATCHES = (
+    [("a", "10:00", 1.0), ("a", "10:00", 2.0), ("b", "12:00", 3.0), ("b", None, 4.0), ("b", None, 4.0)],
+    [("a", "10:00", 5.0), ("a", "11:30", 6.0), ("b", "12:00", 7.0), ("b", "12:00", 8.0), ("c", "11:00", 9.0)],
+    [("c", "13:00", 1.5), ("a", "11:30", 2.5), ("c", "10:59", 3.5)],
+)
+WANTED = (
+    [("a", "10:00", 1.0, 0), ("a", "11:30", 6.0, 1), ("b", "12:00", 3.0, 0), ("b", None, 4.0, 0), ("b", None, 4.0, 0),
+     ("c", "11:00", 9.0, 1), ("c", "13:00", 1.5, 2)],
+    [("a", "10:00", 1, 0), ("a", "11:30", 1, 2), ("b", "12:00", 2, 1)],
+    [("a", 5.0, 1), ("c", 3.5, 2)],
+)
+
+
+def test_every_reading_ends_in_one_table(spark, at, tmp_path):
+    path = str(tmp_path / "sorted")
+    write = late.sorting_writer(path, "1 hour")
+    for i, found in enumerate(BATCHES):
+        write(batch(spark, at, *found), i)
+        write(batch(spark, at, *found), i)  # a repeated batch adds nothing
+    write(batch(spark, at), 3)
+    got = tables(spark, path)
+    assert got == tuple(sorted(w, key=repr) for w in WANTED)
+    assert len(got[0]) + sum(c[2] for c in got[1]) + len(got[2]) == sum(map(len, BATCHES))
+
+
+@pytest.mark.parametrize("stop_at", ["duplicates", "late", "accepted", "marks"])
+def test_a_stop_between_the_tables(spark, at, tmp_path, monkeypatch, stop_at):
+    path, put = str(tmp_path / "sorted"), manifest.put_new
+    write = late.sorting_writer(path, "1 hour")
+    write(batch(spark, at, *BATCHES[0]), 0)
+
+    def stop(session, target, text):
+        if f"/{stop_at}/log/" in target:
+            raise RuntimeError("stopped")
+        return put(session, target, text)
+
+    with monkeypatch.context() as broken:
+        broken.setattr(manifest, "put_new", stop)
+        with pytest.raises(RuntimeError):
+            write(batch(spark, at, *BATCHES[1]), 1)
+    manifest.compact(spark, f"{path}/accepted")  # merges what the stopped batch left
+    for i in (1, 2):
+        write(batch(spark, at, *BATCHES[i]), i)
+    assert tables(spark, path) == tuple(sorted(w, key=repr) for w in WANTED)
+
+
+def test_without_late_rows(spark, at, tmp_path):
+    path = str(tmp_path / "sorted")
+    late.sorting_writer(path)(batch(spark, at, ("a", "01:00", 1.0)), 0)
+    assert manifest.live(spark, f"{path}/late") == (0, [])
+    assert manifest.read(spark, f"{path}/accepted").count() == 1
