@@ -361,6 +361,15 @@ ORACLES = {
     "daily_total_energy": f"SELECT * FROM {daily_energy(HOURLY_READINGS)}",
     "incremental_daily": f"SELECT * FROM {daily_energy(HOURLY_READINGS)}",
     "daily_silver": f"SELECT * FROM {daily_readings(EVENT_READINGS)}",
+    "order_extremes": """
+        SELECT min(CAST(o_orderdate AS DATE)) AS oldest, max(CAST(o_orderdate AS DATE)) AS newest, count(*) AS row_count FROM orders""",
+    "season_from_footers": f"""
+        SELECT season, last_day AS required, (SELECT max(last_day(ts)) FROM {ORDER_READINGS}) AS latest,
+               (SELECT count(*) FROM {ORDER_READINGS} WHERE last_day(ts) BETWEEN first_day AND last_day) AS season_rows,
+               (SELECT max(last_day(ts)) FROM {ORDER_READINGS}) >= last_day AS available,
+               (SELECT count(*) FROM {ORDER_READINGS} WHERE last_day(ts) BETWEEN first_day AND last_day) >= 1 AS enough
+        FROM (VALUES ('spring', DATE '1997-01-01', DATE '1997-05-31'), ('summer', DATE '1997-06-01', DATE '1997-09-30'),
+                     ('autumn', DATE '1997-10-01', DATE '1997-12-31')) v(season, first_day, last_day)""",
     "monthly_customers": f"""
         SELECT CAST(date_trunc('month', ts) AS DATE) AS month, count(DISTINCT customer_id) AS customer_count, true AS within_bound
         FROM {ORDER_READINGS} GROUP BY 1""",

@@ -11,7 +11,7 @@ from gridmill.functions import calendar as C
 from gridmill.functions import numbers as N
 from gridmill.functions import text as X
 from gridmill.ml import evaluate, models, registry, split
-from gridmill.operators import distinct, features, gaps, gates, incremental, reports, rollup, windows
+from gridmill.operators import distinct, features, gaps, gates, incremental, metadata, reports, rollup, windows
 from gridmill.plans import jobs
 from gridmill.session import new_folder, stored
 from gridmill.sinks import manifest
@@ -467,6 +467,22 @@ def coverage_report(spark, folder):
     return reports.coverage(I.readings(spark, folder), "full_timestamp")
 
 
+def order_extremes(spark, folder):
+    """First and last order date and the number of orders, from the footers of a written table."""
+    path = f"{new_folder(spark, 'dated')}/orders"
+    dated = I.load(spark, folder, "orders").select("o_orderkey", F.to_date("o_orderdate").alias("date"))
+    dated.write.parquet(path)
+    return metadata.extremes(spark, path, "date")
+
+
+def season_from_footers(spark, folder):
+    """The season gate of a table partitioned by date, here the last day of the month, without reading rows."""
+    path = f"{new_folder(spark, 'dated')}/readings"
+    dated = I.order_readings(spark, folder).withColumn("date", F.last_day("full_timestamp"))
+    dated.repartition("date").write.partitionBy("date").parquet(path)
+    return R.union_frames([metadata.availability(spark, path, s, 1997) for s in fixed.MODEL_SEASONS])
+
+
 def _rounded_summary(df):
     return df.withColumns({
         "std": F.round("std", 6),
@@ -879,11 +895,15 @@ def _fit(pipeline, rows):
 
 
 def gbt_forecast(spark, folder):
-    """Boosted trees on the daily order series, all splits scored."""
+    """Boosted trees on the daily order series, stopped by its validation rows, all splits scored."""
     featured = features.forecast_features(_order_daily(spark, folder))
     rows = split.chronological(featured)
     names = features.forecast_feature_names(featured)
-    model = _fit(models.boosted_pipeline(names), rows)
+    learned = split.with_validation(rows).persist()
+    try:
+        model = models.boosted_pipeline(names, validation="is_validation").fit(learned)
+    finally:
+        learned.unpersist()
     return model.transform(rows).select("date", "split", fixed.TARGET, "prediction")
 
 
@@ -923,7 +943,7 @@ QUERIES = {
         kafka_batch_parse, envelope_explode, rejected_messages, stream_bronze, stream_compacted, stream_sorted, monthly_merge, fanout_detail, fanout_raw,
         topic_route, to_kafka_rows, decimal_result, serving_union, filter_gt, expr_bonus,
         season_filter, date_range_daily, latest_snapshot, freshness, customer_profile,
-        expected_load, system_rollup, daily_total_energy, incremental_daily, daily_silver, monthly_customers, coverage_gaps, sql_daily_by_season, seasonal_sql_text,
+        expected_load, system_rollup, daily_total_energy, incremental_daily, daily_silver, monthly_customers, coverage_gaps, order_extremes, season_from_footers, sql_daily_by_season, seasonal_sql_text,
         monthly_average, daily_energy_stats, date_span, avg_by_group, coverage_report,
         describe_profile, describe_table, describe_missing, describe_columns, peak_interval, peak_interval_nan, cardinality, prediction_report,
         features_ml, features_silver, chunked_window, shifted_window, long_window, tied_window, dense_series,

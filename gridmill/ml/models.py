@@ -18,9 +18,15 @@ def scaler(source="raw_features", output="scaled_features"):
     return StandardScaler(inputCol=source, outputCol=output, withMean=True, withStd=True)
 
 
-def boosted_pipeline(columns, label=fixed.TARGET, **settings):
+def boosted_pipeline(columns, label=fixed.TARGET, validation=None, **settings):
+    """Boosted trees on scaled features.
+
+    With `validation`, a boolean column, trees are added only as long as they
+    lower the error on the rows marked by it, which no tree learns from.
+    """
+    held_out = {} if validation is None else {"validationIndicatorCol": validation}
     trees = GBTRegressor(
-        featuresCol="scaled_features", labelCol=label, **{**fixed.GBT, **settings}
+        featuresCol="scaled_features", labelCol=label, **{**fixed.GBT, **held_out, **settings}
     )
     return Pipeline(stages=[assembler(columns, "raw_features"), scaler(), trees])
 

@@ -33,6 +33,11 @@ def chronological(featured, order="date", test_days=fixed.TEST_DAYS,
     )
 
 
+def with_validation(split_rows, name="is_validation"):
+    """Training and validation rows, the latter marked for early stopping."""
+    return split_rows.filter(F.col("split").isin("train", "val")).withColumn(name, F.col("split") == "val")
+
+
 def parts(split_rows, names=("train", "val", "test")):
     return {name: split_rows.filter(F.col("split") == name) for name in names}
 

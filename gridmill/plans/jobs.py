@@ -49,7 +49,11 @@ def evaluate_splits(model, rows, label):
 
 
 def train_forecast(spark, readings, folder, name="system_energy_forecaster", **settings):
-    """Readings to a registered forecast model; returns model, metrics and run id."""
+    """Readings to a registered forecast model; returns model, metrics and run id.
+
+    Boosting stops where the error of the validation rows rises; the run log has the
+    number of trees. A series without validation rows gets all trees.
+    """
     started = time.time()
     featured = features.forecast_features(daily_series(readings))
     rows = split.chronological(featured).persist()
@@ -57,7 +61,9 @@ def train_forecast(spark, readings, folder, name="system_energy_forecaster", **s
         sizes = split.require_training_rows(rows)
         names = features.forecast_feature_names(featured)
         fitted_at = time.time()
-        model = models.boosted_pipeline(names, **settings).fit(rows.filter("split = 'train'"))
+        mark = "is_validation" if sizes.get("val") else None
+        learned = split.with_validation(rows) if mark else rows.filter("split = 'train'")
+        model = models.boosted_pipeline(names, validation=mark, **settings).fit(learned)
         fit_seconds = time.time() - fitted_at
         scores = evaluate_splits(model, rows, fixed.TARGET)
     finally:
@@ -70,7 +76,7 @@ def train_forecast(spark, readings, folder, name="system_energy_forecaster", **s
     path = registry.saved_path(folder, name, version)
     registry.log_run(
         spark, folder,
-        params={**fixed.GBT, **settings, "total_features": len(names),
+        params={**fixed.GBT, **settings, "trees": model.stages[-1].getNumTrees, "total_features": len(names),
                 "feature_list": ", ".join(names), "model_name": name, "model_path": path},
         metrics=scores,
         importances={row["feature"]: row["importance"] for row in ranked},

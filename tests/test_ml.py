@@ -235,3 +235,21 @@ def test_rows_are_scored_by_their_model(spark, at, tmp_path):
 def test_no_model_at_all(spark, at, tmp_path):
     frame = spark.createDataFrame([(1, at("2021-01-01"))], "id int, ts timestamp")
     assert rows(jobs.score_by_season(spark, frame, str(tmp_path), "ts", ["id"])) == [(1, None, None, None)]
+
+
+def test_boosting_stops_on_validation_rows(spark, tmp_path):
+    # The validation rows follow another rule, so more trees soon make them worse.
+    data = [(i, float(i % 17), float(i % 17) * (1 if i < 300 else -1), "train" if i < 300 else "val") for i in range(330)]
+    frame = spark.createDataFrame(data, "id int, x double, total_daily_energy double, split string")
+    learned = split.with_validation(frame)
+    assert learned.filter("is_validation").count() == 30
+    stopped = models.boosted_pipeline(["x"], validation="is_validation", maxIter=30).fit(learned)
+    whole = models.boosted_pipeline(["x"], maxIter=30).fit(frame.filter("split = 'train'"))
+    assert stopped.stages[-1].getNumTrees < 30 == whole.stages[-1].getNumTrees
+
+
+def test_the_run_log_has_the_number_of_trees(spark, year, tmp_path):
+    folder = str(tmp_path / "registry")
+    model, _, run_id = jobs.train_forecast(spark, year, folder, maxIter=12, maxDepth=3)
+    logged = registry.read_runs(spark, folder).filter((F.col("run_id") == run_id) & (F.col("key") == "trees")).first()["value"]
+    assert int(logged) == model.stages[-1].getNumTrees <= 12
