@@ -20,19 +20,20 @@ def footer_reader(spark):
 
 
 def extremes(spark, path, column):
-    """One row with `oldest`, `newest` and `row_count` of a column, null where the table has no value."""
+    """One row with `oldest`, `newest` and `row_count` of a column.
+
+    Without values the extremes are null, and a count without any footer to answer it is null too.
+    """
     return footer_reader(spark).read.parquet(path).agg(
         F.min(column).alias("oldest"), F.max(column).alias("newest"),
-        F.coalesce(F.count(F.lit(1)), F.lit(0)).alias("row_count"),  # no footer, no pushed count
+        F.count(F.lit(1)).alias("row_count"),
     )
 
 
 def rows_between(spark, path, first, last, date="date"):
     """Rows of a date-partitioned table from one date to another, both included: listing and footers only."""
     inside = F.col(date).between(F.lit(str(first)).cast("date"), F.lit(str(last)).cast("date"))
-    return footer_reader(spark).read.parquet(path).filter(inside).agg(
-        F.coalesce(F.count(F.lit(1)), F.lit(0)).alias("row_count")
-    )
+    return footer_reader(spark).read.parquet(path).filter(inside).agg(F.count(F.lit(1)).alias("row_count"))
 
 
 def newest_rows(spark, path, date, ts):
@@ -53,7 +54,7 @@ def availability(spark, path, season, year, min_rows=1, date="date"):
     # Partition values only; one row per date is left.
     dates = spark.read.parquet(path).groupBy(date).agg(F.count(F.lit(1)).alias("n"))
     latest = dates.filter(F.col("n") > 0).agg(F.max(date).alias("latest"))
-    counted = rows_between(spark, path, first, last, date).first()["row_count"]
+    counted = rows_between(spark, path, first, last, date).first()["row_count"] or 0  # null where no footer answers
     required = F.lit(last).cast("date")
     return latest.select(
         F.lit(season).alias("season"), required.alias("required"), "latest",
