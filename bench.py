@@ -1,13 +1,15 @@
 """Time the headline queries and print one JSON line.
 
 Every query runs once to warm up, then BENCH_RUNS times into a sink that
-discards its rows; the best time counts. Settings: BENCH_SF_DIR, BENCH_CPUS,
+discards its rows; the median counts, `spread` is the longest run less the
+shortest. Settings: BENCH_SF_DIR, BENCH_CPUS,
 BENCH_RUNS, BENCH_QUERIES (comma-separated names).
 """
 
 import json
 import os
 import re
+import statistics
 import sys
 import time
 
@@ -22,6 +24,7 @@ HEADLINE = (
     "peak_interval", "envelope_explode", "kafka_batch_parse", "latest_snapshot", "monthly_merge",
     "serving_union", "pick_version", "score_batch", "describe_table", "shifted_window",
     "file_ingest_report", "day_file_readings", "written_table", "rf_autumn",
+    "stream_compacted", "incremental_daily", "monthly_customers", "coverage_gaps", "long_window", "score_by_season",
 )
 
 
@@ -34,7 +37,7 @@ def run(query, spark, folder):
 def main():
     folder = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
-    runs = int(os.environ.get("BENCH_RUNS", "2"))
+    runs = int(os.environ.get("BENCH_RUNS", "3"))
     names = os.environ.get("BENCH_QUERIES")
     names = names.split(",") if names else HEADLINE
     spark = build_session("bench", f"local[{cpus}]", **{
@@ -42,16 +45,18 @@ def main():
         "spark.driver.memory": "8g", "spark.ui.showConsoleProgress": "false",
     })
     spark.sparkContext.setLogLevel("ERROR")
-    times = {}
+    times, spread = {}, {}
     for name in names:
         run(QUERIES[name], spark, folder)
-        times[name] = round(min(run(QUERIES[name], spark, folder) for _ in range(runs)), 3)
+        taken = [run(QUERIES[name], spark, folder) for _ in range(runs)]
+        times[name], spread[name] = round(statistics.median(taken), 3), round(max(taken) - min(taken), 3)
     scale = re.search(r"sf([0-9.]+)", folder)
     print(json.dumps({
         "metric": "headline_queries_total",
         "value": round(sum(times.values()), 3),
         "unit": "sec",
         "queries": times,
+        "spread": spread,
         "sf": float(scale.group(1)) if scale else None,
     }))
     spark.stop()
