@@ -25,6 +25,7 @@ TOKEN_BYTES = bytes(
     for c in range(256)
 )
 BITS = 1 << 26
+SHARES = 64  # of the phrases of a language, ranked apart before the last ranking
 HELD = 1_000_000  # counts held by a task before they are sent on
 MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 
@@ -262,9 +263,14 @@ def collocations(documents, longest=LONGEST, least=LEAST, inside=50, keep=KEEP,
     often = stored(grams.filter(frequent), "grams").unionByName(words.filter(frequent).drop("mark"))
     phrases = stored(scored(often, longest), "phrases")
     covered = F.coalesce(100 * F.col("longer") >= inside * F.col("a"), F.lit(False))
-    best = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase")
+    order = [F.desc("score"), F.desc("a"), "phrase"]
+    # The first of each share of a language first: no task ranks all phrases of a frequent one.
+    share = Window.partitionBy("lang", "share").orderBy(*order)
+    best = Window.partitionBy("lang").orderBy(*order)
     return (
         phrases.join(inner_phrases(phrases), ["lang", "phrase"], "left").filter(~covered)
+        .withColumn("share", F.pmod(F.xxhash64("phrase"), F.lit(SHARES)))
+        .withColumn("rank", F.row_number().over(share)).filter(F.col("rank") <= keep)
         .withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= keep)
         .join(totals, "lang")
         .select("lang", F.col("rank").cast("long").alias("rank"), "phrase", "a", "l", "r", "n", "score")
