@@ -370,6 +370,9 @@ ORACLES = {
                (SELECT count(*) FROM {ORDER_READINGS} WHERE last_day(ts) BETWEEN first_day AND last_day) >= 1 AS enough
         FROM (VALUES ('spring', DATE '1997-01-01', DATE '1997-05-31'), ('summer', DATE '1997-06-01', DATE '1997-09-30'),
                      ('autumn', DATE '1997-10-01', DATE '1997-12-31')) v(season, first_day, last_day)""",
+    "two_key_table": f"""
+        SELECT CAST(ts AS DATE) AS date, customer_id, count(*) AS record_count, {total('load')} AS load_sum
+        FROM {EVENT_READINGS} GROUP BY 1, 2""",
     "monthly_customers": f"""
         SELECT CAST(date_trunc('month', ts) AS DATE) AS month, count(DISTINCT customer_id) AS customer_count, true AS within_bound
         FROM {ORDER_READINGS} GROUP BY 1""",

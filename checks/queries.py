@@ -14,7 +14,7 @@ from gridmill.ml import evaluate, models, registry, split
 from gridmill.operators import distinct, features, gaps, gates, incremental, metadata, reports, rollup, windows
 from gridmill.plans import jobs
 from gridmill.session import new_folder, stored
-from gridmill.sinks import manifest
+from gridmill.sinks import layout, manifest
 from gridmill.sinks import messages as message_sink
 from gridmill.sinks import tables
 from gridmill.sources import dayfiles, ledger
@@ -140,6 +140,15 @@ def written_table(spark, folder):
     )
 
 
+def two_key_table(spark, folder):
+    """The readings written in Morton order of customer and time, read back per date and customer."""
+    path = f"{new_folder(spark, 'two-keys')}/readings"
+    layout.write_two_keys(I.readings(spark, folder), path)
+    return spark.read.parquet(path).groupBy("date", "customer_id").agg(
+        F.count(F.lit(1)).alias("record_count"), N.total("load_percentage", SCALE).alias("load_sum")
+    )
+
+
 def missing_days(spark, folder):
     dates = I.load(spark, folder, "orders").select(F.to_date("o_orderdate").alias("date"))
     return dayfiles.missing_dates(dates)
@@ -939,7 +948,7 @@ def rf_autumn(spark, folder):
 QUERIES = {
     f.__name__: f
     for f in (
-        wide_unpivot, file_ingest_report, day_file_readings, ledger_ingest, discovered_files, written_table, missing_days, csv_cast_filter, table_count,
+        wide_unpivot, file_ingest_report, day_file_readings, ledger_ingest, discovered_files, written_table, two_key_table, missing_days, csv_cast_filter, table_count,
         kafka_batch_parse, envelope_explode, rejected_messages, stream_bronze, stream_compacted, stream_sorted, monthly_merge, fanout_detail, fanout_raw,
         topic_route, to_kafka_rows, decimal_result, serving_union, filter_gt, expr_bonus,
         season_filter, date_range_daily, latest_snapshot, freshness, customer_profile,
