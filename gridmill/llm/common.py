@@ -98,9 +98,10 @@ def uid():
 def drop_rows(documents, gone):
     """`documents` without the rows whose `uid` is in the stored frame `gone`.
 
-    Texts of rows that surely stay are not shuffled.
+    Texts of rows that surely stay are not shuffled. Columns pass through
+    whatever their names are.
     """
-    columns = [F.col(c) for c in documents.columns]
-    marked = may_hold(documents.withColumn("_uid", uid()), "_uid", key_bits(gone, "uid"), name="_touched")
-    rest = marked.filter("_touched").join(gone.select(F.col("uid").alias("_uid")), "_uid", "left_anti")
-    return marked.filter("not _touched").select(*columns).unionByName(rest.select(*columns))
+    whole = documents.select(F.struct(*documents.columns).alias("row"), uid().alias("uid"))
+    marked = may_hold(whole, "uid", key_bits(gone, "uid"), name="touched")
+    rest = marked.filter("touched").join(gone.select("uid"), "uid", "left_anti")
+    return marked.filter("not touched").select("row.*").unionByName(rest.select("row.*"))

@@ -11,9 +11,11 @@ hashes that tell the two cases apart:
   longer one, so a key has one whole line and any number of longer ones.
 
 So the earliest partner of each line is a minimum per key, and no pairs of a
-group are made. Before that, lines that cannot have a partner are left out: an
-edit leaves the first or the last half of a line as it is, and only lines that
-share a half with another line emit variants, and only for the other half.
+group are made. Before that, lines that cannot have a partner are left out by
+the same idea on a coarser grain: lines one edit apart are equal but for one
+block of characters. Halves come first, then blocks of about the square root
+of the length, and only blocks whose remainder another line shares emit
+variants.
 """
 
 from pyspark.sql import functions as F
@@ -40,48 +42,87 @@ def split_lines(documents):
     })
 
 
+def bounds(size, block, count):
+    """Characters before a block and up to its end, of `count` blocks over `size` characters."""
+    return F.floor(size * block / count).cast("int"), F.floor(size * (block + 1) / count).cast("int")
+
+
+def remainder(line, less, block, count):
+    """Hash of a line without one of its blocks. With `less` the blocks are those
+    of a line one character shorter, and the block taken out is one longer."""
+    size = F.length(line) - less
+    start, stop = bounds(size, block, count)
+    head = F.substring(line, F.lit(1), start)
+    return F.xxhash64(block, size, head, F.substring(line, stop + less + 1, size - stop))
+
+
 def halves(line="line"):
-    """Hashes of the halves a line may share: first and last of its own length
-    and of one character less, in this order."""
-    made = []
-    for less in (0, 1):
-        size = F.length(line) - less
-        low = F.floor(size / 2).cast("int")
-        first, last = F.substring(line, F.lit(1), low), F.substring(line, F.length(line) - (size - low) + 1, size - low)
-        made += [F.xxhash64(F.lit("first"), size, first), F.xxhash64(F.lit("last"), size, last)]
-    return F.array(*made)
-
-
-def variants(kinds="kinds", line="line"):
+    """Remainders for two blocks: both of the line's own length, then both of one less."""
+    return F.array(*[remainder(line, less, F.lit(b), 2) for less in (0, 1) for b in (0, 1)])
+
+
+def grain(size):
+    """Blocks that a line of this size is cut into."""
+    return F.greatest(F.ceil(F.sqrt(size)).cast("int"), F.lit(2))
+
+
+def remainders(line="line"):
+    """Array of (key, less, block) over the blocks that the shared halves leave possible."""
+    empty = F.array().cast("array<struct<key: bigint, less: int, block: int>>")
+
+    def side(less):
+        count = grain(F.length(line) - less)
+        return F.transform(F.sequence(F.lit(0), count - 1), lambda b: F.struct(
+            remainder(line, less, b, count).alias("key"), F.lit(less).alias("less"), b.alias("block")
+        ))
+
+    made = [F.when(F.col(wanted), side(less)).otherwise(empty) for less, wanted in ((0, "own"), (1, "longer"))]
+    return F.concat(*made)
+
+
+def shared(keys):
+    """Rows whose key lets two lines be one edit apart, with `changed` where two
+    lines of the same length share it. A line as a longer one (`less` = 1) needs
+    a shorter one under the key, and the other way round."""
+    own = F.when(F.col("less") == 0, F.col("k1"))
+    sides = keys.groupBy("key").agg(F.min(own).alias("a"), F.max(own).alias("b"), F.max("less").alias("any_less"))
+    sides = sides.filter("a <> b or (a is not null and any_less = 1)").select("key", (F.col("a") != F.col("b")).alias("two"))
+    return keys.join(sides, "key").withColumn("changed", F.col("two") & (F.col("less") == 0)).drop("two")
+
+
+def variants(blocks="blocks", line="line"):
     """Keys of a line: array of (key, role). Role 0 marks a changed character, 1
-    a character less, 2 the whole line. `kinds` tells the shared halves."""
+    a character less, 2 the whole line. `blocks` tells where characters go."""
     size = F.length(line)
 
-    def places(own, less):
-        low = F.floor((size - less) / 2).cast("int")
-        after = F.when(F.array_contains(kinds, own), F.sequence(low + 1, size)).otherwise(F.array().cast("array<int>"))
-        upto = size - (size - less - low)
-        before = F.when(F.array_contains(kinds, own + 1), F.sequence(F.lit(1), upto)).otherwise(F.array().cast("array<int>"))
-        return F.array_union(after, before)
-
     def without(i):
         return F.concat(F.substring(line, F.lit(1), i - 1), F.substring(line, i + 1, size))
 
+    def inside(b):
+        own = size - b["less"]
+        start, stop = bounds(own, b["block"], grain(own))
+        stop = stop + b["less"]
+        return F.when(stop > start, F.sequence(start + 1, stop)).otherwise(F.array().cast("array<int>"))
+
     def key(hashed, role):
         return F.struct(hashed.alias("key"), F.lit(role).alias("role"))
 
-    changed = F.transform(places(0, 0), lambda i: key(F.xxhash64(i, without(i)), 0))
-    longer = F.transform(places(2, 1), lambda i: key(F.xxhash64(F.lit(0), without(i)), 1))
+    def places(which):
+        return F.array_distinct(F.flatten(F.transform(F.filter(blocks, which), inside)))
+
+    changed = F.transform(places(lambda b: b["changed"]), lambda i: key(F.xxhash64(i, without(i)), 0))
+    longer = F.transform(places(lambda b: b["less"] == 1), lambda i: key(F.xxhash64(F.lit(0), without(i)), 1))
     whole = F.array(key(F.xxhash64(F.lit(0), F.col(line)), 2))
     return F.concat(changed, longer, whole)
 
 
 def near_copies(documents, lines, min_chars=MIN_CHARS):
     """Keys of lines with an earlier line one edit away."""
-    halved = lines.filter(F.col("n_chars") >= min_chars).select(*KEY, F.posexplode("halves").alias("kind", "half"))
-    shared = halved.groupBy("half").agg(F.min("k1").alias("a"), F.max("k1").alias("b")).filter("a <> b")
-    kinds = halved.join(shared.select("half"), "half", "left_semi").groupBy(*KEY).agg(F.collect_set("kind").alias("kinds"))
-    chosen = stored(lines.drop("halves").join(kinds, KEY), "line-candidates")
+    halved = lines.filter(F.col("n_chars") >= min_chars).select(*KEY, F.posexplode("halves").alias("kind", "key"))
+    halved = shared(halved.withColumn("less", F.when(F.col("kind") < 2, 0).otherwise(1)))
+    sides = halved.groupBy(*KEY).agg(F.min("less").alias("least"), F.max("less").alias("most"))
+    sides = sides.select(*KEY, (F.col("least") == 0).alias("own"), (F.col("most") == 1).alias("longer"))
+    chosen = stored(lines.drop("halves").join(sides, KEY), "line-candidates")
     # Their texts: only documents that may hold the first copy of one are split again.
     bits = key_bits(chosen.select(F.col("first.uid").alias("uid")), "uid")
     texts = split_lines(
@@ -89,9 +130,18 @@ def near_copies(documents, lines, min_chars=MIN_CHARS):
     ).select("uid", "line_no", "line")
     first = [F.col("first.uid") == F.col("uid"), F.col("first.line_no") == F.col("line_no")]
     candidates = stored(
-        chosen.join(texts, first).select(*KEY, "first", "kinds", "line").dropDuplicates(KEY), "line-texts"
+        chosen.join(texts, first).select(*KEY, "first", "own", "longer", "line").dropDuplicates(KEY), "line-texts"
+    )
+    # Dealt out anew: a stored part of many long lines would be one long task.
+    dealt = candidates.repartition(F.col("k1"))
+    cut = stored(
+        dealt.select(*KEY, F.explode(remainders()).alias("r")).select(*KEY, "r.key", "r.less", "r.block"), "line-blocks"
+    )
+    blocks = shared(cut).groupBy(*KEY).agg(F.collect_set(F.struct("less", "block", "changed")).alias("blocks"))
+    keys = (
+        candidates.join(blocks, KEY)
+        .select(*KEY, "first", F.explode(variants()).alias("v")).select(*KEY, "first", "v.key", "v.role")
     )
-    keys = candidates.select(*KEY, "first", F.explode(variants()).alias("v")).select(*KEY, "first", "v.key", "v.role")
     keys = stored(keys, "line-variants")
     one = F.struct("first", *KEY)
     least = lambda role: F.min(F.when(F.col("role") == role, one))
@@ -118,7 +168,7 @@ def dedup_lines(documents, min_chars=MIN_CHARS):
     on, is one edit away; it goes even where that earlier line goes itself.
     Earlier means a smaller doc_id (null last), then the earlier place in the
     text. Blank lines stay and are not counted; null and blank texts stay as
-    they are. Rows that repeat id and text are one document and stay alike.
+    they are. Other columns pass through whatever their names are. Rows that repeat id and text are one document and stay alike.
     Columns called n_lines or n_kept are replaced.
     """
     # Documents are read for slim keys first; texts move only where lines go.
@@ -139,26 +189,24 @@ def dedup_lines(documents, min_chars=MIN_CHARS):
         F.col("near") | (F.col("first.uid") != F.col("uid")) | (F.col("first.line_no") != F.col("line_no"))
     )
     gone = stored(gone.groupBy("uid").agg(F.collect_set("line_no").alias("gone")), "line-drops")
-    rest = may_hold(
-        documents.drop("n_lines", "n_kept").withColumn("_uid", F.xxhash64("doc_id", "text")), "_uid",
-        key_bits(gone, "uid"), name="_touched",
-    )
-    counted = lambda parts: F.size(F.filter(parts, lambda x: F.trim(x) != ""))
-    parts = F.coalesce(F.split("text", "\n"), F.array().cast("array<string>"))
     columns = [c for c in documents.columns if c not in ("n_lines", "n_kept")]
-    same = rest.filter("not _touched").select(
-        *columns, counted(parts).alias("n_lines"), counted(parts).alias("n_kept")
-    )
+    whole = documents.select(F.struct(*columns).alias("row"), F.xxhash64("doc_id", "text").alias("uid"))
+    rest = may_hold(whole, "uid", key_bits(gone, "uid"), name="touched")
+    # A line counts from its first character that is no blank.
+    n_lines = F.coalesce(F.regexp_count("row.text", F.lit("[^ \\n][^\\n]*")), F.lit(0)).alias("n_lines")
+    same = rest.filter("not touched").select("row", n_lines).select("row.*", "n_lines", F.col("n_lines").alias("n_kept"))
+    counted = lambda parts: F.size(F.filter(parts, lambda x: F.trim(x) != ""))
+    parts = F.coalesce(F.split("row.text", "\n"), F.array().cast("array<string>"))
     marks = F.coalesce("gone", F.array().cast("array<int>"))
-    places = F.when(F.size(parts) > 0, F.sequence(F.lit(0), F.size(parts) - 1)).otherwise(F.array().cast("array<int>"))
-    left = F.transform(F.array_except(places, marks), lambda i: parts[i])
+    places = F.when(F.size("parts") > 0, F.sequence(F.lit(0), F.size("parts") - 1)).otherwise(F.array().cast("array<int>"))
+    left = F.transform(F.array_except(places, marks), lambda i: F.col("parts")[i])
     cut = (
-        rest.filter("_touched").join(gone.withColumnRenamed("uid", "_uid"), "_uid", "left")
-        .withColumn("_left", left)
+        rest.filter("touched").join(gone, "uid", "left")
+        .withColumn("parts", parts).withColumn("left", left)
         .select(
-            *[F.when(F.size(marks) > 0, F.array_join("_left", "\n")).otherwise(F.col("text")).alias("text")
-              if c == "text" else F.col(c) for c in columns],
-            counted(parts).alias("n_lines"), counted(F.col("_left")).alias("n_kept"),
+            *[F.when(F.size(marks) > 0, F.array_join("left", "\n")).otherwise(F.col("row.text")).alias("text")
+              if c == "text" else F.col("row")[c].alias(c) for c in columns],
+            counted(F.col("parts")).alias("n_lines"), counted(F.col("left")).alias("n_kept"),
         )
     )
     return same.unionByName(cut)
