@@ -94,7 +94,8 @@ FROM docs d LEFT JOIN hit_words h ON h.doc_id = d.doc_id LEFT JOIN found f ON f.
 
 CHAT_ROTATION = r"""
 WITH messages AS (
-    SELECT DISTINCT conv_id, CAST(turn AS BIGINT) AS turn, coalesce(role, 'unknown') AS role, coalesce(text, '') AS text
+    SELECT DISTINCT conv_id, CAST(turn AS BIGINT) AS turn, coalesce(role, 'unknown') AS role, coalesce(text, '') AS text,
+           CASE WHEN turn IS NULL THEN row_number() OVER () END AS own_row
     FROM conversations
 ),
 placed AS (

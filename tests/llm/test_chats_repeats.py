@@ -1,0 +1,28 @@
+"""Messages without a turn are kept as often as they come."""
+
+from gridmill.llm import chats
+
+SCHEMA = "conv_id long, turn int, role string, text string, part string, n int"
+
+
+def test_repeats_without_a_turn(spark):
+    rows = [(1, 0, "a", "hi"), (1, 0, "a", "hi"), (1, None, "b", "ok"), (1, None, "b", "ok"), (1, None, "b", "ok"), (1, 1, "b", "yes")]
+    talk = spark.createDataFrame([(*r, "kept out", 9) for r in rows], SCHEMA)
+    for size in (512, 2):
+        out = chats.rotate(talk, turns_per_part=size).filter("speaker = 'b'").orderBy("part").collect()
+        text = "".join(r["text"] for r in out)
+        # The repeated row of turn 0 counts once, `ok` three times.
+        assert sum(r["n_turns"] for r in out) == 5 and sum(r["n_own"] for r in out) == 4
+        assert text.count("ok<|im_end|>") == 3 and text.count("hi<|im_end|>") == 1
+        assert [r["n_turns"] for r in out] == ([5] if size == 512 else [2, 2, 1])
+        for r in out:
+            learned = [r["text"][m["start"]:m["end"]] for m in r["mask"]]
+            assert len(learned) == r["n_own"] and set(learned) <= {"ok<|im_end|>", "yes<|im_end|>"}
+    assert chats.rotate(talk.limit(0)).count() == 0
+
+
+def test_repeats_over_many_parts(spark):
+    talk = spark.range(5000).selectExpr("7L conv_id", "cast(null as int) turn", "'a' role", "'ok' text")
+    out = chats.rotate(talk).orderBy("part").collect()
+    assert [r["n_turns"] for r in out] == [512] * 9 + [5000 - 9 * 512]
+    assert all(r["n_own"] == r["n_turns"] == len(r["mask"]) for r in out)
