@@ -3,6 +3,7 @@
 import numpy as np
 import pandas as pd
 import xxhash
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from gridmill.llm.common import key_bits, may_hold, uid, words_of
@@ -84,14 +85,75 @@ def forest(documents, trees=TREES, depth=DEPTH, size=SHINGLE):
     return documents.mapInPandas(run, "k1 long, k2 long, labels array<binary>, sketch binary")
 
 
+def met(depths, threshold=THRESHOLD):
+    """Probability that a pair just at the threshold shares a node, by the prefix depth of each tree."""
+    return 1 - float(np.prod([1 - threshold**d for d in depths]))
+
+
 def prefix_depth(threshold=THRESHOLD, trees=TREES, depth=DEPTH, recall=RECALL):
-    """The longest prefix at which a pair just at the threshold meets in some tree
-    with the wanted probability: shortened from the full depth step by step."""
-    while depth > 1 and 1 - (1 - threshold**depth) ** trees < recall:
+    """The depth no tree has to go below: there all trees together reach the recall."""
+    while depth > 1 and met([depth] * trees, threshold) < recall:
         depth -= 1
     return depth
 
 
+def prefix(label, depth):
+    return F.substring(label, 1, 4 * depth)
+
+
+def sorted_tries(members, floor, depth=DEPTH):
+    """`members` (tree, label, k1, k2) with `matched`, the values a label shares with its next neighbour.
+
+    All labels are put in one order by tree and value, so a node of a trie is a
+    run of rows. Rows are dealt by range and compared inside their partition;
+    the ends of a partition are compared with those of the next ones, one row
+    per partition, so a node of any size is spread over tasks and none is cut.
+    A match below `floor` counts as 0.
+    """
+    order = ["tree", "label", *KEY]
+    dealt = stored(members.repartitionByRange(*order).withColumn("deal", F.spark_partition_id()), "tries")
+    at = F.struct("tree", "label")
+    ends = dealt.groupBy("deal").agg(F.min(at).alias("low"), F.max(at).alias("high"))
+    row = Window.orderBy("deal")
+    ends = ends.select("deal", F.lag("high").over(row).alias("before"), F.lead("low").over(row).alias("after"))
+    inside = Window.partitionBy("deal").orderBy(*order)
+    rows = dealt.withColumns({"up": F.lag(at).over(inside), "down": F.lead(at).over(inside)}).join(ends, "deal")
+
+    def shared(other):
+        values = F.lit(0)
+        for d in range(floor, depth + 1):
+            values = F.when(prefix(other["label"], d) == prefix(F.col("label"), d), d).otherwise(values)
+        return F.when(other["tree"] == F.col("tree"), values).otherwise(0)
+
+    up, down = F.coalesce("up", "before"), F.coalesce("down", "after")
+    return rows.select(*order, F.greatest(shared(up), shared(down)).alias("matched"))
+
+
+def shortened(tries, floor, depth=DEPTH, trees=TREES, threshold=THRESHOLD, recall=RECALL):
+    """Prefix depth of each tree, shortened step by step until the recall is reached.
+
+    Every tree starts at the full depth. Each step takes one value off the
+    prefix of the tree where this brings the fewest new members of shared nodes
+    for what it adds to the recall; trees full of look-alikes keep their long
+    prefixes. At most one count per tree and depth reaches the driver.
+    """
+    found = tries.groupBy("tree", "matched").agg(F.count(F.lit(1)).alias("n")).collect()
+    new = {(r["tree"], r["matched"]): r["n"] for r in found}
+    depths = [depth] * trees
+
+    def price(t):
+        d = depths[t] - 1
+        gain = np.log((1 - threshold ** (d + 1)) / max(1 - threshold**d, 1e-12))
+        return (new.get((t, d), 0) + 1) / gain, t
+
+    while met(depths, threshold) < recall:
+        longer = [t for t in range(trees) if depths[t] > floor]
+        if not longer:
+            break
+        depths[min(longer, key=price)] -= 1
+    return depths
+
+
 def distances(sketches, sketch):
     """Estimated Jaccard distances; they keep the triangle inequality."""
     same = (sketches == sketch).sum(axis=1) / sketches.shape[1]
@@ -187,18 +249,23 @@ def block_pairs(rows, most):
     ).select(*rows.columns, F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"))
 
 
-def candidate_edges(trees_of_texts, depth, threshold=THRESHOLD, leaders=LEADERS, per_task=20_000):
+def candidate_edges(
+    trees_of_texts, floor, depth=DEPTH, trees=TREES, threshold=THRESHOLD, recall=RECALL, leaders=LEADERS, per_task=20_000,
+):
     """Edges (u, v) between texts that tie all pairs to be compared together."""
-    prefix = lambda x: F.substring(x, 1, 4 * depth)
-    nodes = trees_of_texts.select(*KEY, F.posexplode("labels").alias("tree", "label")).select(
-        F.xxhash64("tree", prefix(F.col("label"))).alias("bucket"), *KEY
+    nodes = trees_of_texts.select(*KEY, F.posexplode("labels").alias("tree", "label")).withColumn(
+        "bucket", F.xxhash64("tree", prefix(F.col("label"), floor))
     )
-    # All places go through one sum per bucket; only those of buckets with
-    # different texts are shuffled again.
+    # All places go through one sum per node at the floor; only labels below
+    # nodes with different texts are sorted.
     ends = nodes.groupBy("bucket").agg(F.min("k1").alias("a"), F.max("k1").alias("b"))
     shared = stored(ends.filter("a <> b").select("bucket"), "shared")
     maybe = may_hold(nodes, "bucket", key_bits(shared, "bucket")).filter("may_hold").drop("may_hold")
-    members = stored(maybe.distinct().join(shared, "bucket", "left_semi"), "buckets")
+    tries = sorted_tries(maybe.distinct().join(shared, "bucket", "left_semi").drop("bucket"), floor, depth)
+    tries = stored(tries, "matched")
+    depths = F.array(*[F.lit(d) for d in shortened(tries, floor, depth, trees, threshold, recall)])[F.col("tree")]
+    own = F.xxhash64("tree", F.substring("label", F.lit(1), 4 * depths)).alias("bucket")
+    members = stored(tries.filter(F.col("matched") >= depths).select(own, *KEY), "buckets")
     members = members.join(members.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")), "bucket")
     named = stored(members.select(*KEY).distinct(), "bucket-texts")
     # Sketches of texts in no shared bucket are not shuffled.
@@ -318,8 +385,9 @@ def jaccard_join(documents, threshold=THRESHOLD, trees=TREES, depth=DEPTH, recal
     digits, A-Z lower-cased). `n_links` counts the different texts at
     `threshold` or more, `n_copies` the rows with the same text, and class_id
     is the least doc_id that links and copies lead to. Candidates come from a
-    forest of `trees` prefix tries at the prefix of `prefix_depth`; they are
-    compared exactly, and no group of copies or bucket becomes pairs of rows.
+    forest of `trees` sorted prefix tries, whose prefixes are shortened until a
+    pair at the threshold is met with the wanted recall; they are compared
+    exactly, and no group of copies or bucket becomes pairs of rows.
 
     A text without words has no shingles: each such row is alone, without
     links, and its class is its own id. A null doc_id is the last; a class of
@@ -329,7 +397,8 @@ def jaccard_join(documents, threshold=THRESHOLD, trees=TREES, depth=DEPTH, recal
     rows = documents.select("doc_id", "text", uid().alias("uid")).withColumns(key)
     order = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "uid")
     trees_of_texts = stored(forest(rows, trees, depth, size), "forest")
-    edges = candidate_edges(trees_of_texts, prefix_depth(threshold, trees, depth, recall), threshold)
+    floor = prefix_depth(threshold, trees, depth, recall)
+    edges = candidate_edges(trees_of_texts, floor, depth, trees, threshold, recall)
     groups = components(edges)
     slim = rows.select("doc_id", *KEY, has_words().alias("words"), "uid")
     firsts = stored(slim.filter("words").groupBy(*KEY).agg(F.min(order).alias("first"), F.count(F.lit(1)).alias("n_copies")), "texts")
