@@ -433,6 +433,7 @@ def one_of_each(documents, **settings):
 
     Rows that repeat an id and a text are one document; of different texts of
     the first id in a class one stays. Rows without words stay as they are.
+    Columns pass through whatever their names are.
     """
     words = F.coalesce(has_words(), F.lit(False))
     classes = stored(jaccard_join(documents.filter(words), **settings), "classes")
@@ -441,9 +442,8 @@ def one_of_each(documents, **settings):
     again = classes.groupBy("uid").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("uid")
     # Rows that surely go nowhere are not shuffled.
     bits = key_bits(gone.unionByName(again), "uid")
-    marked = may_hold(documents.withColumn("_uid", uid()), "_uid", bits, name="_touched")
-    marked = marked.withColumn("_touched", F.col("_touched") & words)
-    columns = [F.col(c) for c in documents.columns]
-    rest = marked.filter("_touched").join(gone.select(F.col("uid").alias("_uid")), "_uid", "left_anti")
-    rest = rest.dropDuplicates(["_uid"])
-    return marked.filter("not _touched").select(*columns).unionByName(rest.select(*columns))
+    # The row is one column, so that no name of its own meets a helper's.
+    whole = documents.select(F.struct(*documents.columns).alias("row"), uid().alias("uid"), words.alias("words"))
+    marked = may_hold(whole, "uid", bits, name="touched").withColumn("touched", F.col("touched") & F.col("words"))
+    rest = marked.filter("touched").join(gone, "uid", "left_anti").dropDuplicates(["uid"])
+    return marked.filter("not touched").select("row.*").unionByName(rest.select("row.*"))

@@ -88,18 +88,21 @@ def judge(pages, rules=RULES, labelled=None, threshold=0.5, **training):
     any other without a rule. Repeated rows stay. Columns of `pages` called
     like a result are replaced.
     """
-    host, path = host_and_path(F.col("url"))
-    own = with_rule(pages.withColumns({"host": host, "path": path}), rules)
+    parts = dict(zip(("host", "path"), host_and_path(F.col("url")), strict=True))
+    results = ["host", "path", "rule", "verdict", "block_score"]
+    # The page is one column, so that no name of its own meets one of the model's.
+    kept = F.struct(*[c for c in pages.columns if c not in results]).alias("page")
+    own = with_rule(pages.select(kept, *[c.alias(name) for name, c in parts.items()]), rules)
     if labelled is None:
         taught = own.filter("rule_verdict is not null")
     else:
-        taught = labelled.withColumns({"host": host, "path": path})
+        taught = labelled.withColumns(parts)
     model = train(taught, **training)
     if isinstance(model, str):
         scored = own.withColumn("block_score", F.lit(1.0 if model == "block" else 0.0))
     else:
         scored = model.transform(features(own)).withColumn(
             "block_score", vector_to_array("probability")[1]
-        ).drop("features", "rawPrediction", "probability", "prediction")
+        )
     guess = F.when(F.col("block_score") >= threshold, "block").otherwise("allow")
-    return scored.withColumn("verdict", F.coalesce("rule_verdict", guess)).drop("rule_verdict")
+    return scored.withColumn("verdict", F.coalesce("rule_verdict", guess)).select("page.*", *results)

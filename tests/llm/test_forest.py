@@ -50,3 +50,12 @@ def test_recall_of_pairs_at_the_threshold(spark):
     met = sum(out[2 * i] == out[2 * i + 1] == (2 * i, 1) for i in range(500))
     assert met >= 495 and all(c in (d, d - 1) for d, (c, _) in out.items())
     assert similar.jaccard_join(docs.withColumn("text", F.lit(None).cast("string"))).agg(F.sum("n_links")).first()[0] == 0
+
+
+def test_clashing_columns_of_kept_documents(spark):
+    names = ["_uid", "_touched", "_p", "_map", "row", "uid", "words", "touched", "k1"]
+    text = "one two three four five six seven eight"
+    rows = [(1, text, *names), (1, text, *names), (2, text + "!", *names), (3, None, *names), (4, "else", *names)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, " + ", ".join(f"{n} string" for n in names))
+    left = similar.one_of_each(docs).orderBy("doc_id").collect()
+    assert [tuple(r) for r in left] == [rows[0], rows[3], rows[4]]

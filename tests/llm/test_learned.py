@@ -114,3 +114,12 @@ def test_urls_without_a_rule_by_a_labelled_table(spark):
     out = urls.judge(held.select("page_id", "url"), labelled=known.filter(~apart).drop("page_id")).join(held.drop("url"), "page_id")
     right = out.agg(F.avg((F.col("verdict") == F.col("rule_verdict")).cast("int")), F.count("*"), F.count("rule")).first()
     assert right[0] >= 0.95 and right[1] > 100 and right[2] == 0
+
+
+def test_urls_with_clashing_columns(spark):
+    names = ["features", "rawPrediction", "probability", "prediction", "_grams", "rule_verdict", "page", "weight", "label"]
+    rows = [(i, f"http://{'a.net' if i % 2 else 'b.org'}/fr/{i}", "old", *names) for i in range(6)] + [(9, None, "old", *names)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, verdict string, " + ", ".join(f"{n} string" for n in names))
+    out = urls.judge(pages).orderBy("page_id").collect()
+    assert [r["verdict"] for r in out[:6]] == ["allow", "block"] * 3 and out[6]["host"] == ""
+    assert all([r[n] for n in names] == names for r in out)
