@@ -181,7 +181,8 @@ def long_rolling(df, order, value, span, by=(), bucket=None, rows_per_chunk=100_
         *kept, (F.struct(*by) if by else F.lit(0)).alias("_by"), "_row", F.floor((F.col("_row") - 1) / size).alias("_chunk"), exact(value, scale).alias("_v")
     )
     upto = Window.partitionBy(*names, "_chunk").orderBy("_row").rowsBetween(Window.unboundedPreceding, 0)
-    onward = Window.partitionBy(*names, "_chunk").orderBy("_row").rowsBetween(0, Window.unboundedFollowing)
+    # Backwards, so that it grows row by row too: a frame up to the following end is gone through anew for every row.
+    onward = Window.partitionBy(*names, "_chunk").orderBy(F.desc("_row")).rowsBetween(Window.unboundedPreceding, 0)
     inside = rows.withColumns({
         "_sum": F.coalesce(F.sum("_v").over(upto), F.lit(0)), "_n": F.count("_v").over(upto),
         "_max": F.max(value).over(upto), "_min": F.min(value).over(upto),

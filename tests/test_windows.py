@@ -142,3 +142,17 @@ def test_long_frames_of_one_series(spark):
     assert W.long_rolling(df.limit(0), "ts", "v", 100).count() == 0
     with pytest.raises(ValueError):
         W.long_rolling(df, "ts", "v", 0)
+
+
+def test_long_frames_grow_row_by_row(spark, monkeypatch):
+    plans, keep = [], W.stored
+
+    def stored(df, purpose):
+        plans.append(df._jdf.queryExecution().optimizedPlan().toString())
+        return keep(df, purpose)
+
+    monkeypatch.setattr(W, "stored", stored)
+    made = W.long_rolling(series(spark, 500, True), "ts", "v", 100, rows_per_chunk=30)
+    plans.append(made._jdf.queryExecution().optimizedPlan().toString())
+    # A frame up to the following end would be gone through anew for every row of a chunk.
+    assert any("specifiedwindowframe" in p for p in plans) and not any("unboundedfollowing" in p for p in plans)
