@@ -111,8 +111,10 @@ def postings(sets, needed):
     `needed` of its tokens has no partner. `prefix` holds the tokens it is
     posted under, rarest first.
     """
+    # Values above 2^31 are negative as integers; without their sign the upper half of a token is its coordinate.
+    value = F.col("value").cast("long").bitwiseAND(F.lit(0xFFFFFFFF))
     tokens = sets.select(*KEY, F.posexplode("tokens").alias("at", "value")).select(
-        *KEY, (F.col("at").cast("long") * 2**32 + F.col("value")).alias("token")
+        *KEY, (F.col("at").cast("long") * 2**32 + value).alias("token")
     )
     sizes = tokens.groupBy("token").agg(F.count(F.lit(1)).alias("n_sets")).filter("n_sets > 1")
     sizes = stored(sizes, "tokens")
@@ -275,13 +277,12 @@ def star_links(lists, slim, documents, needed, percent, size, block=BLOCK):
 
 
 def blocked(rows, block=BLOCK):
-    """Rows of each list in blocks of about `block`, once for every two blocks that meet, and a task for them."""
+    """Rows of each list in blocks of about `block`, once for every two blocks that meet, and once for the block itself."""
     sizes = rows.groupBy("token").agg(F.ceil(F.count(F.lit(1)) / block).cast("int").alias("blocks"))
     own = F.pmod(F.xxhash64(F.lit(13), *KEY), F.col("blocks")).cast("int")
     others = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
-    return rows.join(stored(sizes, "list-sizes"), "token").withColumn("block", own).withColumn("other", others).filter(
-        "blocks = 1 or block <> other"
-    ).withColumns({"i": F.least("block", "other"), "j": F.greatest("block", "other")})
+    placed = rows.join(stored(sizes, "list-sizes"), "token").withColumn("block", own).withColumn("other", others)
+    return placed.withColumns({"i": F.least("block", "other"), "j": F.greatest("block", "other")})
 
 
 def crossing_links(lists, slim, documents, labels, needed, percent, size, block=BLOCK):

@@ -192,6 +192,34 @@ def test_copies_equal_plain_comparison(spark, block):
     assert found == sorted(theirs, key=repr)
 
 
+@pytest.mark.parametrize("block", [2, 5])
+def test_copies_inside_a_block_of_a_long_list(spark, block):
+    pick, chain = random.Random(6), [f"c{i}" for i in range(600)]
+    ids = pick.sample(range(1000), 70)
+    rows = [(ids[i], " ".join(chain[7 * i:7 * i + 100]), "en") for i in range(70)]  # linked with the next ones only
+    got = copies.near_duplicates(documents(spark, rows), block=block)
+    assert sorted((tuple(r) for r in got.collect()), key=repr) == plain_components(rows)
+
+
+def test_rows_of_a_block_meet_each_other_and_every_other_block_once(spark):
+    rows = spark.createDataFrame([(t, k, -k) for t, n in ((1, 40), (2, 3)) for k in range(n)], "token long, k1 long, k2 long")
+    cells = defaultdict(list)
+    for r in copies.blocked(rows, block=10).collect():
+        cells[r["token"], r["i"], r["j"]].append((r["k1"], r["block"]))
+    met = Counter((t, *sorted((a, b))) for (t, i, j), cell in cells.items() for n, (a, x) in enumerate(cell) for b, y in cell[:n]
+                  if i == j or x != y)
+    assert len(met) == 40 * 39 // 2 + 3 and set(met.values()) == {1}
+
+
+def test_tokens_name_their_coordinate(spark):
+    """Minima of small sets often pass 2^31, which is negative as an integer."""
+    rows = documents(spark, [(i, f"w{i // 2} v" + " u" * (i % 2), "en") for i in range(60)])
+    sets = copies.signed(rows).withColumn("uid", F.lit(0)).cache()
+    minima = {(r["k1"], r["k2"]): r["tokens"] for r in sets.collect()}
+    posted = [(minima[r["k1"], r["k2"]], t) for r in copies.postings(sets, 1).collect() for t in r["prefix"]]
+    assert any(m[t >> 32] < 0 for m, t in posted) and all(m[t >> 32] & 0xFFFFFFFF == t & 0xFFFFFFFF for m, t in posted)
+
+
 def test_copies_edges(spark):
     assert copies.near_duplicates(documents(spark, [])).count() == 0
     one = copies.near_duplicates(documents(spark, [(1, None, None)])).collect()
