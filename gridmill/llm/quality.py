@@ -4,10 +4,10 @@ import numpy as np
 import pandas as pd
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.functions import array_to_vector
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from gridmill.llm.common import drop_rows, held_out, uid
+from gridmill.llm.common import drop_rows, held_out, ranked, uid
+from gridmill.operators import rollup
 from gridmill.session import stored
 
 PUNCTUATION = np.array([c for c in range(33, 127) if not chr(c).isalnum()])
@@ -58,19 +58,17 @@ def with_features(documents):
     return documents.mapInPandas(run, f"{schema}, features array<float>")
 
 
-def preference_pairs(examples, per_example=4):
+def preference_pairs(good, bad, per_example=4):
     """Feature differences of preferred minus other, half of them turned round.
 
-    `examples`: features and label, a bounded table. Every example of the larger
-    label meets `per_example` of the other, dealt evenly over their positions.
+    `good` and `bad`: features of the two labels and n, their place from 0. Every example of the
+    larger label meets `per_example` of the other, dealt evenly over their positions.
     """
-    order = Window.partitionBy("label").orderBy("place", "features")
-    placed = examples.withColumn("n", F.row_number().over(order) - 1)
-    good = placed.filter("label = 1").select(F.col("n").alias("i"), F.col("features").alias("a"))
-    bad = placed.filter("label = 0").select(F.col("n").alias("j"), F.col("features").alias("b"))
     n_good, n_bad = good.count(), bad.count()
     if not n_good or not n_bad:
         return None
+    good = good.select(F.col("n").alias("i"), F.col("features").alias("a"))
+    bad = bad.select(F.col("n").alias("j"), F.col("features").alias("b"))
     few = min(n_good, n_bad)
     steps = F.explode(F.sequence(F.lit(0), F.lit(min(per_example, few) - 1)))
     if n_good >= n_bad:
@@ -85,30 +83,34 @@ def preference_pairs(examples, per_example=4):
     )
 
 
-def fit(examples, bound=20_000, max_iter=50, penalty=1e-3):
-    """Weights, scale and threshold from labelled examples (features, label 0/1, key).
+def fit(examples, max_iter=50, penalty=1e-3):
+    """Weights, threshold and scale from all labelled examples (features, label 0/1, key).
 
-    At most `bound` examples, those of the lowest hashes, teach; this bound is
-    the one sampled part. The loss is the logistic one of the score difference
-    of each pair. The threshold is the score below which the share of label 0
-    lies among the examples. None without examples of both labels.
+    Examples are placed by the hash of their key. The loss is the logistic one of
+    the score difference of each pair. The threshold is the score below which the
+    share of label 0 lies among the examples. None without examples of both labels.
     """
-    picked = examples.withColumn("place", F.xxhash64("key")).orderBy("place", "key", "label", "features").limit(bound)
-    rows = stored(picked, "labelled")
-    pairs = preference_pairs(rows)
+    order = ["place", "key", "features"]
+    placed = examples.withColumn("place", F.xxhash64("key"))
+    good, bad = (
+        stored(ranked(placed.filter(F.col("label") == label), order, "n").select("n", "label", "features"), "labelled")
+        for label in (1, 0)
+    )
+    pairs = preference_pairs(good, bad)
     if pairs is None:
         return None
     model = LogisticRegression(
         maxIter=max_iter, regParam=penalty, fitIntercept=False, featuresCol="vector"
     ).fit(stored(pairs, "pairs").withColumn("vector", array_to_vector("difference")))
     weights = [float(w) for w in model.coefficients]
-    scored = rows.withColumn("raw", raw_score(weights))
+    scored = stored(good.unionByName(bad).select("label", raw_score(weights).alias("raw")), "label-scores")
     share, low, high = scored.agg(
         F.avg(1 - F.col("label")),
         F.avg(F.when(F.col("label") == 0, F.col("raw"))), F.avg(F.when(F.col("label") == 1, F.col("raw"))),
     ).first()
-    edges = scored.agg(F.percentile("raw", F.array(F.lit(share), F.lit(max(share - 0.01, 0)), F.lit(min(share + 0.01, 1))))).first()[0]
-    return weights, edges[0], max(abs(high - low) / 8, 1e-6)
+    # The exact quantile, without all scores in one task; its column is named after the share.
+    edge = rollup.summary(scored, "raw", by=[], quantiles=[share]).first()[f"p{round(share * 100)}"]
+    return weights, edge, max(abs(high - low) / 8, 1e-6)
 
 
 def raw_score(weights):
@@ -116,10 +118,10 @@ def raw_score(weights):
     return F.aggregate(products, F.lit(0.0), lambda a, x: a + x)
 
 
-def score_quality(documents, labels, bound=20_000):
+def score_quality(documents, labels):
     """doc_id, uid, held_out, score and predicted of every row, in one pass over the texts.
 
-    Only labels of documents that are not held out teach, and features see the
+    All labels of documents that are not held out teach, and no others; features see the
     text alone. The score is the logistic of the distance to the threshold.
     Without labels of both kinds every score is 0.5. Null ids count as ids that
     no label matches; labels other than 0 and 1 are left out; a document with
@@ -130,7 +132,7 @@ def score_quality(documents, labels, bound=20_000):
     examples = rows.filter(~held_out(F.col("doc_id"))).join(taught, "doc_id").select(
         "features", "label", F.col("doc_id").cast("string").alias("key")
     )
-    fitted = fit(examples, bound)
+    fitted = fit(examples)
     if fitted is None:
         score = F.lit(0.5)
     else:
@@ -141,7 +143,7 @@ def score_quality(documents, labels, bound=20_000):
     ).withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
 
 
-def keep_good(documents, labels, bound=20_000):
+def keep_good(documents, labels):
     """The documents that are not rejected, with all columns as they are."""
-    bad = score_quality(documents, labels, bound).filter("predicted = 0").select("uid").distinct()
+    bad = score_quality(documents, labels).filter("predicted = 0").select("uid").distinct()
     return drop_rows(documents, stored(bad, "rejected"))

@@ -2,6 +2,7 @@
 
 import hashlib
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -155,6 +156,20 @@ def test_quality(spark):
     assert quality.keep_good(docs, labels).filter("doc_id between 60 and 119").count() == 0
 
 
+def test_quality_learns_from_every_label(spark):
+    """More examples than any sample of a fixed size: the threshold is the quantile of all of them."""
+    x = (F.crc32(F.col("id").cast("string")) % 1000 / 1000).cast("float")
+    made = spark.range(24_000).select(
+        F.array(x, (x * x + F.col("id") % 7).cast("float")).alias("features"),
+        (x + F.col("id") % 3 / 3 > 0.8).cast("double").alias("label"), F.col("id").cast("string").alias("key"),
+    )
+    weights, threshold, scale = quality.fit(made)
+    rows = made.select("features", "label").toPandas()
+    raw, label = np.array(rows["features"].to_list(), float) @ np.array(weights), rows["label"].to_numpy()
+    assert threshold == pytest.approx(np.quantile(raw, 1 - label.mean()), abs=1e-9)
+    assert scale == pytest.approx(abs(raw[label == 1].mean() - raw[label == 0].mean()) / 8, abs=1e-9)
+
+
 def test_jaccard_classes(spark):
     words = [f"w{i}" for i in range(200)]
     near = " ".join([*words[:100], "zz", *words[101:]])
