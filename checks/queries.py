@@ -220,10 +220,11 @@ def stream_compacted(spark, folder):
     are merged, then more come, and readers take the newest version."""
     work = new_folder(spark, "compacted")
     events = I.load(spark, folder, "events")
+    width = spark.sparkContext.defaultParallelism  # files of a batch, so that every core writes and reads
 
-    def ingest(rows, files):
-        rows.repartition(files).write.mode("append").parquet(f"{work}/inbox")
-        messages = I.envelope_messages(M.stream_files(spark, f"{work}/inbox", events.schema, files_per_trigger=1))
+    def ingest(rows, batches):
+        rows.repartition(batches * width).write.mode("append").parquet(f"{work}/inbox")
+        messages = I.envelope_messages(M.stream_files(spark, f"{work}/inbox", events.schema, files_per_trigger=width))
         S.ingest_logged(messages, f"{work}/table", f"{work}/state", available_now=True).awaitTermination()
 
     early = F.col("ts") < F.lit("2024-01-16").cast("timestamp_ntz")

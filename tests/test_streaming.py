@@ -158,3 +158,21 @@ def test_a_batch_is_read_once(spark, inbox, tmp_path):
         watched = spark.read.text(str(inbox)).mapInPandas(look, "value string")
         write(S.readings_stream(watched) if name == "table" else watched, 0)
         assert seen.value - before == 4
+
+
+def test_micro_batches_are_read_by_every_core(spark, monkeypatch):
+    from checks import queries as Q
+
+    seen, plain = [], Q.M.stream_files
+
+    def stream_files(spark, path, schema, files_per_trigger):
+        written = len([f for f in os.listdir(path) if f.endswith(".parquet")])
+        seen.append((written, files_per_trigger))
+        return plain(spark, path, schema, files_per_trigger=files_per_trigger)
+
+    monkeypatch.setattr(Q.M, "stream_files", stream_files)
+    out = Q.stream_compacted(spark, "/root/testdata/sf0.001")
+    width = spark.sparkContext.defaultParallelism
+    assert seen == [(3 * width, width), (5 * width, width)]  # three batches, then two more
+    monkeypatch.undo()
+    assert out.count() == Q.stream_bronze(spark, "/root/testdata/sf0.001").count()
