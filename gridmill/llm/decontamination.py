@@ -7,7 +7,7 @@ import pandas as pd
 from pyspark.sql import functions as F
 
 from gridmill.llm.common import drop_rows, uid, words_of
-from gridmill.session import stored
+from gridmill.session import stored, stored_alone
 
 WINDOW = 10
 #: Bytes of benchmark text in one automaton (about 60 times as much in memory).
@@ -167,5 +167,9 @@ def digest(found):
 def clean(documents, benchmark, **settings):
     """Documents without a hit word, all columns and rows as they are."""
     texts = documents.select(uid().alias("uid"), "text")
-    found = find_overlap(texts, benchmark, key=("uid",), **settings)
-    return drop_rows(documents, stored(found.filter(F.size("words") > 0).select("uid").distinct(), "hits"))
+    hits = stored_alone(
+        documents.sparkSession,
+        lambda: find_overlap(texts, benchmark, key=("uid",), **settings).filter(F.size("words") > 0).select("uid").distinct(),
+        "hits",
+    )
+    return drop_rows(documents, hits)

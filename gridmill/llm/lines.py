@@ -21,7 +21,7 @@ variants.
 from pyspark.sql import functions as F
 
 from gridmill.llm.common import key_bits, may_hold
-from gridmill.session import stored
+from gridmill.session import stored, stored_alone
 
 MIN_CHARS = 16  # shorter lines, like "Yes." and "Yet.", only count as exact copies
 KEY = ["k1", "k2"]
@@ -161,16 +161,8 @@ def near_copies(documents, lines, min_chars=MIN_CHARS):
     return pairs.filter(distance.between(0, 1)).select(*KEY)
 
 
-def dedup_lines(documents, min_chars=MIN_CHARS):
-    """`documents` with the text less its repeated lines, n_lines and n_kept.
-
-    A line goes if an earlier line equals it or, from `min_chars` characters
-    on, is one edit away; it goes even where that earlier line goes itself.
-    Earlier means a smaller doc_id (null last), then the earlier place in the
-    text. Blank lines stay and are not counted; null and blank texts stay as
-    they are. Other columns pass through whatever their names are. Rows that repeat id and text are one document and stay alike.
-    Columns called n_lines or n_kept are replaced.
-    """
+def gone_lines(documents, min_chars=MIN_CHARS):
+    """uid and the numbers of the lines that go, for documents that lose any. Frames it stores are still to be read."""
     # Documents are read for slim keys first; texts move only where lines go.
     own = F.when(F.length("line") >= min_chars, halves()).otherwise(F.array().cast("array<bigint>"))
     occurrences = split_lines(documents.select("doc_id", "text"))
@@ -188,7 +180,20 @@ def dedup_lines(documents, min_chars=MIN_CHARS):
     gone = occurrences.select(*KEY, "uid", "line_no").join(hits, KEY).filter(
         F.col("near") | (F.col("first.uid") != F.col("uid")) | (F.col("first.line_no") != F.col("line_no"))
     )
-    gone = stored(gone.groupBy("uid").agg(F.collect_set("line_no").alias("gone")), "line-drops")
+    return gone.groupBy("uid").agg(F.collect_set("line_no").alias("gone"))
+
+
+def dedup_lines(documents, min_chars=MIN_CHARS):
+    """`documents` with the text less its repeated lines, n_lines and n_kept.
+
+    A line goes if an earlier line equals it or, from `min_chars` characters
+    on, is one edit away; it goes even where that earlier line goes itself.
+    Earlier means a smaller doc_id (null last), then the earlier place in the
+    text. Blank lines stay and are not counted; null and blank texts stay as
+    they are. Other columns pass through whatever their names are. Rows that repeat id and text are one document and stay alike.
+    Columns called n_lines or n_kept are replaced.
+    """
+    gone = stored_alone(documents.sparkSession, lambda: gone_lines(documents, min_chars), "line-drops")
     columns = [c for c in documents.columns if c not in ("n_lines", "n_kept")]
     whole = documents.select(F.struct(*columns).alias("row"), F.xxhash64("doc_id", "text").alias("uid"))
     rest = may_hold(whole, "uid", key_bits(gone, "uid"), name="touched")

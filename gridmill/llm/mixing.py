@@ -4,9 +4,10 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from gridmill.llm.common import ranked
-from gridmill.session import stored
+from gridmill.session import stored, stored_alone
 
 WEIGHTS = (5, 2, 1)
+SEED = "mix"
 WORD = r"[^\x20\x09-\x0D]+"
 
 
@@ -43,16 +44,22 @@ def source_targets(sizes, weights=WEIGHTS, share=1.5, epochs=2):
     return sources.select("source", "source_size", "weight", target.alias("target"))
 
 
-def planned(documents, weights=WEIGHTS, share=1.5, epochs=2, seed="mix", bucket_digits=3):
-    """One row per different (doc_id, source, size): how many rows it has (`n_rows`), its source's size and
-    target, and `copies`, how often the mix takes each of these rows. See `mix`."""
-    docs = documents.select(
-        "doc_id", "source", F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long").alias("size")
-    )
-    # A null id or source hashes like an empty one.
+def size_of(text="text"):
+    return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
+
+
+def draw_of(seed):
+    """The seeded order of a source. A null id or source hashes like an empty one."""
     shown = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in ("doc_id", "source", "size")]
+    return F.md5(F.concat_ws("|", F.lit(seed), *shown).cast("binary"))
+
+
+def drawn_rows(documents, weights, share, epochs, seed, bucket_digits):
+    """One row per different (doc_id, source, size): its mass and its place in the draw, what its source takes,
+    and `more`, whether the running sum takes it once more. Per source: the one document to change."""
+    docs = documents.select("doc_id", "source", size_of().alias("size"))
     docs = docs.groupBy("doc_id", "source", "size").agg(F.count(F.lit(1)).alias("n_rows"))
-    docs = stored(docs.withColumn("draw", F.md5(F.concat_ws("|", F.lit(seed), *shown).cast("binary"))), "sizes")
+    docs = stored(docs.withColumn("draw", draw_of(seed)), "sizes")
     docs = docs.withColumn("mass", F.col("size") * F.col("n_rows"))
     targets = source_targets(docs.select("source", F.col("mass").alias("size")), weights, share, epochs)
     whole = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0)
@@ -87,6 +94,13 @@ def planned(documents, weights=WEIGHTS, share=1.5, epochs=2, seed="mix", bucket_
         .groupBy("own").agg(F.min(F.struct(F.abs(F.col("mass") - gap).alias("off"), "who")).alias("best"))
         .select("own", F.col("best.who.draw").alias("swap"), F.col("best.who.doc_id").alias("swap_id"))
     )
+    return drawn, change
+
+
+def planned(documents, weights=WEIGHTS, share=1.5, epochs=2, seed=SEED, bucket_digits=3):
+    """One row per different (doc_id, source, size): how many rows it has (`n_rows`), its source's size and
+    target, and `copies`, how often the mix takes each of these rows. See `mix`."""
+    drawn, change = drawn_rows(documents, weights, share, epochs, seed, bucket_digits)
     swapped = F.col("swap").isNotNull() & (F.col("draw") == F.col("swap")) & F.col("doc_id").eqNullSafe(F.col("swap_id"))
     return drawn.join(change, "own", "left").select(
         "doc_id", "source", "size", "n_rows", "source_size", "target", "draw",
@@ -94,6 +108,19 @@ def planned(documents, weights=WEIGHTS, share=1.5, epochs=2, seed="mix", bucket_
     )
 
 
+def source_cuts(documents, weights=WEIGHTS, share=1.5, epochs=2, seed=SEED, bucket_digits=3):
+    """The plan of `planned` as one row per source: `whole` repetitions of every document, one more up to `last` in
+    the order of (draw, doc_id), and `swap`, the one place in that order where it is the other way round.
+
+    Running sums only grow along the order, so the documents taken once more are its first ones.
+    """
+    drawn, change = drawn_rows(documents, weights, share, epochs, seed, bucket_digits)
+    at = F.struct("draw", "doc_id")
+    cuts = drawn.groupBy("own").agg(F.first("whole").alias("whole"), F.max(F.when(F.col("more"), at)).alias("last"))
+    swap = F.struct(F.col("swap").alias("draw"), F.col("swap_id").alias("doc_id"))
+    return cuts.join(change.select("own", swap.alias("swap")), "own", "left")
+
+
 def mix(documents, **settings):
     """size, source_size, target and `copies` (whole repetitions) per document.
 
@@ -115,13 +142,18 @@ def mixed_documents(documents, **settings):
     """The rows of `documents` repeated as the mix takes them; `copy` counts from 1.
 
     All columns stay as they are, but for one called `copy`, which is replaced.
+    Each document's copies follow from its own place in the draw and one row of
+    its source, so texts meet a table of sources and are not shuffled as long as
+    Spark broadcasts that.
     """
-    plan = planned(documents, **settings).filter("copies > 0").select(
-        F.struct("doc_id", "source", "size").alias("key"), "copies"
-    )
-    size = F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long")
+    cuts = stored_alone(documents.sparkSession, lambda: source_cuts(documents, **settings), "cuts")
     documents = documents.drop("copy")
     # The row is one column, so that no name of its own meets one of the plan.
-    keyed = documents.select(F.struct(*documents.columns).alias("row"), F.struct("doc_id", "source", size.alias("size")).alias("key"))
-    copies = F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))
-    return keyed.join(plan, "key").select("row", copies.alias("copy")).select("row.*", "copy")
+    placed = (
+        documents.select(F.struct(*documents.columns).alias("row"), "doc_id", "source", size_of().alias("size"))
+        .select("row", F.struct("source").alias("own"), F.struct(draw_of(settings.get("seed", SEED)).alias("draw"), "doc_id").alias("at"))
+    )
+    more = F.coalesce(F.col("at") <= F.col("last"), F.lit(False)) != F.col("at").eqNullSafe(F.col("swap"))
+    copies = (F.col("whole") + more.cast("int")).cast("int")
+    taken = placed.join(cuts, "own").select("row", copies.alias("copies")).filter("copies > 0")
+    return taken.select("row", F.explode(F.sequence(F.lit(1), F.col("copies"))).alias("copy")).select("row.*", "copy")

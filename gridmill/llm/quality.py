@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from gridmill.llm.common import drop_rows, held_out, ranked, uid
 from gridmill.operators import rollup
-from gridmill.session import stored
+from gridmill.session import stored, stored_alone
 
 PUNCTUATION = np.array([c for c in range(33, 127) if not chr(c).isalnum()])
 CHUNK = 1 << 20  # bytes looked at together, so long texts stay small in memory
@@ -145,5 +145,8 @@ def score_quality(documents, labels):
 
 def keep_good(documents, labels):
     """The documents that are not rejected, with all columns as they are."""
-    bad = score_quality(documents, labels).filter("predicted = 0").select("uid").distinct()
-    return drop_rows(documents, stored(bad, "rejected"))
+    bad = stored_alone(
+        documents.sparkSession,
+        lambda: score_quality(documents, labels).filter("predicted = 0").select("uid").distinct(), "rejected",
+    )
+    return drop_rows(documents, bad)

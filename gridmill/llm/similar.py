@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from gridmill.llm.common import key_bits, may_hold, uid, words_of
 from gridmill.llm.components import components
-from gridmill.session import stored
+from gridmill.session import stored, stored_alone
 
 SHINGLE, THRESHOLD = 5, 0.8
 TREES, DEPTH, RECALL = 32, 8, 0.999
@@ -378,29 +378,13 @@ def has_words():
     return F.regexp_like("text", F.lit(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]"))
 
 
-def jaccard_join(documents, threshold=THRESHOLD, trees=TREES, depth=DEPTH, recall=RECALL, size=SHINGLE):
-    """doc_id, class_id, n_links and n_copies of every row, its uid and class_key.
-
-    Texts are compared by their sets of `size`-word shingles (letters and
-    digits, A-Z lower-cased). `n_links` counts the different texts at
-    `threshold` or more, `n_copies` the rows with the same text, and class_id
-    is the least doc_id that links and copies lead to. Candidates come from a
-    forest of `trees` sorted prefix tries, whose prefixes are shortened until a
-    pair at the threshold is met with the wanted recall; they are compared
-    exactly, and no group of copies or bucket becomes pairs of rows.
-
-    A text without words has no shingles: each such row is alone, without
-    links, and its class is its own id. A null doc_id is the last; a class of
-    null ids only has a null id.
-    """
-    key = {"k1": F.xxhash64("text"), "k2": F.xxhash64(F.lit(1), F.col("text"))}
-    rows = documents.select("doc_id", "text", uid().alias("uid")).withColumns(key)
+def classed(rows, slim, threshold, trees, depth, recall, size):
+    """One row per text that has words: its key, first document, copies, links and class. Frames it stores are still to be read."""
     order = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "uid")
     trees_of_texts = stored(forest(rows, trees, depth, size), "forest")
     floor = prefix_depth(threshold, trees, depth, recall)
     edges = candidate_edges(trees_of_texts, floor, depth, trees, threshold, recall)
     groups = components(edges)
-    slim = rows.select("doc_id", *KEY, has_words().alias("words"), "uid")
     firsts = stored(slim.filter("words").groupBy(*KEY).agg(F.min(order).alias("first"), F.count(F.lit(1)).alias("n_copies")), "texts")
     # One row per text, the first: copies are no hot key, and keys meet before texts move.
     wanted = stored(firsts.select(*KEY, "first.uid").join(members_of(groups), KEY), "wanted")
@@ -414,10 +398,32 @@ def jaccard_join(documents, threshold=THRESHOLD, trees=TREES, depth=DEPTH, recal
     classes = components(ties)
     every = classes.select("u.k1", "u.k2", F.col("v").alias("class"))
     links = found.groupBy(*KEY).agg(F.sum("links").alias("n_links"))
-    merged = firsts.join(every, KEY, "left").join(links, KEY, "left").select(
+    return firsts.join(every, KEY, "left").join(links, KEY, "left").select(
         *KEY, "first", "n_copies", F.coalesce("class", node()).alias("class"), F.coalesce("n_links", F.lit(0)).alias("n_links")
     )
-    merged = stored(merged, "merged")
+
+
+def jaccard_join(documents, threshold=THRESHOLD, trees=TREES, depth=DEPTH, recall=RECALL, size=SHINGLE):
+    """doc_id, class_id, n_links and n_copies of every row, its uid and class_key.
+
+    Texts are compared by their sets of `size`-word shingles (letters and
+    digits, A-Z lower-cased). `n_links` counts the different texts at
+    `threshold` or more, `n_copies` the rows with the same text, and class_id
+    is the least doc_id that links and copies lead to. Candidates come from a
+    forest of `trees` sorted prefix tries, whose prefixes are shortened until a
+    pair at the threshold is met with the wanted recall; they are compared
+    exactly, and no group of copies or bucket becomes pairs of rows.
+
+    A text without words has no shingles: each such row is alone, without
+    links, and its class is its own id. A null doc_id is the last; a class of
+    null ids only has a null id.
+    """
+    key = {"k1": F.xxhash64("text"), "k2": F.xxhash64(F.lit(1), F.col("text"))}
+    rows = documents.select("doc_id", "text", uid().alias("uid")).withColumns(key)
+    slim = rows.select("doc_id", *KEY, has_words().alias("words"), "uid")
+    merged = stored_alone(
+        documents.sparkSession, lambda: classed(rows, slim, threshold, trees, depth, recall, size), "merged"
+    )
     heads = merged.groupBy("class").agg(F.min("first").alias("head"))
     ends = merged.join(heads, "class").select(*KEY, F.col("head.doc_id").alias("class_id"), "n_links", "n_copies", F.xxhash64("class").alias("class_key"))
     alone = ~F.coalesce("words", F.lit(False))
@@ -436,7 +442,9 @@ def one_of_each(documents, **settings):
     Columns pass through whatever their names are.
     """
     words = F.coalesce(has_words(), F.lit(False))
-    classes = stored(jaccard_join(documents.filter(words), **settings), "classes")
+    classes = stored_alone(
+        documents.sparkSession, lambda: jaccard_join(documents.filter(words), **settings), "classes"
+    )
     heads = classes.filter("doc_id <=> class_id").groupBy("class_key").agg(F.min("uid").alias("uid"))
     gone = stored(classes.select("uid").distinct().join(heads, "uid", "left_anti"), "copies")
     again = classes.groupBy("uid").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("uid")
